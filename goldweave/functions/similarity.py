@@ -104,9 +104,7 @@ def char_mask(text: Column) -> Column:
     A bit set on one side only proves at least one character without a partner
     there, whatever collides, so the mask gives a safe bound on shared characters.
     """
-    chars = F.array_sort(
-        F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(text, i, F.lit(1)))
-    )
+    chars = F.sort_array(F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1)))
     none = F.lit(0).cast("bigint")
 
     def add(acc: Column, char: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldweave.session import Scratch
@@ -24,34 +24,33 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _signature(edges: DataFrame) -> Row:
-    """Edge count and order-free hashes; equal for two rounds exactly when nothing moved."""
-    return edges.agg(
-        F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.bit_xor(F.xxhash64("v", "u")).alias("y")
-    ).first()
+def _settled(edges: DataFrame) -> bool:
+    """True when the edges are stars: each node points at one root and no root points anywhere."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("outs"), F.lit(0).alias("ins")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("outs"), F.lit(1).alias("ins"))
+    )
+    loose = ends.groupBy("node").agg(F.sum("outs").alias("outs"), F.max("ins").alias("ins"))
+    return loose.filter("outs > 1 OR (outs > 0 AND ins > 0)").isEmpty()
 
 
 def connected_components(edges: DataFrame, scratch: Scratch, name: str = "components") -> DataFrame:
     """(node, component) of every node with an edge; a component is named by its smallest node.
 
     ``edges`` has two id columns. Each round is written to the shared folder
-    and read back; the loop ends when a round changes no edge.
+    and read back; the loop ends when only stars are left.
     """
     a, b = edges.columns[:2]
-    current = edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    before, previous = None, None
-    for number in range(MAX_ROUNDS):
-        step = current if number == 0 else _small_star(_large_star(current))
-        table = f"{name}-{number}"
-        current = scratch.save(step, table)
-        signature = _signature(current)
-        if previous:
-            scratch.drop(previous)
-        previous = table
-        if signature == before or signature["n"] == 0:
-            break
-        before = signature
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+    table = f"{name}-0"
+    current = scratch.save(
+        edges.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), table
+    )
+    rounds = 0
+    while not _settled(current):
+        rounds += 1
+        if rounds > MAX_ROUNDS:
+            raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
+        previous, table = table, f"{name}-{rounds}"
+        current = scratch.save(_small_star(_large_star(current)), table)
+        scratch.drop(previous)
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

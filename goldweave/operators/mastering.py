@@ -11,8 +11,8 @@ from goldweave.config import LEI_EXACT, TAX_ID_EXACT, MasteringConfig
 from goldweave.functions.text import uuid_of
 from goldweave.operators.components import connected_components
 from goldweave.operators.matching import TAX_AND_LEI, Matches, find_matches
-from goldweave.operators.survivorship import by_source, lone_survivors, priority_of, survivors
-from goldweave.schemas import GOLDEN_PARTIES, PARTY_COLUMNS
+from goldweave.operators.survivorship import by_source, lone_survivors, priority_of, survivors, usable_rows
+from goldweave.schemas import GOLDEN_PARTIES
 from goldweave.session import Scratch
 
 
@@ -258,8 +258,7 @@ def party_links(parties: DataFrame, clusters: DataFrame, entities: DataFrame, cf
 def build_entities(parties: DataFrame, matches: Matches, clusters: DataFrame, cfg: MasteringConfig, scratch: Scratch,
                    previous_links: DataFrame | None = None) -> DataFrame:
     """Golden values, confidence, link score and id of every entity."""
-    wanted = ["id", "source_system", "source_party_id", *PARTY_COLUMNS]
-    tagged = parties.select(*wanted).join(clusters.select("id", "cluster_id"), "id", "left")
+    tagged = usable_rows(parties, cfg).join(clusters.select("id", "cluster_id"), "id", "left")
     alone = lone_survivors(tagged.filter("cluster_id IS NULL"), cfg).withColumns(
         {"confidence": F.lit(1.0), "match_score": F.lit(1.0)}
     )

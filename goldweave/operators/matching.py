@@ -22,6 +22,7 @@ TAX_AND_LEI = "TAX_AND_LEI"
 
 _KEY = ["match_type", "key_1", "key_2"]
 _PROFILE = ["source_system", "state", "city_key", "postal_code", "name_key", "address_key"]
+_SIDE = ["profile_id", "members", *_PROFILE]
 _BLOCK = ["state", "place_kind", "place"]
 
 
@@ -104,7 +105,7 @@ def profiles(parties: DataFrame, cfg: MasteringConfig) -> DataFrame:
     )
 
 
-def _blocked(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
+def blocked_profiles(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """Profiles under each block key they can match in, with the block's grid size.
 
     When name and address together stay below the threshold, every match
@@ -143,16 +144,14 @@ def _blocked(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
             F.ceil(F.col("n_right") / cfg.block_cell_rows).alias("columns_of_cells"),
         )
     )
-    return keyed.join(sizes, _BLOCK)
+    fitted = keyed.join(sizes, _BLOCK)
+    if _ignores_text(cfg):
+        return fitted
+    return fitted.withColumns({"name_mask": char_mask(F.col("name_key")), "address_mask": char_mask(F.col("address_key"))})
 
 
-def _candidates(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
+def _candidates(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """Cross-source profile pairs whose best possible score reaches the threshold."""
-    blocked = _blocked(profile, cfg)
-    if not _ignores_text(cfg):
-        blocked = blocked.withColumn("name_mask", char_mask(F.col("name_key"))).withColumn(
-            "address_mask", char_mask(F.col("address_key"))
-        )
     slot = lambda count: F.pmod(F.xxhash64("profile_id"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
     left = (
@@ -191,9 +190,9 @@ def _candidates(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
     )
 
 
-def scored_profile_pairs(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
+def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """Profile pairs that reach the threshold, with the score rounded to 4 places."""
-    candidates = _candidates(profile, cfg)
+    candidates = _candidates(blocked, cfg)
 
     def similarity(text: str) -> Column:
         if _ignores_text(cfg):
@@ -206,7 +205,7 @@ def scored_profile_pairs(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
     sided = [
         F.col(f"{side}.{name}").alias(f"{name}_{suffix}")
         for side, suffix in (("l", "a"), ("r", "b"))
-        for name in ("profile_id", "source_system", "members")
+        for name in _SIDE
     ]
     agree = lambda name: F.coalesce(F.col(f"l.{name}") == F.col(f"r.{name}"), F.lit(False)).cast("double")
     scored = candidates.select(
@@ -226,26 +225,22 @@ def scored_profile_pairs(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
         ),
     )
     return scored.filter(F.col("total") >= cfg.fuzzy_threshold).select(
-        *[f"{n}_{s}" for s in "ab" for n in ("profile_id", "source_system", "members")],
+        *[f"{n}_{s}" for s in "ab" for n in _SIDE],
         F.round("total", 4).alias("score"),
     )
 
 
-def profile_members(parties: DataFrame, profile: DataFrame, pairs: DataFrame, cfg: MasteringConfig) -> DataFrame:
+def profile_members(parties: DataFrame, pairs: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """(id, profile_id) of every record whose profile takes part in a match.
 
     A profile of one record is its own member; only larger ones go back to the records.
     """
-    matched = (
-        pairs.select(F.col("profile_id_a").alias("profile_id"), F.col("members_a").alias("members"))
-        .unionByName(pairs.select(F.col("profile_id_b").alias("profile_id"), F.col("members_b").alias("members")))
-        .distinct()
-    )
-    alone = matched.filter("members = 1").select(F.col("profile_id").alias("id"), "profile_id")
-    shared = profile.filter("members > 1").join(matched.filter("members > 1").select("profile_id"), "profile_id", "left_semi")
-    records = _comparison_columns(parties, cfg)
+    side = lambda s: pairs.select(*[F.col(f"{n}_{s}").alias(n) for n in _SIDE])
+    matched = side("a").unionByName(side("b"))
+    alone = matched.filter("members = 1").select(F.col("profile_id").alias("id"), "profile_id").distinct()
+    shared = matched.filter("members > 1").distinct()
     same = [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in _PROFILE]
-    copies = records.alias("c").join(shared.alias("s"), same).select("c.id", "s.profile_id")
+    copies = _comparison_columns(parties, cfg).alias("c").join(shared.alias("s"), same).select("c.id", "s.profile_id")
     return alone.unionByName(copies)
 
 
@@ -278,8 +273,9 @@ def without_exact_pairs(pairs: DataFrame, member_of: DataFrame, exact: DataFrame
     )
     every = F.col("members_a").cast("decimal(19,0)") * F.col("members_b").cast("decimal(19,0)")
     none = F.lit(0).cast("decimal(38,0)")
+    narrow = pairs.select(*[f"{n}_{s}" for s in "ab" for n in ("profile_id", "source_system", "members")], "score")
     return (
-        pairs.join(overlap, ["profile_id_a", "profile_id_b"], "left")
+        narrow.join(overlap, ["profile_id_a", "profile_id_b"], "left")
         .withColumn("pairs", (every - F.coalesce(F.col("exact_pairs"), none)).cast("decimal(38,0)"))
         .drop("exact_pairs")
         .filter("pairs > 0")
@@ -298,11 +294,11 @@ class Matches:
 
 def find_matches(parties: DataFrame, cfg: MasteringConfig, keep=lambda df, name: df) -> Matches:
     """Runs exact and fuzzy matching; ``keep(df, name)`` may write an intermediate table."""
-    groups = keep(exact_groups(parties), "exact_groups")
-    members = keep(exact_members(parties, groups), "exact_members")
-    profile = keep(profiles(parties, cfg), "profiles")
-    scored = keep(scored_profile_pairs(profile, cfg), "scored_pairs")
-    member_of = keep(profile_members(parties, profile, scored, cfg), "profile_members")
+    members = keep(exact_members(parties, exact_groups(parties)), "exact_members")
+    groups = members.filter("id = anchor_id").withColumn("pairs", pair_count(F.col("members")))
+    blocked = keep(blocked_profiles(profiles(parties, cfg), cfg), "blocked_profiles")
+    scored = keep(scored_profile_pairs(blocked, cfg), "scored_pairs")
+    member_of = keep(profile_members(parties, scored, cfg), "profile_members")
     fuzzy = keep(without_exact_pairs(scored, member_of, members), "fuzzy_pairs")
     return Matches(groups, members, fuzzy, member_of)
 

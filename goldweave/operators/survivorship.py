@@ -13,16 +13,22 @@ def survivor_fields(cfg: MasteringConfig) -> list[str]:
     return [*cfg.field_sources, *cfg.priority_fields]
 
 
+def usable_rows(parties: DataFrame, cfg: MasteringConfig) -> DataFrame:
+    """Record keys with every survivor field reduced to its usable value."""
+    return parties.select(
+        "id", "source_system", "source_party_id", *[usable(f).alias(f) for f in survivor_fields(cfg)]
+    )
+
+
 def by_source(rows: DataFrame, cfg: MasteringConfig, key: str = "cluster_id") -> DataFrame:
-    """One row per cluster and source.
+    """One row per cluster and source, from :func:`usable_rows` with a cluster key.
 
-    ``first`` holds the usable values of the source's first record, ``any`` the
+    ``first`` holds the values of the source's first record, ``any`` the
     first usable value of each field over all its records. Rows of a source
     are ordered by ``id``.
     """
-    value = {f: usable(f) for f in survivor_fields(cfg)}
-    first = F.min_by(F.struct(*[value[f].alias(f) for f in cfg.field_sources]), "id").alias("first")
-    picks = [F.min_by(v, F.when(v.isNotNull(), F.col("id"))).alias(f) for f, v in value.items()]
+    first = F.min_by(F.struct(*cfg.field_sources), "id").alias("first")
+    picks = [F.min_by(f, F.when(F.col(f).isNotNull(), F.col("id"))).alias(f) for f in survivor_fields(cfg)]
     return (
         rows.groupBy(key, "source_system")
         .agg(
@@ -81,5 +87,5 @@ def lone_survivors(rows: DataFrame, cfg: MasteringConfig) -> DataFrame:
         priority_of(cfg).alias("top_priority"),
         F.concat("source_system", F.lit("|"), "source_party_id").alias("natural_key"),
         F.array(F.struct("source_system", F.lit(1).cast("bigint").alias("records"))).alias("source_counts"),
-        *[usable(f).alias(f) for f in survivor_fields(cfg)],
+        *survivor_fields(cfg),
     )

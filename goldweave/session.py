@@ -13,6 +13,8 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 def build_session(app_name: str = "goldweave", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution on and the time zone fixed to UTC."""
     builder = SparkSession.builder.appName(app_name)
+    # Recording the Python call site of every column expression slows plan building.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
