@@ -159,10 +159,12 @@ def chart_summary(parties: DataFrame, golden: DataFrame) -> DataFrame:
 # Freshness
 
 
-def freshness(as_of: str, raw_files: DataFrame, parties: DataFrame, golden: DataFrame, dq: DataFrame, exported: DataFrame) -> DataFrame:
+def freshness(as_of: str, parties: DataFrame, golden: DataFrame, dq: DataFrame, raw_files: DataFrame | None = None,
+              exported: DataFrame | None = None) -> DataFrame:
     """One row per pipeline step: status, last run, age, staleness, detail.
 
-    ``raw_files`` and ``exported`` are zone listings (``last_modified``, ``size_bytes``).
+    ``raw_files`` and ``exported`` are zone listings (``last_modified``,
+    ``size_bytes``); their steps are left out when not given.
     """
     def step(name: str, df: DataFrame, last: str, detail: Column, empty: str, extra: list[Column] = ()) -> DataFrame:
         facts = df.agg(_count("n"), F.max(last).alias("last"), *extra)
@@ -179,14 +181,15 @@ def freshness(as_of: str, raw_files: DataFrame, parties: DataFrame, golden: Data
 
     count_text = lambda text: F.concat(F.col("n").cast("string"), F.lit(text))
     steps = [
-        step("generate_data", raw_files, "last_modified", count_text(" CSV files generated"), "No raw data files found"),
         step("ingest", parties, "ingested_at", count_text(" source records loaded"), "No source records found"),
         step("master", golden, "created_at", count_text(" golden records created"), "No golden records found"),
         step("quality", dq, "run_at",
              F.concat(F.lit("Pass rate: "), F.round(F.coalesce("rate", F.lit(0.0)) * 100, 1).cast("string"), F.lit("%")),
              "No quality runs found", [F.avg("pass_rate").alias("rate")]),
-        step("export", exported, "last_modified",
-             F.concat(F.lit("Size: "), F.round(F.col("bytes") / 1024, 1).cast("string"), F.lit(" KB")),
-             "No Parquet files found", [F.sum("size_bytes").alias("bytes")]),
     ]
+    if raw_files is not None:
+        steps.insert(0, step("generate_data", raw_files, "last_modified", count_text(" CSV files generated"), "No raw data files found"))
+    if exported is not None:
+        size = F.concat(F.lit("Size: "), F.round(F.col("bytes") / 1024, 1).cast("string"), F.lit(" KB"))
+        steps.append(step("export", exported, "last_modified", size, "No Parquet files found", [F.sum("size_bytes").alias("bytes")]))
     return reduce(DataFrame.unionByName, steps)

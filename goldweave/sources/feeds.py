@@ -142,4 +142,5 @@ def feed_rejects(rows: DataFrame, normalized: DataFrame) -> DataFrame:
 def write_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
     """CSV with a header and a fixed column list; other columns are dropped, absent ones left empty."""
     wanted = [(F.col(c) if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in columns]
-    rows.select(*wanted).write.mode("overwrite").option("header", True).option("escape", '"').option("emptyValue", "").csv(path)
+    plain = {"header": True, "escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.select(*wanted).write.mode("overwrite").options(**plain).csv(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -36,9 +37,9 @@ class SnapshotTable:
         return found[-1] if found else None
 
     def read(self, version: int | None = None, before: int | None = None) -> DataFrame:
-        """A published version, the newest by default; an empty frame when there is none."""
+        """A published version, the newest by default; an empty frame when there is none or it is negative."""
         chosen = version if version is not None else self.latest(before)
-        if chosen is None:
+        if chosen is None or chosen < 0:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self.path(chosen))
 
@@ -73,3 +74,39 @@ class AppendTable:
         with_batch = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
         rows = self.spark.read.schema(with_batch).parquet(self.root)
         return (rows if before is None else rows.filter(rows["batch"] < before)).drop("batch")
+
+
+class LogTable:
+    """Keyed table as a published base snapshot plus batches of changed rows.
+
+    A batch writes only the rows it changes. Readers take, per key, the row of
+    the newest batch, else the base row. :meth:`compact` folds both into a new base.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str):
+        self.key, self.schema = key, schema
+        self.base = SnapshotTable(spark, f"{root}/base", schema)
+        with_batch = T.StructType([*schema.fields, T.StructField("changed_in", T.LongType())])
+        self.changes = AppendTable(spark, f"{root}/changes", with_batch)
+
+    def start(self, df: DataFrame) -> None:
+        """First base. Version N holds every batch below N."""
+        self.base.write(df, 0)
+
+    def change(self, df: DataFrame, batch: int) -> None:
+        self.changes.append(df.withColumn("changed_in", F.lit(batch)), batch)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """State after all batches, or after those numbered below ``before``."""
+        version = self.base.latest(None if before is None else before + 1)
+        base = self.base.read(-1 if version is None else version)
+        log = self.changes.read(before)
+        if version is not None:
+            log = log.filter(F.col("changed_in") >= version)
+        row = F.max_by(F.struct(*self.schema.names), "changed_in").alias("row")
+        newest = log.groupBy(F.col(self.key).alias("_key")).agg(row).select("row.*")
+        return base.join(log.select(self.key), self.key, "left_anti").select(*self.schema.names).unionByName(newest)
+
+    def compact(self, upto: int) -> None:
+        """New base holding every batch below ``upto``."""
+        self.base.write(self.read(upto), upto)
