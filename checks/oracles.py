@@ -166,7 +166,7 @@ def _normalized(source: str, own: tuple[str, ...]) -> str:
 def _links_of(cte: str, column: str, kind: str) -> str:
     return _src(f"""SELECT '{kind}' AS match_type, {column} AS match_key, min(id) OVER w AS anchor_id, id, count(*) OVER w AS members,
         count(*) OVER w * (count(*) OVER w - 1) // 2 AS pairs, 1.0::double AS score FROM src
-        WHERE {column} <> '' QUALIFY count(*) OVER w > 1 WINDOW w AS (PARTITION BY {column})""")
+        WHERE {column} <> '' WINDOW w AS (PARTITION BY {column}) QUALIFY count(*) OVER w > 1""")
 
 
 _FUZZY = "SELECT id1 AS id_1, id2 AS id_2, score, 'FUZZY_NAME_ADDRESS' AS match_type, source_pair, CAST(1 AS BIGINT) AS pairs FROM fuzzy"
@@ -302,8 +302,8 @@ def registry() -> dict[str, str]:
         "fuzzy_pairs": _with(_MATCH, _FUZZY),
         "fuzzy_pairs_binarized": _with(_MATCH, "", _BINARY).rstrip() + ", " + _PROF + "\n" + _FUZZY_PROFILES,
         "match_edges": _with(_MATCH, """SELECT min(id) OVER w AS id_1, id AS id_2, 1.0::double AS score, 'TAX_ID_EXACT' AS match_type FROM src
-            WHERE tax_id <> '' QUALIFY min(id) OVER w < id WINDOW w AS (PARTITION BY tax_id)
-            UNION ALL SELECT min(id) OVER w, id, 1.0::double, 'LEI_EXACT' FROM src WHERE lei <> '' QUALIFY min(id) OVER w < id WINDOW w AS (PARTITION BY lei)
+            WHERE tax_id <> '' WINDOW w AS (PARTITION BY tax_id) QUALIFY min(id) OVER w < id
+            UNION ALL SELECT min(id) OVER w, id, 1.0::double, 'LEI_EXACT' FROM src WHERE lei <> '' WINDOW w AS (PARTITION BY lei) QUALIFY min(id) OVER w < id
             UNION ALL SELECT id1, id2, score, 'FUZZY_NAME_ADDRESS' FROM fuzzy"""),
         "match_counts": _with(_MATCH, """SELECT 'TAX_ID_EXACT' AS match_type, 'all' AS source_pair, count(*) AS pairs FROM tax HAVING count(*) > 0
             UNION ALL SELECT 'LEI_EXACT', 'all', count(*) FROM lei HAVING count(*) > 0

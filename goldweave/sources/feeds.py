@@ -89,7 +89,7 @@ def normalize(rows: DataFrame, source: str) -> DataFrame:
         text("full_name").alias("full_name"),
         optional["first_name"].alias("first_name"),
         optional["last_name"].alias("last_name"),
-        F.try_to_date(born, F.lit("yyyy-MM-dd")).alias("date_of_birth") if "date_of_birth" in own else F.lit(None).cast("date").alias("date_of_birth"),
+        F.try_to_date(born, "yyyy-MM-dd").alias("date_of_birth") if "date_of_birth" in own else F.lit(None).cast("date").alias("date_of_birth"),
         text("tax_id").alias("tax_id"),
         optional["lei"].alias("lei"),
         text("address_line1").alias("address_line1"),
@@ -134,7 +134,7 @@ def feed_rejects(rows: DataFrame, normalized: DataFrame) -> DataFrame:
         F.explode(F.array(*[F.struct(F.lit(n).alias("reason"), F.col(n).alias("rows")) for n in names])).alias("r")
     ).select("r.*")
     if "date_of_birth" in rows.columns:
-        bad = (F.col("date_of_birth") != "") & F.try_to_date("date_of_birth", F.lit("yyyy-MM-dd")).isNull()
+        bad = (F.col("date_of_birth") != "") & F.try_to_date("date_of_birth", "yyyy-MM-dd").isNull()
         found = found.unionByName(rows.agg(F.count_if(bad).alias("rows")).select(F.lit("date_of_birth_unreadable").alias("reason"), "rows"))
     return found.filter("rows > 0")
 
