@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, LongType
 
 # Fixed values of the Winkler variant: boost only above this Jaro score, weight per shared leading character.
 BOOST_ABOVE = 0.7
@@ -98,40 +98,65 @@ def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(jaro_winkler_array(left.fillna("").tolist(), right.fillna("").tolist()))
 
 
-def char_mask(text: Column) -> Column:
+def char_mask_array(texts: list[str]) -> np.ndarray:
+    """64-bit set of the (character, occurrence) tokens of each text; 0 for an empty one."""
+    out = np.zeros(len(texts), dtype=np.uint64)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    order = np.argsort(sizes, kind="stable")
+    order = order[sizes[order] > 0]
+    start = 0
+    while start < len(order):
+        stop = min(len(order), start + max(1, _CHUNK_CELLS // int(sizes[order[start]])))
+        while stop > start + 1 and (stop - start) * int(sizes[order[stop - 1]]) > _CHUNK_CELLS:
+            stop = start + max(1, (stop - start) // 2)
+        pick = order[start:stop]
+        width = int(sizes[order[stop - 1]])
+        chars = np.sort(_codepoints([texts[k] for k in pick], width), axis=1)
+        place = np.broadcast_to(np.arange(width), chars.shape)
+        begins = np.ones(chars.shape, dtype=bool)
+        begins[:, 1:] = chars[:, 1:] != chars[:, :-1]
+        nth = place - np.maximum.accumulate(np.where(begins, place, 0), axis=1)
+        token = chars.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + nth.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        bits = np.where(chars != 0, np.uint64(1) << (token >> np.uint64(58)), np.uint64(0))
+        out[pick] = np.bitwise_or.reduce(bits, axis=1)
+        start = stop
+    return out.view(np.int64)
+
+
+@F.pandas_udf(LongType())
+def char_mask(text: pd.Series) -> pd.Series:
     """64-bit set of the (character, occurrence) tokens of a text.
 
     A bit set on one side only proves at least one character without a partner
     there, whatever collides, so the mask gives a safe bound on shared characters.
     """
-    chars = F.sort_array(F.regexp_extract_all(text, F.lit("(?s)(.)"), F.lit(1)))
-    none = F.lit(0).cast("bigint")
+    return pd.Series(char_mask_array(text.fillna("").tolist()))
 
-    def add(acc: Column, char: Column) -> Column:
-        nth = F.when(char == acc["char"], acc["nth"] + 1).otherwise(F.lit(0))
-        slot = F.pmod(F.xxhash64(char, nth), F.lit(64)).cast("int")
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), slot)
-        return F.struct(acc["mask"].bitwiseOR(bit).alias("mask"), char.alias("char"), nth.alias("nth"))
 
-    start = F.struct(none.alias("mask"), F.lit("").alias("char"), F.lit(0).alias("nth"))
-    mask = F.aggregate(chars, start, add, lambda acc: acc["mask"])
-    return F.when(F.length(text) > 0, mask).otherwise(none)
+def bound_traits(text: str, name: str) -> dict[str, Column]:
+    """Columns of one text that :func:`jaro_winkler_bound` compares: mask, length and hashed prefixes."""
+    size = F.length(text)
+    return {
+        f"{name}_mask": char_mask(text),
+        f"{name}_size": size,
+        f"{name}_share": F.when(size > 0, 1.0 / (3.0 * size)).otherwise(0.0),
+        **{f"{name}_p{k}": F.hash(F.substring(text, 1, k)) for k in (1, 2, 4)},
+    }
 
 
-def jaro_winkler_bound(text_a: str, mask_a: str, text_b: str, mask_b: str) -> str:
-    """SQL expression never below the Jaro-Winkler similarity of two columns.
+def jaro_winkler_bound(name: str) -> str:
+    """SQL expression over sides ``l`` and ``r`` that is never below the similarity of two texts.
 
-    Takes column names: text and :func:`char_mask` of each side. Uses only
-    built-in functions, so it runs inside the generated code of a join.
+    Only arithmetic on the traits of :func:`bound_traits`, so it runs inside
+    the generated code of a join. Characters without a partner lower the
+    number of matches; a shared prefix is read off the prefix hashes.
     """
-    shared = (
-        f"least(length({text_a}) - bit_count({mask_a} & ~{mask_b}), length({text_b}) - bit_count({mask_b} & ~{mask_a}))"
-    )
-    jaro = (
-        f"(CASE WHEN {shared} <= 0 THEN 0D ELSE "
-        f"({shared} / cast(length({text_a}) AS double) + {shared} / cast(length({text_b}) AS double) + 1D) / 3D END)"
-    )
-    steps = " + ".join(
-        f"cast(substring({text_a}, 1, {k}) = substring({text_b}, 1, {k}) AS int)" for k in range(1, PREFIX_LENGTH + 1)
+    c = lambda side, trait: f"{side}.{name}_{trait}"
+    matches = " , ".join(
+        f"{c(a, 'size')} - bit_count({c(a, 'mask')} & ~{c(b, 'mask')})" for a, b in (("l", "r"), ("r", "l"))
     )
-    return f"(CASE WHEN {jaro} > {BOOST_ABOVE}D THEN {jaro} + ({steps}) * {PREFIX_WEIGHT}D * (1D - {jaro}) ELSE {jaro} END)"
+    jaro = f"(least({matches}) * ({c('l', 'share')} + {c('r', 'share')}) + {1 / 3!r}D)"
+    same = lambda k: f"{c('l', f'p{k}')} = {c('r', f'p{k}')}"
+    step = PREFIX_WEIGHT
+    boost = f"IF({same(1)}, IF({same(2)}, IF({same(4)}, {4 * step}D, {round(3 * step, 10)}D), {step}D), 0D)"
+    return f"({jaro} * (1D - {boost}) + {boost})"

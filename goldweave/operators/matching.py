@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldweave.config import FUZZY_NAME_ADDRESS, LEI_EXACT, TAX_ID_EXACT, MasteringConfig
-from goldweave.functions.similarity import char_mask, jaro_winkler, jaro_winkler_bound
+from goldweave.functions.similarity import bound_traits, jaro_winkler, jaro_winkler_bound
 from goldweave.functions.text import clean_key, filled
 
 # Key kind of records that agree on both identifiers; it corrects the overlap of the two exact kinds.
@@ -144,48 +144,53 @@ def blocked_profiles(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
             F.ceil(F.col("n_right") / cfg.block_cell_rows).alias("columns_of_cells"),
         )
     )
-    fitted = keyed.join(sizes, _BLOCK)
+    fitted = keyed.join(sizes, _BLOCK).withColumns({"city_hash": F.xxhash64("city_key"), "postal_hash": F.xxhash64("postal_code")})
     if _ignores_text(cfg):
         return fitted
-    return fitted.withColumns({"name_mask": char_mask(F.col("name_key")), "address_mask": char_mask(F.col("address_key"))})
+    return fitted.withColumns({**bound_traits("name_key", "name"), **bound_traits("address_key", "address")})
+
+
+def _best_text(text: str, cfg: MasteringConfig) -> str:
+    """SQL of the highest similarity a text of sides ``l`` and ``r`` can have."""
+    if _ignores_text(cfg):
+        return "1D"
+    bound = jaro_winkler_bound(text)
+    if cfg.binarize_threshold is None:
+        return bound
+    return f"IF({bound} >= {cfg.binarize_threshold - 1e-9}D, 1D, 0D)"
 
 
 def _candidates(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """Cross-source profile pairs whose best possible score reaches the threshold."""
     slot = lambda count: F.pmod(F.xxhash64("profile_id"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
+    cell = [*_BLOCK, "cell_row", "cell_column"]
+    # The work of a cell grows with its pairs, not its bytes: a fixed partition count keeps cells from being packed together.
+    tasks = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = (
         blocked.filter(F.col("source_rank") < len(cfg.compared_sources) - 1)
         .withColumn("cell_row", slot("rows_of_cells"))
         .withColumn("cell_column", every("columns_of_cells"))
+        .repartition(tasks, *cell)
     )
     right = (
         blocked.filter(F.col("source_rank") > 0)
         .withColumn("cell_column", slot("columns_of_cells"))
         .withColumn("cell_row", every("rows_of_cells"))
+        .repartition(tasks, *cell)
     )
-    same_city = "(l.city_key = r.city_key)"
-    same_postal = "coalesce(l.postal_code = r.postal_code, false)"
-
-    def best(text: str) -> str:
-        if _ignores_text(cfg):
-            return "1D"
-        bound = jaro_winkler_bound(f"l.{text}_key", f"l.{text}_mask", f"r.{text}_key", f"r.{text}_mask")
-        if cfg.binarize_threshold is None:
-            return bound
-        return f"(CASE WHEN {bound} >= {cfg.binarize_threshold}D THEN 1D ELSE 0D END)"
 
     total = (
-        f"{cfg.name_weight}D * {best('name')} + {cfg.address_weight}D * {best('address')}"
-        f" + {cfg.city_weight}D * cast({same_city} AS int) + {cfg.postal_weight}D * cast({same_postal} AS int)"
+        f"{cfg.name_weight}D * {_best_text('name', cfg)} + {cfg.address_weight}D * {_best_text('address', cfg)}"
+        f" + IF(l.city_hash = r.city_hash, {cfg.city_weight}D, 0D)"
+        f" + IF(l.postal_hash = r.postal_hash AND l.postal_code IS NOT NULL, {cfg.postal_weight}D, 0D)"
     )
-    once = f"(l.place_kind <> 'postal' OR NOT {same_city})"
-    same_cell = " AND ".join(f"l.{c} = r.{c}" for c in [*_BLOCK, "cell_row", "cell_column"])
+    once = "(l.place_kind <> 'postal' OR l.city_hash <> r.city_hash OR l.city_key <> r.city_key)"
+    same_cell = " AND ".join(f"l.{c} = r.{c}" for c in cell)
     return left.alias("l").join(
         right.alias("r"),
         F.expr(
-            f"{same_cell} AND l.source_rank < r.source_rank AND {once}"
-            f" AND {total} >= {cfg.fuzzy_threshold - 1e-9}D"
+            f"{same_cell} AND l.source_rank < r.source_rank AND {total} >= {cfg.fuzzy_threshold - 1e-9}D AND {once}"
         ),
     )
 
@@ -197,7 +202,7 @@ def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     def similarity(text: str) -> Column:
         if _ignores_text(cfg):
             return F.lit(1.0)
-        value = jaro_winkler(F.col(f"l.{text}_key"), F.col(f"r.{text}_key"))
+        value = jaro_winkler(F.col(f"{text}_key_a"), F.col(f"{text}_key_b"))
         if cfg.binarize_threshold is None:
             return value
         return (value >= cfg.binarize_threshold).cast("double")
@@ -207,26 +212,24 @@ def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
         for side, suffix in (("l", "a"), ("r", "b"))
         for name in _SIDE
     ]
-    agree = lambda name: F.coalesce(F.col(f"l.{name}") == F.col(f"r.{name}"), F.lit(False)).cast("double")
-    scored = candidates.select(
-        *sided,
-        similarity("name").alias("name_score"),
-        similarity("address").alias("address_score"),
-        agree("city_key").alias("city_score"),
-        agree("postal_code").alias("postal_score"),
-    ).withColumn(
-        "total",
-        F.round(
-            F.col("name_score") * cfg.name_weight
-            + F.col("address_score") * cfg.address_weight
-            + F.col("city_score") * cfg.city_weight
-            + F.col("postal_score") * cfg.postal_weight,
-            10,
-        ),
+    agree = lambda name: F.coalesce(F.col(f"{name}_a") == F.col(f"{name}_b"), F.lit(False)).cast("double")
+    place = agree("city_key") * cfg.city_weight + agree("postal_code") * cfg.postal_weight
+    # The name is compared first; the address only where the pair can still pass.
+    named = (
+        candidates.select(*sided, F.expr(_best_text("address", cfg)).alias("address_best"))
+        .withColumn("place_part", place)
+        .withColumn("name_score", similarity("name"))
+        .filter(
+            F.col("name_score") * cfg.name_weight + F.col("address_best") * cfg.address_weight + F.col("place_part")
+            >= cfg.fuzzy_threshold - 1e-9
+        )
+    )
+    total = F.round(
+        F.col("name_score") * cfg.name_weight + F.col("address_score") * cfg.address_weight + F.col("place_part"), 10
     )
+    scored = named.withColumn("address_score", similarity("address")).withColumn("total", total)
     return scored.filter(F.col("total") >= cfg.fuzzy_threshold).select(
-        *[f"{n}_{s}" for s in "ab" for n in _SIDE],
-        F.round("total", 4).alias("score"),
+        *[f"{n}_{s}" for s in "ab" for n in _SIDE], F.round("total", 4).alias("score")
     )
 
 
