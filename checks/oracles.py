@@ -79,6 +79,12 @@ _CTE["entities"] = f"""SELECT b.*, {_uuid('b.natural_key')} AS golden_id,
     coalesce(match_score, 1.0::double) AS match_score
     FROM best b LEFT JOIN pair_facts USING (cluster_id) LEFT JOIN link_score USING (cluster_id)"""
 _GOLDEN_TEXT = [c for c in GOLDEN_PARTIES.names if c not in ("golden_id", "confidence_score", "created_at", "updated_at")]
+# A first run over the records with odd ids; its golden ids stay with their records in the full run.
+_CTE["sym_odd"] = "SELECT a, b FROM sym WHERE a % 2 = 1 AND b % 2 = 1"
+_CTE["reach_odd"] = "SELECT id, id AS r FROM src WHERE id % 2 = 1 UNION SELECT reach_odd.id, sym_odd.b FROM reach_odd JOIN sym_odd ON reach_odd.r = sym_odd.a"
+_CTE["comp_odd"] = "SELECT id, min(r) AS cluster_id FROM reach_odd GROUP BY id"
+_CTE["held"] = f"""SELECT c.id, {_uuid('k')} AS golden_id FROM comp_odd c JOIN (SELECT cluster_id, min(source_system || '|' || source_party_id) AS k
+    FROM comp_odd JOIN src USING (id) GROUP BY cluster_id) USING (cluster_id)"""
 _CTE["golden"] = f"SELECT golden_id, {', '.join(_GOLDEN_TEXT)}, confidence_score, '{AS_OF}' AS created_at, '{AS_OF}' AS updated_at FROM entities"
 _CTE["links"] = f"""SELECT e.golden_id, m.id AS source_party_id, m.prio = e.top AS is_survivor, e.match_score, '{AS_OF}' AS linked_at
     FROM members m JOIN entities e USING (cluster_id)"""
@@ -320,6 +326,9 @@ def registry() -> dict[str, str]:
             FROM members m JOIN entities e USING (cluster_id)"""),
         "lineage_created": _tables(f"""SELECT golden_id, 'CREATED' AS event_type, 'batch_mastering' AS triggered_by, '{AS_OF}' AS event_at, n AS source_count,
             sources, confidence_score AS confidence, CASE WHEN confidence_score >= 0.99 THEN 'EXACT' ELSE 'FUZZY' END AS match_type FROM entities"""),
+        "stable_golden_ids": _with([*_ENTITY, "sym_odd", "reach_odd", "comp_odd", "held"], """SELECT m.id AS source_party_id,
+            coalesce(min(h.golden_id) OVER (PARTITION BY m.cluster_id), e.golden_id) AS golden_id
+            FROM members m JOIN entities e USING (cluster_id) LEFT JOIN held h ON h.id = m.id"""),
         "ingest_counts": _src("""SELECT source_system, party_type, count(*) AS count FROM src GROUP BY source_system, party_type
             UNION ALL SELECT 'TOTAL', '', count(*) FROM src"""),
         "golden_by_type": _tables("SELECT party_type, count(*) AS count, round(avg(confidence_score), 3) AS avg_confidence FROM golden GROUP BY party_type"),
