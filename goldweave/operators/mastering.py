@@ -201,7 +201,7 @@ def _lineage_detail(cfg: MasteringConfig) -> Column:
     """
     counts = F.col("source_counts")
     repeated = F.flatten(
-        F.transform(counts, lambda c: F.array_repeat(c["source_system"], c["records"].cast("int")))
+        F.transform(counts, lambda c: F.array_repeat(c["source_system"], F.least(c["records"], F.lit(cfg.lineage_list_limit)).cast("int")))
     )
     long = F.col("records") > cfg.lineage_list_limit
     return F.to_json(

@@ -107,6 +107,12 @@ class LogTable:
         newest = log.groupBy(F.col(self.key).alias("_key")).agg(row).select("row.*")
         return base.join(log.select(self.key), self.key, "left_anti").select(*self.schema.names).unionByName(newest)
 
+    def keys(self, before: int | None = None) -> DataFrame:
+        """Keys of the base and of all batches below ``before``, repeats included; no join."""
+        version = self.base.latest(None if before is None else before + 1)
+        base = self.base.read(-1 if version is None else version)
+        return base.select(self.key).unionByName(self.changes.read(before).select(self.key))
+
     def compact(self, upto: int) -> None:
         """New base holding every batch below ``upto``."""
         self.base.write(self.read(upto), upto)

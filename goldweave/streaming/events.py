@@ -32,12 +32,17 @@ _NEW_PARTY_TEXT = ("full_name", "first_name", "last_name", "tax_id", "address_li
 
 @dataclass(frozen=True)
 class State:
-    """Tables a batch reads. ``lineage`` only serves to recognise events already logged."""
+    """Tables a batch reads.
+
+    ``lineage`` only serves to recognise events already logged. ``source_ids``
+    may give the ids in use more cheaply than ``sources`` does.
+    """
 
     golden: DataFrame
     links: DataFrame
     sources: DataFrame
     lineage: DataFrame
+    source_ids: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -300,9 +305,11 @@ def _lineage(done: DataFrame, addresses: DataFrame, statuses: DataFrame, cfg: Ma
     ])
 
 
-def _fresh_lineage(rows: DataFrame, lineage: DataFrame, cfg: MasteringConfig) -> DataFrame:
-    """Rows whose event an earlier batch has not logged yet."""
-    logged = lineage.filter(F.col("triggered_by") == cfg.stream_trigger).select("event_id", "event_type").filter("event_id IS NOT NULL")
+def _fresh_lineage(rows: DataFrame, lineage: DataFrame, events: DataFrame, cfg: MasteringConfig) -> DataFrame:
+    """Rows whose event an earlier batch has not logged yet; the log is first cut to the batch's events."""
+    logged = lineage.filter(F.col("triggered_by") == cfg.stream_trigger).select("event_id", "event_type").join(
+        events.select("event_id").distinct(), "event_id", "left_semi"
+    )
     return rows.join(logged, ["event_id", "event_type"], "left_anti").select(*PARTY_LINEAGE.names)
 
 
@@ -356,9 +363,8 @@ def apply_events(state: State, events: DataFrame, cfg: MasteringConfig | None =
     scratch = scratch or Scratch(events.sparkSession, "events")
     readable = events.filter("problem IS NULL")
     asked = scratch.save(_new_parties(readable, state.sources), "new_party_events")
-    parties = scratch.save(
-        dense_ids(_party_row(asked.filter("accepted")), ["seq"], state.sources.select("id"), scratch, "numbered"), "new_parties"
-    )
+    ids = state.sources.select("id") if state.source_ids is None else state.source_ids
+    parties = scratch.save(dense_ids(_party_row(asked.filter("accepted")), ["seq"], ids, scratch, "numbered"), "new_parties")
     known = scratch.save(_known(state.golden, readable, parties), "known")
     created = asked.select("seq", "accepted", uuid_of(natural_key()).alias("created_id"))
     verdicts = scratch.save(_verdicts(readable, known, created), "verdicts")
@@ -402,7 +408,7 @@ def apply_events(state: State, events: DataFrame, cfg: MasteringConfig | None =
         golden=golden,
         links=links,
         sources=sources,
-        lineage=_fresh_lineage(_lineage(done, addresses, statuses, cfg, as_of), state.lineage, cfg),
+        lineage=_fresh_lineage(_lineage(done, addresses, statuses, cfg, as_of), state.lineage, done, cfg),
         confirmations=_confirmations(verdicts, statuses, as_of),
         errors=errors,
     )
