@@ -22,7 +22,7 @@ EVENTS_AS_OF = "2025-02-01 00:00:00"
 _kept: dict[tuple, object] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, build):
+def once(spark: SparkSession, sf_dir: str, name: str, build):
     """Builds a shared stage the first time a session asks for it; its tables are written to the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _kept:
@@ -80,7 +80,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
         )
         return Tables(out.save(fresh.parties, "parties"), stored)
 
-    return _once(spark, sf_dir, "tables", build)
+    return once(spark, sf_dir, "tables", build)
 
 
 def matches(spark: SparkSession, sf_dir: str, cfg: MasteringConfig | None = None) -> Matches:
@@ -90,7 +90,7 @@ def matches(spark: SparkSession, sf_dir: str, cfg: MasteringConfig | None = None
 
 def quality(spark: SparkSession, sf_dir: str) -> QualityRun:
     t = tables(spark, sf_dir)
-    return _once(spark, sf_dir, "quality", lambda: run_quality(
+    return once(spark, sf_dir, "quality", lambda: run_quality(
         t.parties, t.golden, t.links, "run-1", AS_OF, scratch(spark, "quality")))
 
 
@@ -144,5 +144,5 @@ def state(spark: SparkSession, sf_dir: str) -> State:
 
 def applied(spark: SparkSession, sf_dir: str) -> Applied:
     """All events applied as one batch."""
-    return _once(spark, sf_dir, "applied", lambda: apply_events(
+    return once(spark, sf_dir, "applied", lambda: apply_events(
         state(spark, sf_dir), decode(messages(spark, sf_dir)), None, scratch(spark, "events"), EVENTS_AS_OF))

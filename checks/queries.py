@@ -274,7 +274,12 @@ def _links_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(links.select("golden_id", "source_party_id", "is_survivor", "match_score"))
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, object]:
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame]:
+    """Store and progress report after streaming all events; run once per session."""
+    return data.once(spark, sf_dir, "streamed", lambda: _stream(spark, sf_dir))
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame]:
     """Writes the events as JSON lines in two goes and streams each into the stored tables."""
     out = data.scratch(spark, "stream")
     t = data.tables(spark, sf_dir)
@@ -290,7 +295,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, obje
         lines.filter(part).select("value").write.mode("append").text(out.path("inbox"))
         query = stream.start_stream(stream.read_messages(spark, "text", out.path("inbox")), write, out.path("checkpoint"))
         query.awaitTermination()
-    return store, query
+    return store, stream.stream_progress(spark, query)
 
 
 def _stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,8 +309,8 @@ def _stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, query = _streamed(spark, sf_dir)
-    return stream.stream_progress(spark, query).select("batch_id", "part", "end_offset", "lag", "status", "input_rows")
+    _, progress = _streamed(spark, sf_dir)
+    return progress.select("batch_id", "part", "end_offset", "lag", "status", "input_rows")
 
 
 def _of(function: Callable, *names: str) -> Query:
