@@ -45,6 +45,11 @@ def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCE_PARTIES])
 
 
+def source_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source records as the stored table mastering reads."""
+    return once(spark, sf_dir, "sources", lambda: scratch(spark, "sources").save(parties(spark, sf_dir), "source_parties"))
+
+
 @dataclass(frozen=True)
 class Tables:
     parties: DataFrame
@@ -64,8 +69,8 @@ class Tables:
 
 
 def fresh_mastering(spark: SparkSession, sf_dir: str, cfg: MasteringConfig | None = None) -> Tables:
-    """Runs mastering from the source records."""
-    rows = parties(spark, sf_dir)
+    """Runs mastering from the source table."""
+    rows = source_table(spark, sf_dir)
     return Tables(rows, master_parties(rows, cfg, scratch(spark, "mastering"), AS_OF))
 
 
@@ -78,14 +83,14 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
         stored = Mastered(
             m.matches, m.clusters, m.entities, out.save(m.golden, "golden"), out.save(m.links, "links"), out.save(m.lineage, "lineage")
         )
-        return Tables(out.save(fresh.parties, "parties"), stored)
+        return Tables(fresh.parties, stored)
 
     return once(spark, sf_dir, "tables", build)
 
 
 def matches(spark: SparkSession, sf_dir: str, cfg: MasteringConfig | None = None) -> Matches:
-    """Runs the matching stage from the source records."""
-    return find_matches(parties(spark, sf_dir), cfg or MasteringConfig(), scratch(spark, "matching").save)
+    """Runs the matching stage from the source table."""
+    return find_matches(source_table(spark, sf_dir), cfg or MasteringConfig(), scratch(spark, "matching").save)
 
 
 def quality(spark: SparkSession, sf_dir: str) -> QualityRun:

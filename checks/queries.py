@@ -127,7 +127,7 @@ def _append_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _exact(kind: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(matching.exact_links(data.parties(spark, sf_dir)).filter(F.col("match_type") == kind))
+    return plain(matching.exact_links(data.source_table(spark, sf_dir)).filter(F.col("match_type") == kind))
 
 
 def _fuzzy(cfg: MasteringConfig, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +136,7 @@ def _fuzzy(cfg: MasteringConfig, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = data.matches(spark, sf_dir)
-    return mastering.components(data.parties(spark, sf_dir), mastering.build_clusters(found, data.scratch(spark, "components")))
+    return mastering.components(data.source_table(spark, sf_dir), mastering.build_clusters(found, data.scratch(spark, "components")))
 
 
 def _golden_binarized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +154,7 @@ def _lineage_created(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masters half the records, then all of them with the first run's links: old ids stay."""
-    rows = data.parties(spark, sf_dir)
+    rows = data.source_table(spark, sf_dir)
     half = mastering.master_parties(rows.filter("id % 2 = 1"), CFG, data.scratch(spark, "half"), data.AS_OF)
     held = data.scratch(spark, "held").save(half.links, "links")
     full = mastering.master_parties(rows, CFG, data.scratch(spark, "full"), data.AS_OF, held)
