@@ -1,9 +1,7 @@
-import itertools
 import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from goldweave.config import MasteringConfig
 from goldweave.operators.components import connected_components
