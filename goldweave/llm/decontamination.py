@@ -113,5 +113,5 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, found: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without a hit. Those with one go as a whole, as their remainder still tells the answers' context."""
-    bad = found.filter("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(bad, F.col(id_column).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_column)) == F.col("_key")), "left_anti")
+    bad = found.filter("n_hit > 0").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
+    return docs.join(bad, F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_column)) == F.col("__key")), "left_anti")

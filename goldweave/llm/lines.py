@@ -50,17 +50,17 @@ def drop_boilerplate(
     found = boilerplate_lines(docs, ratio=ratio, min_pages=min_pages, text_column=text_column, host_column=host_column)
     # Written, so that its true size decides how it is joined and the counting runs once.
     by_host = scratch.save(found.groupBy("host").agg(F.collect_set("line").alias("lines")), "boilerplate").select(
-        F.col("host").alias("_host"), F.col("lines").alias("_drop")
+        F.col("host").alias("__host"), F.col("lines").alias("__drop")
     )
-    drop = F.coalesce(F.col("_drop"), F.array().cast("array<bigint>"))
+    drop = F.coalesce(F.col("__drop"), F.array().cast("array<bigint>"))
     lines = _lines(F.col(text_column))
-    kept = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(F.col("_drop"), _key(line)), F.lit(False)))
-    joined = docs.drop("n_lines", "n_dropped").join(by_host, F.col(host_column).eqNullSafe(F.col("_host")), "left")
+    kept = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(F.col("__drop"), _key(line)), F.lit(False)))
+    joined = docs.drop("n_lines", "n_dropped").join(by_host, F.col(host_column).eqNullSafe(F.col("__host")), "left")
     cut = joined.withColumns({
-        "_kept": F.when(F.size(drop) > 0, kept).otherwise(lines),
+        "__kept": F.when(F.size(drop) > 0, kept).otherwise(lines),
         "n_lines": F.when(F.col(text_column).isNotNull(), F.size(lines)).otherwise(0).cast("long"),
     })
     return cut.withColumns({
-        text_column: F.array_join("_kept", "\n"),
-        "n_dropped": F.when(F.col(text_column).isNotNull(), F.col("n_lines") - F.size("_kept")).otherwise(0).cast("long"),
-    }).drop("_host", "_drop", "_kept")
+        text_column: F.array_join("__kept", "\n"),
+        "n_dropped": F.when(F.col(text_column).isNotNull(), F.col("n_lines") - F.size("__kept")).otherwise(0).cast("long"),
+    }).drop("__host", "__drop", "__kept")

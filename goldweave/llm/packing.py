@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A worker keeps the ids of recent words, at most twice this many; older words are encoded again.
-REMEMBERED_WORDS = 200_000
+# A worker keeps the ids of recent words, at most twice this many (some 300 MB); older words are encoded again.
+REMEMBERED_WORDS = 800_000
 _BLANKS = re.compile("[ \t\n\r]+")
 _encoders: dict[str, _Encoder] = {}
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldweave.llm import decontamination, lines, packing
-from goldweave.llm.common import read, scratch
+from goldweave.llm import (
+    decontamination, jaccard, language, lines, neighbours, ngram_model, packing, personal_data, secret_scan, toxicity,
+)
+from goldweave.llm.common import fold_of, read, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,15 +33,87 @@ def op2_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _digest(spans: Column) -> Column:
+    """kind:start:stop of sorted spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def _number(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op3_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(read(spark, sf_dir, "documents"), scratch(spark, "op3"))
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id", *[_number(F.col("spans"), kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
+        F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_crf_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id", *[_number(base, kind).alias(f"n_{kind}") for kind in personal_data.KINDS],
+        F.sha2(_digest(base), 256).alias("base_sha256"), _digest(F.col("spans")).alias("spans"),
+    )
+
+
+def op5_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    cfg = language.Settings()
+    field = language.fit(language.training_rows(docs.filter(fold_of(F.col("doc_id"), 3) != 1), cfg), cfg)
+    return language.identified(docs.select("doc_id", "text"), field).select(
+        "doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, scratch(spark, "op6"))
+    return found.withColumnRenamed("neighbour_id", "vec_id")
+
+
+def op7_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold_of(F.col("doc_id"), 10) == 0
+    model = ngram_model.train(docs.filter(~held_out), scratch(spark, "op7"))
+    return ngram_model.scored(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op8_site_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_boilerplate(read(spark, sf_dir, "documents"), scratch(spark, "op8")).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
+def op9_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = _toxicity(docs, read(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, machine).select(
+        "doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def _toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.Machine:
+    cfg = toxicity.Settings()
+    return toxicity.fit(toxicity.training_rows(docs, labels.filter(fold_of(F.col("doc_id"), 5) != 0), cfg), cfg)
+
+
+def op10_minhash_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.jaccard_join(read(spark, sf_dir, "documents"), scratch(spark, "op10"))
+    return joined.select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_power_of_two_packing": op1_power_of_two_packing,
         "op2_winnowing_decontamination": op2_winnowing_decontamination,
+        "op3_randomness_secrets": op3_randomness_secrets,
+        "op4_crf_personal_data": op4_crf_personal_data,
+        "op5_crf_language": op5_crf_language,
+        "op6_multiprobe_neighbours": op6_multiprobe_neighbours,
+        "op7_elias_fano_trie": op7_elias_fano_trie,
         "op8_site_line_frequency": op8_site_line_frequency,
+        "op9_factorization_toxicity": op9_factorization_toxicity,
+        "op10_minhash_jaccard_join": op10_minhash_jaccard_join,
     }
 
 
