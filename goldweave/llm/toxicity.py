@@ -20,17 +20,22 @@ from goldweave.llm.common import alnum_words
 class Settings:
     """``rows`` bounds the labelled rows the model is fitted on, and so what the driver holds.
 
-    Terms in fewer than ``min_docs`` of them carry no weight.
+    Terms in fewer than ``min_docs`` of them carry no weight, nor do terms in
+    less than a share ``common`` of them whose number of toxic rows is within
+    ``away`` standard deviations of what chance gives.
     """
 
     rows: int = 12_000
     slots: int = 1 << 18
     factors: int = 8
     min_docs: int = 4
-    epochs: int = 12
+    away: float = 5.0
+    common: float = 0.2
+    epochs: int = 30
     batch: int = 512
-    rate: float = 0.03
-    l2: float = 1e-3
+    rate: float = 1.0
+    momentum: float = 0.9
+    l2: float = 1e-4
     seed: int = 17
 
 
@@ -69,9 +74,11 @@ def _row_sums(np, rows, values, n):
 
 
 def _margin(np, rows, at, n, bias, linear, pairs):
+    """Log-odds of each row; the vectors of its terms, their sum, and the row's number of terms."""
     v = pairs[at]
-    total = _row_sums(np, rows, v, n)
-    return bias + _row_sums(np, rows, linear[at], n) + 0.5 * ((total**2).sum(1) - _row_sums(np, rows, (v * v).sum(1), n)), v, total
+    total, terms = _row_sums(np, rows, v, n), np.maximum(np.bincount(rows, minlength=n), 1)
+    pair = 0.5 * ((total**2).sum(1) - _row_sums(np, rows, (v * v).sum(1), n)) / terms
+    return bias + _row_sums(np, rows, linear[at], n) + pair, v, total, terms
 
 
 def fit(rows: DataFrame, cfg: Settings) -> Machine:
@@ -89,17 +96,21 @@ def fit(rows: DataFrame, cfg: Settings) -> Machine:
     sizes = np.diff(np.asarray(lists.offsets))
     flat, doc = np.asarray(lists.flatten()), np.repeat(np.arange(len(y)), sizes)
     slots, at, seen = np.unique(flat, return_inverse=True, return_counts=True)
-    keep = seen >= cfg.min_docs
+    # A term in few rows that goes with neither class is noise: summed over a long text it would drown the signal.
+    share = (y.sum() + 0.5) / (len(y) + 1)
+    away = (np.bincount(at, y[doc], len(slots)) - seen * share) / np.sqrt(seen * share * (1 - share))
+    keep = (seen >= cfg.min_docs) & ((np.abs(away) >= cfg.away) | (seen >= cfg.common * len(y)))
     new = np.cumsum(keep) - 1
     slots, mask = slots[keep], keep[at]
     at, doc = new[at[mask]], doc[mask]
     starts = np.searchsorted(doc, np.arange(len(y) + 1))
 
-    share = (y.sum() + 0.5) / (len(y) + 1)
     rng = np.random.default_rng(cfg.seed)
-    weights = [np.array([np.log(share / (1 - share))]), np.zeros(len(slots)), rng.normal(0, 0.01, (len(slots), cfg.factors))]
+    weights = [np.array([np.log(share / (1 - share))]), np.zeros(len(slots)), rng.normal(0, 0.05, (len(slots), cfg.factors))]
     if 0 < y.sum() < len(y):
-        first, second, step = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights], 0
+        moved = [np.zeros_like(w) for w in weights]
+        # Decay in inverse proportion to a term's rows: what few rows suggest is mostly chance.
+        shrink = 1 - np.minimum(0.5, cfg.rate * cfg.l2 * len(y) / seen[keep])
         for _ in range(cfg.epochs):
             order = rng.permutation(len(y))
             for b in range(0, len(y), cfg.batch):
@@ -108,19 +119,20 @@ def fit(rows: DataFrame, cfg: Settings) -> Machine:
                 spans = [np.arange(starts[d], starts[d + 1]) for d in part]
                 row = np.repeat(np.arange(n), [len(s) for s in spans])
                 term, local = np.unique(at[np.concatenate(spans)], return_inverse=True)
-                z, v, total = _margin(np, row, local, n, weights[0][0], weights[1][term], weights[2][term])
+                z, v, total, terms = _margin(np, row, local, n, weights[0][0], weights[1][term], weights[2][term])
                 error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[part]) / n
                 e = error[row]
                 gradients = [
-                    np.array([error.sum()]), np.bincount(local, e, len(term)) + cfg.l2 * weights[1][term] / n,
-                    _row_sums(np, local, e[:, None] * (total[row] - v), len(term)) + cfg.l2 * weights[2][term] / n,
+                    np.array([error.sum()]), np.bincount(local, e, len(term)),
+                    _row_sums(np, local, (e / terms[row])[:, None] * (total[row] - v), len(term)),
                 ]
-                step += 1
+                # Steps in proportion to the gradient: a term in few rows moves little, so chance hits of rare terms stay small.
                 for k, (gradient, where) in enumerate(zip(gradients, (slice(None), term, term))):
-                    first[k][where] = 0.9 * first[k][where] + 0.1 * gradient
-                    second[k][where] = 0.99 * second[k][where] + 0.01 * gradient**2
-                    rate = cfg.rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-                    weights[k][where] -= rate * first[k][where] / (np.sqrt(second[k][where]) + 1e-8)
+                    moved[k] *= cfg.momentum
+                    moved[k][where] += gradient
+                    weights[k] -= cfg.rate * moved[k]
+                weights[1] *= shrink
+                weights[2] *= shrink[:, None]
     return Machine(slots, float(weights[0][0]), weights[1], weights[2], cfg.slots)
 
 
@@ -145,6 +157,6 @@ def scored(docs: DataFrame, machine: Machine, *, text_column: str = "text", scor
         known = at < len(m.slots)
         known[known] = m.slots[at[known]] == flat[known]
         z = _margin(np, row[known], at[known], n, m.bias, m.linear, m.pairs)[0]
-        return pa.array(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+        return pa.array(np.where(np.isneginf(z), 0.0, 1 / (1 + np.exp(-np.clip(z, -700, 700)))))
 
     return docs.withColumn(score_column, score(term_slots(F.col(text_column), machine.n_slots)))
