@@ -12,8 +12,9 @@ from goldweave.config import MasteringConfig
 from goldweave.operators.mastering import Mastered, master_parties
 from goldweave.operators.matching import Matches, find_matches
 from goldweave.operators.quality import QualityRun, run_quality
-from goldweave.schemas import SOURCE_PARTIES
+from goldweave.schemas import DQ_RESULTS, SOURCE_PARTIES
 from goldweave.session import Scratch, tune
+from goldweave.sources.tables import AppendTable
 from goldweave.streaming.events import Applied, State, apply_events, decode
 
 AS_OF = "2025-01-01 00:00:00"
@@ -99,13 +100,20 @@ def quality(spark: SparkSession, sf_dir: str) -> QualityRun:
         t.parties, t.golden, t.links, "run-1", AS_OF, scratch(spark, "quality")))
 
 
+RUNS = 8
+
+
 def dq_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results table after two runs a day apart."""
-    first = quality(spark, sf_dir).results
-    second = first.withColumns({
-        "run_id": F.lit("run-2"), "run_at": F.col("run_at") + F.expr("INTERVAL 1 DAY"),
-    })
-    return first.unionByName(second)
+    """Results table after eight runs three hours apart, the second of them repeated."""
+    def build() -> DataFrame:
+        table = AppendTable(spark, scratch(spark, "dq").path("dq_results"), DQ_RESULTS)
+        first = quality(spark, sf_dir).results
+        for run in [*range(1, RUNS + 1), 2]:
+            later = F.col("run_at") + F.expr(f"INTERVAL {3 * (run - 1)} HOURS")
+            table.append(first.withColumns({"run_id": F.lit(f"run-{run}"), "run_at": later}), f"run-{run}")
+        return table.read()
+
+    return once(spark, sf_dir, "dq_log", build)
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ def _survivorship() -> str:
     for f in PRIORITY_FIELDS:
         picks.append(f"arg_min(trim({f}::varchar), (10 - prio) * 1000000 + ord) FILTER (WHERE {good(f)}) AS {f}")
     return f"""SELECT cluster_id, count(*) AS n, max(prio) AS top, min(source_system || '|' || source_party_id) AS natural_key,
-        '[' || string_agg('"' || source_system || '"', ',' ORDER BY ord) || ']' AS sources, {', '.join(picks)}
+        list_sort(map_entries(histogram(source_system))) AS by_source, {', '.join(picks)}
         FROM members GROUP BY cluster_id"""
 
 
@@ -158,15 +158,21 @@ def _events(body: str, *extra: str) -> str:
     return _with([*_EVENTS, *extra], body)
 
 
-def _normalized(source: str, own: tuple[str, ...]) -> str:
+def _normal(source: str, own: tuple[str, ...]) -> str:
     null = "CAST(NULL AS VARCHAR)"
     opt = lambda c: f"nullif(coalesce({c}, ''), '')" if c in own else null
     name = lambda c: f"coalesce({c}, '')" if c in own else null
-    return _src(f"""SELECT source_system, source_party_id, party_type, trim(coalesce(full_name, '')) AS full_name,
+    return f"""SELECT source_system, source_party_id, party_type, trim(coalesce(full_name, '')) AS full_name,
         {name('first_name')} AS first_name, {name('last_name')} AS last_name,
         {"date_of_birth::varchar" if "date_of_birth" in own else null} AS date_of_birth, coalesce(tax_id, '') AS tax_id, {opt('lei')} AS lei,
         coalesce(address_line1, '') AS address_line1, nullif(coalesce(address_line2, ''), '') AS address_line2, city, state, postal_code, country,
-        {opt('email')} AS email, {opt('phone')} AS phone, entity_status FROM src WHERE source_system = '{source}'""")
+        {opt('email')} AS email, {opt('phone')} AS phone, entity_status FROM src WHERE source_system = '{source}'"""
+
+
+# Columns each feed carries beyond the shared ones.
+_FEEDS = {
+    "internal_crm": ("first_name", "last_name", "date_of_birth", "email", "phone"), "dnb_feed": ("phone",), "markit_feed": ("lei",),
+}
 
 
 def _links_of(cte: str, column: str, kind: str) -> str:
@@ -243,7 +249,18 @@ _DQ_CTES = f""", checks AS (SELECT * FROM ({_DQ_SOURCE}) UNION ALL SELECT * FROM
     results AS (SELECT 'run-1' AS run_id, CASE suite WHEN '{_S}' THEN 'source_parties' WHEN '{_G}' THEN 'golden_parties' ELSE 'party_clusters' END AS source_system,
       suite AS expectation_suite, total_records, passed_records, failed_records, round(passed_records / total_records, 4) AS pass_rate,
       round(passed_records / (passed_records + failed_records), 4) AS record_check_rate, '{AS_OF}' AS run_at FROM summary),
-    history AS (SELECT * FROM results UNION ALL SELECT * REPLACE ('run-2' AS run_id, '2025-01-02 00:00:00' AS run_at) FROM results)"""
+    history AS (SELECT * EXCLUDE (k) REPLACE ('run-' || k AS run_id, strftime(TIMESTAMP '{AS_OF}' + to_hours(3 * (k - 1)), '%Y-%m-%d %H:%M:%S') AS run_at)
+      FROM results, (SELECT unnest(range(1, 9)) AS k))"""
+# What each check of the suites was asked for: allowed values, lower and upper bound.
+_ARGUMENTS = " UNION ALL ".join(
+    f"SELECT '{suite}' AS suite, '{name}' AS expectation, {values} AS value_set, {low}::double AS min_value, {high}::double AS max_value"
+    for suite, name, values, low, high in [
+        *[(suite, f"expect_{column}_in_set", "'" + ",".join(allowed) + "'", "NULL", "NULL") for suite, column, allowed in (
+            (_S, "party_type", PARTY_TYPES), (_S, "source_system", SOURCE_SYSTEMS), (_S, "entity_status", ENTITY_STATUSES),
+            (_G, "party_type", PARTY_TYPES), (_G, "entity_status", ENTITY_STATUSES))],
+        (_S, "expect_tax_id_length_9_to_12", "NULL::varchar", 9, 12), (_S, "expect_state_length_2_to_2", "NULL::varchar", 2, 2),
+        (_G, "expect_confidence_score_between_0.0_1.0", "NULL::varchar", 0, 1), (_G, "expect_confidence_score_between_0.8_1.0", "NULL::varchar", 0.8, 1),
+    ])
 
 
 def _quality(body: str) -> str:
@@ -280,15 +297,29 @@ _STEP = """SELECT '{step}' AS step, 'success' AS status, strftime(last, '%Y-%m-%
     (epoch(TIMESTAMP '2025-01-02 06:30:00') - epoch(last)) / 3600 > 24 AS is_stale, {detail} AS details FROM ({facts})"""
 
 
+_CONFIRMED = f"""SELECT j.seq, event_id, j.event_type, split_part(verdict, ': ', 1) AS status,
+            CASE WHEN verdict <> 'success' THEN substr(verdict, instr(verdict, ': ') + 2) END AS reason,
+            CASE WHEN verdict = 'success' THEN CASE j.event_type WHEN 'NEW_PARTY' THEN {_NEW_ID} WHEN 'ENTITY_MERGE' THEN primary_id ELSE j.golden_id END END AS golden_id,
+            CASE WHEN verdict = 'success' THEN CASE j.event_type WHEN 'ADDRESS_CHANGE' THEN 'address_updated' WHEN 'KYC_STATUS_UPDATE' THEN 'kyc_logged'
+              WHEN 'NEW_PARTY' THEN 'new_party_created' WHEN 'STATUS_CHANGE' THEN 'status_changed_' || o.old_status || '_to_' || new_status
+              ELSE 'merged_' || secondary_id || '_into_' || primary_id END END AS action
+            FROM judged j LEFT JOIN status_ops o ON o.seq = j.seq AND o.event_type = 'STATUS_CHANGE' WHERE verdict NOT LIKE 'error%'"""
+_LANDED = ["source_party_id", "party_type", "tax_id", "address_line1", "address_line2", "city", "state", "postal_code", "country", "entity_status"]
+_HALF = "(SELECT (min(seq) + max(seq)) // 2 FROM ev)"
+
+
 def registry() -> dict[str, str]:
     sql = {
         "source_parties": _src(f"SELECT * REPLACE (date_of_birth::varchar AS date_of_birth), {_LOADED} AS ingested_at, {_LOADED} AS updated_at FROM src"),
-        "normalize_crm": _normalized("internal_crm", ("first_name", "last_name", "date_of_birth", "email", "phone")),
-        "normalize_dnb": _normalized("dnb_feed", ("phone",)),
-        "normalize_markit": _normalized("markit_feed", ("lei",)),
-        "feed_csv_roundtrip": _src("""SELECT source_party_id, full_name, date_of_birth::varchar AS date_of_birth, coalesce(tax_id, '') AS tax_id, email,
-            ' ' || chr(9) || full_name || '  ' || chr(9) AS raw_full_name, coalesce(email, '') AS raw_email FROM src WHERE source_system = 'internal_crm'"""),
-        "raw_landing": _src("SELECT source_party_id || ',' || coalesce(tax_id, '') AS line FROM src WHERE source_system = 'dnb_feed'"),
+        "normalize_crm": _src(_normal("internal_crm", _FEEDS["internal_crm"])),
+        "normalize_dnb": _src(_normal("dnb_feed", _FEEDS["dnb_feed"])),
+        "normalize_markit": _src(_normal("markit_feed", _FEEDS["markit_feed"])),
+        "feed_csv_roundtrip": _src(" UNION ALL ".join(f"""SELECT n.source_system, n.source_party_id, n.party_type, n.full_name, n.date_of_birth, n.tax_id, n.lei,
+            n.address_line1, n.city, n.state, n.postal_code, n.country, n.email, n.phone, n.entity_status, ' ' || chr(9) || coalesce(s.full_name, '') || '  ' || chr(9) AS raw_full_name,
+            coalesce(s.tax_id, '') AS raw_tax_id, coalesce(s.city, '') AS raw_city FROM ({_normal(feed, own)}) n JOIN src s USING (source_system, source_party_id)"""
+            for feed, own in _FEEDS.items())),
+        "raw_landing": _src(f"""SELECT source_system AS source, {" || ',' || ".join(f"coalesce({c}, '')" for c in _LANDED)} AS line FROM src
+            UNION ALL SELECT f, '{",".join(_LANDED)}' FROM (VALUES ('internal_crm'), ('dnb_feed'), ('markit_feed')) t(f)"""),
         "feed_rejects": _src("""SELECT reason, count(*) AS rows FROM (
             SELECT 'date_of_birth_unreadable' AS reason FROM src WHERE source_system = 'internal_crm' AND (id - 1 + 10000) % 7 = 0
             UNION ALL SELECT 'postal_code_too_long' FROM src WHERE source_system = 'internal_crm' AND (id - 1 + 10000) % 5 = 0) GROUP BY reason"""),
@@ -325,7 +356,8 @@ def registry() -> dict[str, str]:
             m.prio = e.top AND m.ord = min(CASE WHEN m.prio = e.top THEN m.ord END) OVER (PARTITION BY m.cluster_id) AS is_survivor
             FROM members m JOIN entities e USING (cluster_id)"""),
         "lineage_created": _tables(f"""SELECT golden_id, 'CREATED' AS event_type, 'batch_mastering' AS triggered_by, '{AS_OF}' AS event_at, n AS source_count,
-            sources, confidence_score AS confidence, CASE WHEN confidence_score >= 0.99 THEN 'EXACT' ELSE 'FUZZY' END AS match_type FROM entities"""),
+            '[' || array_to_string(list_transform(by_source, lambda e: '"' || e.key || '"'), ',') || ']' AS sources,
+            '[' || array_to_string(list_transform(by_source, lambda e: e.value), ',') || ']' AS source_counts, confidence_score AS confidence, CASE WHEN confidence_score >= 0.99 THEN 'EXACT' ELSE 'FUZZY' END AS match_type FROM entities"""),
         "stable_golden_ids": _with([*_ENTITY, "sym_odd", "reach_odd", "comp_odd", "held"], """SELECT m.id AS source_party_id,
             coalesce(min(h.golden_id) OVER (PARTITION BY m.cluster_id), e.golden_id) AS golden_id
             FROM members m JOIN entities e USING (cluster_id) LEFT JOIN held h ON h.id = m.id"""),
@@ -357,6 +389,8 @@ def registry() -> dict[str, str]:
             (SELECT round(avg(confidence_score) * 100, 1) FROM golden) AS avg_confidence_pct,
             (SELECT count(*) FROM src) - (SELECT count(*) FROM golden) AS duplicates_resolved"""),
         "freshness": _quality(" UNION ALL ".join([
+            _STEP.format(step="generate_data", detail="'3 CSV files generated'", facts="SELECT TIMESTAMP '2025-01-01 12:00:00' AS last"),
+            _STEP.format(step="export_s3", detail="'Size: 2.0 KB'", facts="SELECT TIMESTAMP '2025-01-01 12:00:00' AS last"),
             _STEP.format(step="ingest", detail="n || ' source records loaded'", facts=f"SELECT count(*) AS n, max(({_LOADED})::timestamp) AS last FROM src"),
             _STEP.format(step="master", detail="n || ' golden records created'", facts="SELECT count(*) AS n, max(created_at::timestamp) AS last FROM golden"),
             _STEP.format(step="quality", detail="'Pass rate: ' || round(rate * 100, 1) || '%'", facts="SELECT max(run_at::timestamp) AS last, avg(pass_rate) AS rate FROM history"),
@@ -372,7 +406,13 @@ def registry() -> dict[str, str]:
             """SELECT 'filtered', CAST(4 AS BIGINT), 'column_missing_no_such_column', 'no_such_column', CAST(NULL AS VARCHAR), count(*), CAST(0 AS BIGINT), CAST(0 AS BIGINT),
                CAST(0 AS BIGINT), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), 0.0::double, 1.0::double, false FROM src""",
         ])),
-        "dq_results": _quality("SELECT * FROM results"),
+        "dq_results": _quality(f"""SELECT r.*, c.expectation, c."column", a.value_set, a.min_value, a.max_value, c.mostly, c.unlinked, c.orphans, c.survivors, c.golden
+            FROM results r JOIN (
+              SELECT suite, expectation, "column", mostly, NULL::bigint AS unlinked, NULL::bigint AS orphans, NULL::bigint AS survivors, NULL::bigint AS golden FROM checks
+              UNION ALL SELECT suite, expectation, NULL, NULL, CASE WHEN position = 0 THEN missing END, CASE WHEN position = 1 THEN missing END,
+              CASE WHEN position = 2 THEN linked END, CASE WHEN position = 2 THEN total END FROM integrity) c ON c.suite = r.expectation_suite
+            LEFT JOIN ({_ARGUMENTS}) a ON a.suite = c.suite AND a.expectation = c.expectation"""),
+        "dq_append": _quality("SELECT * FROM history"),
         "dq_report": _quality("""SELECT s.suite, CASE WHEN failed_checks = 0 THEN 'PASSED' ELSE 'FAILED' END AS status, total_records, passed_checks, total_checks,
             coalesce(f.names, '') AS failed_checks FROM summary s LEFT JOIN (SELECT suite, string_agg(expectation, ',' ORDER BY position) AS names FROM (
               SELECT suite, position, expectation, success FROM checks UNION ALL SELECT suite, position, expectation, success FROM integrity) WHERE NOT success GROUP BY suite) f USING (suite)
@@ -397,7 +437,11 @@ def registry() -> dict[str, str]:
         "export_by_type_counts": _tables("SELECT party_type, count(*) AS count FROM golden GROUP BY party_type"),
         "export_summary": _tables(f"""SELECT count(*) AS total, count(*) FILTER (WHERE source_record_count > 1) AS multi_source,
             count(DISTINCT party_type) AS party_types FROM ({_EXPORT})"""),
-        "file_preview": _tables("""SELECT golden_id, coalesce(full_name, '') AS full_name, coalesce(lei, '') AS lei, coalesce(date_of_birth, '') AS date_of_birth
+        "zone_listing": _tables("""SELECT 'golden' AS zone, 'golden_records/' || f AS folder, true AS sums_agree FROM (VALUES ('full'), ('multi_source')) t(f)
+            UNION ALL SELECT DISTINCT 'golden', 'golden_records/by_type/party_type=' || party_type, true FROM golden WHERE party_type IS NOT NULL
+            UNION ALL SELECT 'raw', f, true FROM (VALUES ('internal_crm/individuals.csv'), ('dnb_feed/organizations.csv'), ('markit_feed/legal_entities.csv')) t(f)
+            UNION ALL SELECT z, '', true FROM (VALUES ('golden'), ('raw'), ('TOTAL')) t(z)"""),
+        "file_preview": _tables("""SELECT (SELECT count(*) FROM golden) AS total_rows, golden_id, coalesce(full_name, '') AS full_name, coalesce(lei, '') AS lei, coalesce(date_of_birth, '') AS date_of_birth
             FROM golden ORDER BY golden_id LIMIT 10"""),
         "event_mix": _with(["ev"], "SELECT event_type, count(*) AS count FROM ev GROUP BY event_type"),
         "event_routing": _with(["ev"], """SELECT event_type, CASE WHEN event_type = 'PURCHASE' THEN 'skipped' ELSE 'handled' END AS route, count(*) AS count
@@ -417,15 +461,15 @@ def registry() -> dict[str, str]:
         "links_after_events": _events("""SELECT a.golden_id, a.source_party_id, l.is_survivor AND NOT moved AS is_survivor, l.match_score
             FROM links_after a JOIN links l USING (source_party_id)
             UNION ALL SELECT golden_id, source_party_id, true, 1.0::double FROM new_links""", "merges", "chain", "links_after", "new_links"),
-        "confirmations": _events(f"""SELECT j.seq, event_id, j.event_type, split_part(verdict, ': ', 1) AS status,
-            CASE WHEN verdict <> 'success' THEN substr(verdict, instr(verdict, ': ') + 2) END AS reason,
-            CASE WHEN verdict = 'success' THEN CASE j.event_type WHEN 'NEW_PARTY' THEN {_NEW_ID} WHEN 'ENTITY_MERGE' THEN primary_id ELSE j.golden_id END END AS golden_id,
-            CASE WHEN verdict = 'success' THEN CASE j.event_type WHEN 'ADDRESS_CHANGE' THEN 'address_updated' WHEN 'KYC_STATUS_UPDATE' THEN 'kyc_logged'
-              WHEN 'NEW_PARTY' THEN 'new_party_created' WHEN 'STATUS_CHANGE' THEN 'status_changed_' || o.old_status || '_to_' || new_status
-              ELSE 'merged_' || secondary_id || '_into_' || primary_id END END AS action
-            FROM judged j LEFT JOIN status_ops o ON o.seq = j.seq AND o.event_type = 'STATUS_CHANGE' WHERE verdict NOT LIKE 'error%'""", "status_ops"),
+        "confirmations": _events(_CONFIRMED, "status_ops"),
         "event_errors": _events("SELECT seq, event_id, event_type, substr(verdict, instr(verdict, ': ') + 2) AS reason FROM judged WHERE verdict LIKE 'error%'"),
         "stream_run_stats": _events(_RUN_STATS.format(broken="0")),
+        "confirmation_messages": _events(f"SELECT event_id AS key, event_id, event_type, status, reason, golden_id, action FROM ({_CONFIRMED})", "status_ops"),
+        "stream_export": _events(f"""SELECT golden_id, address_line1, city, state, entity_status, coalesce(n, 0) AS source_record_count FROM ({_GOLDEN_AFTER})
+            LEFT JOIN (SELECT golden_id, count(*) AS n FROM (SELECT golden_id FROM links_after UNION ALL SELECT golden_id FROM new_links) GROUP BY golden_id) USING (golden_id)""",
+            "status_ops", "address_ops", "merges", "chain", "links_after", "new_links"),
+        "stream_progress": _with(["ev"], f"""SELECT count(*) + count(*) FILTER (WHERE seq % 500 = 3) AS input_rows, CAST(0 AS BIGINT) AS lag, 'up_to_date' AS status
+            FROM ev WHERE seq > {_HALF}"""),
         "recent_stream_events": _events("SELECT golden_id, event_type, event_id FROM stream_lineage ORDER BY event_id LIMIT 10", "stream_lineage"),
         "stream_apply_available_now": _events(_GOLDEN_AFTER, "status_ops", "address_ops"),
         "stream_stats_available_now": _events(_RUN_STATS.format(broken="(SELECT count(*) FROM ev WHERE seq % 500 = 3)")),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ from goldweave.operators import mastering, matching, quality
 from goldweave.operators.upsert import append_links, upsert_golden, upsert_sources
 from goldweave.plans import serving, stats
 from goldweave.schemas import PARTY_COLUMNS
+from goldweave.session import Scratch
 from goldweave.sources import export, feeds, files
 from goldweave.streaming import events, stream
 
@@ -59,24 +60,42 @@ def _normalized(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 
 
 def _feed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Writes a feed as CSV, reads it back, normalizes it, and reads the kept raw payload."""
+    """Writes each feed as CSV, reads it back, normalizes it, and reads the kept raw payload."""
     out = data.scratch(spark, "feed")
-    rows = _feed(spark, sf_dir, "internal_crm")
-    feeds.write_csv(rows, out.path("individuals.csv"), rows.columns)
-    back = feeds.normalize_crm(feeds.read_feed(spark, out.path("individuals.csv")))
-    return plain(back.select(
-        "source_party_id", "full_name", "date_of_birth", "tax_id", "email",
-        F.get_json_object("raw_payload", "$.full_name").alias("raw_full_name"),
-        F.get_json_object("raw_payload", "$.email").alias("raw_email"),
-    ))
+
+    def back(source: str) -> DataFrame:
+        rows = _feed(spark, sf_dir, source)
+        path = out.path(feeds.FEEDS[source][1])
+        feeds.write_csv(rows, path, rows.columns)
+        return feeds.NORMALIZERS[source](feeds.read_feed(spark, path))
+
+    raw = [F.get_json_object("raw_payload", f"$.{c}").alias(f"raw_{c}") for c in ("full_name", "tax_id", "city")]
+    return plain(reduce(DataFrame.unionByName, [
+        back(source).select("source_system", "source_party_id", *_PLAIN_FIELDS, *raw) for source in feeds.FEEDS
+    ]))
+
+
+_PLAIN_FIELDS = ["party_type", "full_name", "date_of_birth", "tax_id", "lei", "address_line1", "city", "state", "postal_code", "country", "email", "phone", "entity_status"]
+_LANDED = ["source_party_id", "party_type", "tax_id", "address_line1", "address_line2", "city", "state", "postal_code", "country", "entity_status"]
+
+
+def _landed(spark: SparkSession, sf_dir: str, zone: str) -> list[str]:
+    """Lands the three feeds in a zone; the paths of the landed files."""
+    out, paths = data.scratch(spark, "landing"), []
+    for source, (_, file) in feeds.FEEDS.items():
+        rows = _feed(spark, sf_dir, source).select(*_LANDED)
+        feeds.write_csv(rows, out.path(file), rows.columns)
+        paths.append(feeds.land_raw(spark, out.path(file), zone, source))
+    return paths
 
 
 def _raw_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = data.scratch(spark, "landing")
-    rows = _feed(spark, sf_dir, "dnb_feed").select("source_party_id", "tax_id")
-    feeds.write_csv(rows, out.path("organizations.csv"), rows.columns)
-    landed = feeds.land_raw(spark, out.path("organizations.csv"), out.path("raw"), "dnb_feed")
-    return spark.read.text(landed).filter("value <> 'source_party_id,tax_id'").select(F.col("value").alias("line"))
+    """Every landed line, the three headers included."""
+    paths = _landed(spark, sf_dir, data.scratch(spark, "zone").path("raw"))
+    lines = reduce(DataFrame.unionByName, [spark.read.text(p).select(F.lit(source).alias("source"), F.col("value").alias("line")) for source, p in zip(feeds.FEEDS, paths)])
+    header = F.col("line") == ",".join(_LANDED)
+    # A CSV written by several tasks has a header in each part.
+    return lines.filter(~header).unionByName(lines.filter(header).distinct())
 
 
 def _feed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +167,7 @@ def _lineage_created(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda name: F.get_json_object("changed_fields", f"$.{name}")
     return plain(rows.select(
         "golden_id", "event_type", "triggered_by", "event_at", part("source_count").cast("bigint").alias("source_count"),
-        part("sources").alias("sources"), part("confidence").cast("double").alias("confidence"), part("match_type").alias("match_type"),
+        part("sources").alias("sources"), part("source_counts").alias("source_counts"), part("confidence").cast("double").alias("confidence"), part("match_type").alias("match_type"),
     ))
 
 
@@ -161,8 +180,12 @@ def _stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.links.select("source_party_id", "golden_id")
 
 
+# What a check was asked for and its counts; dq_results reads them back from the stored details.
+_ARGUMENTS = ["value_set", "min_value", "max_value", "unlinked", "orphans", "survivors", "golden"]
+
+
 def _dq(suite: Callable, table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(suite(getattr(data.tables(spark, sf_dir), table)).results())
+    return plain(suite(getattr(data.tables(spark, sf_dir), table)).results().drop(*_ARGUMENTS))
 
 
 def _dq_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,12 +195,12 @@ def _dq_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     suite.expect_column_values_to_be_between("postal_code", 20000, 90000, 0.5)
     suite.expect_column_values_to_be_unique("postal_code")
     suite.expect_column_values_to_be_in_set("no_such_column", ["x"])
-    return plain(suite.results())
+    return plain(suite.results().drop(*_ARGUMENTS))
 
 
 def _dq_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = data.tables(spark, sf_dir)
-    return plain(quality.cluster_suite(quality.cluster_totals(t.parties, t.golden, t.links)))
+    return plain(quality.cluster_suite(quality.cluster_totals(t.parties, t.golden, t.links)).drop(*_ARGUMENTS))
 
 
 def _search(spark: SparkSession, sf_dir: str, limit: int, offset: int, **conditions: str) -> DataFrame:
@@ -227,17 +250,62 @@ def _exported(part: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _zone_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders of the listed files of two zones, and whether the totals are the sums of the listing."""
     out = data.scratch(spark, "zones")
     export.write_export(_export(spark, sf_dir), out.path("golden"))
-    return files.zone_totals(files.zone_files(spark, out.root))
+    _landed(spark, sf_dir, out.path("raw"))
+    listed = files.zone_files(spark, out.root)
+    sums = listed.groupBy("zone").agg(F.count(F.lit(1)).alias("n"), F.sum("size_bytes").alias("bytes"))
+    every = sums.unionByName(sums.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).withColumn("zone", F.lit("TOTAL")))
+    agrees = files.zone_totals(listed).join(every, "zone").select(
+        "zone", F.lit("").alias("folder"), ((F.col("file_count") == F.col("n")) & (F.abs(F.col("total_size_kb") - F.col("bytes") / 1024) < 0.01)).alias("sums_agree"))
+    folders = listed.filter("key NOT LIKE '%\\_SUCCESS'").select("zone", F.regexp_extract("key", "^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    return folders.withColumn("sums_agree", F.lit(True)).unionByName(agrees)
 
 
 def _file_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preview of a file that holds the ten first golden records."""
+    """Preview of one file with all golden records in order, next to its row count."""
     out = data.scratch(spark, "preview")
     rows = data.tables(spark, sf_dir).golden.select("golden_id", "full_name", "lei", "date_of_birth")
-    rows.orderBy("golden_id").limit(10).coalesce(1).write.parquet(out.path("sample.parquet"))
-    return files.preview(spark, out.path("sample.parquet")).rows
+    rows.repartition(1).sortWithinPartitions("golden_id").write.parquet(out.path("sample.parquet"))
+    seen = files.preview(spark, out.path("sample.parquet"))
+    return seen.rows.withColumn("total_rows", F.lit(seen.total_rows.first()[0]).cast("bigint"))
+
+
+def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five steps; file times and sizes are set, as those of a run differ."""
+    out, t = data.scratch(spark, "fresh"), data.tables(spark, sf_dir)
+    _landed(spark, sf_dir, out.path("raw"))
+    export.write_export(_export(spark, sf_dir).coalesce(1), out.path("golden"))
+    listed = files.zone_files(spark, out.root).withColumns({
+        "last_modified": F.lit("2025-01-01 12:00:00").cast("timestamp"), "size_bytes": F.lit(2048).cast("bigint")})
+    return plain(stats.freshness("2025-01-02 06:30:00", t.parties, t.golden, data.dq_log(spark, sf_dir), listed, listed))
+
+
+def _dq_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result rows with the arguments and counts that their details keep for each check."""
+    check = "struct<expectation:string,column:string,value_set:array<string>,min_value:double,max_value:double,mostly:double,unlinked:bigint,orphans:bigint,survivors:bigint,golden:bigint>"
+    rows = data.quality(spark, sf_dir).results
+    return plain(rows.select("*", F.explode(F.from_json("details", f"array<{check}>")).alias("c")).select(
+        *[c for c in rows.columns if c != "details"], "c.expectation", "c.column", F.array_join("c.value_set", ",").alias("value_set"),
+        "c.min_value", "c.max_value", "c.mostly", "c.unlinked", "c.orphans", "c.survivors", "c.golden"))
+
+
+def _stream_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The export written once after the run."""
+    out = _streamed(spark, sf_dir)[2]
+    back = spark.read.parquet(f"{out.path('golden')}/golden_records/full")
+    return plain(back.select("golden_id", "address_line1", "city", "state", "entity_status", "source_record_count"))
+
+
+def _confirmation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages as the sink wrote them: keys and parts of their JSON."""
+    out = _streamed(spark, sf_dir)[2]
+    rows = spark.read.option("recursiveFileLookup", True).text(out.path("confirmed")).select(
+        F.substring_index("value", "\t", 1).alias("key"), F.expr("substring(value, instr(value, '\t') + 1)").alias("value"))
+    part = lambda path: F.get_json_object("value", f"$.{path}")
+    return rows.select("key", part("event_id").alias("event_id"), part("event_type").alias("event_type"), part("result.status").alias("status"),
+                       part("result.reason").alias("reason"), part("result.golden_id").alias("golden_id"), part("result.action").alias("action"))
 
 
 def _charts(column: str, table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,12 +342,12 @@ def _links_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(links.select("golden_id", "source_party_id", "is_survivor", "match_score"))
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame]:
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame, Scratch]:
     """Store and progress report after streaming all events; run once per session."""
     return data.once(spark, sf_dir, "streamed", lambda: _stream(spark, sf_dir))
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame]:
+def _stream(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame, Scratch]:
     """Writes the events as JSON lines in two goes and streams each into the stored tables."""
     out = data.scratch(spark, "stream")
     t = data.tables(spark, sf_dir)
@@ -288,29 +356,31 @@ def _stream(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFr
     messages = out.save(data.messages(spark, sf_dir), "messages")
     broken = messages.filter("seq % 500 = 3").select("seq", F.expr("substring(value, 1, length(value) - 5)").alias("value"))
     lines = messages.unionByName(broken)
-    middle = messages.agg(F.percentile_approx("seq", 0.5).alias("m")).first()["m"]
-    write = stream.batch_writer(store, stream.field_order(), CFG, data.EVENTS_AS_OF, export_zone=out.path("golden"))
+    middle = messages.agg(F.expr("(min(seq) + max(seq)) div 2").alias("m")).first()["m"]
+    write = stream.batch_writer(store, stream.field_order(), CFG, data.EVENTS_AS_OF, stream.confirmation_sink("text", out.path("confirmed")))
     query = None
     for part in (F.col("seq") <= middle, F.col("seq") > middle):
         lines.filter(part).select("value").write.mode("append").text(out.path("inbox"))
         query = stream.start_stream(stream.read_messages(spark, "text", out.path("inbox")), write, out.path("checkpoint"))
         query.awaitTermination()
-    return store, stream.stream_progress(spark, query)
+    stream.refresh_export(store, out.path("golden"), data.EVENTS_AS_OF)
+    return store, stream.stream_progress(spark, query), out
 
 
 def _stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, _ = _streamed(spark, sf_dir)
+    store, _, _ = _streamed(spark, sf_dir)
     return plain(store.golden.read().select("golden_id", "address_line1", "city", "state", "postal_code", "country", "entity_status", "updated_at"))
 
 
 def _stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store, _ = _streamed(spark, sf_dir)
+    store, _, _ = _streamed(spark, sf_dir)
     return events.run_stats(store.confirmations.read(), store.errors.read())
 
 
 def _stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, progress = _streamed(spark, sf_dir)
-    return progress.select("batch_id", "part", "end_offset", "lag", "status", "input_rows")
+    """Rows read and final status over the last run's batches."""
+    _, progress, _ = _streamed(spark, sf_dir)
+    return progress.agg(F.sum("input_rows").alias("input_rows"), F.max("lag").alias("lag"), F.max_by("status", "batch_id").alias("status"))
 
 
 def _of(function: Callable, *names: str) -> Query:
@@ -370,14 +440,13 @@ def registry() -> dict[str, Query]:
             data.tables(s, d).lineage.unionByName(data.applied(s, d).lineage), "event_type"),
         "chart_entity_status": partial(_charts, "entity_status", "golden"),
         "chart_summary": _of(stats.chart_summary, "parties", "golden"),
-        "freshness": lambda s, d: plain(stats.freshness(
-            "2025-01-02 06:30:00", data.tables(s, d).parties, data.tables(s, d).golden, data.dq_log(s, d))),
-        # quality
+        "freshness": _freshness,
         "dq_source": partial(_dq, quality.source_suite, "parties"),
         "dq_golden": partial(_dq, quality.golden_suite, "golden"),
         "dq_clusters": _dq_clusters,
         "dq_filtered": _dq_filtered,
-        "dq_results": lambda s, d: plain(data.quality(s, d).results.drop("details")),
+        "dq_results": _dq_results,
+        "dq_append": lambda s, d: plain(data.dq_log(s, d).drop("details")),
         "dq_report": lambda s, d: plain(data.quality(s, d).report),
         "dq_history": lambda s, d: plain(stats.dq_history(data.dq_log(s, d))),
         "dq_runs": lambda s, d: plain(stats.dq_runs(data.dq_log(s, d))),
@@ -415,8 +484,10 @@ def registry() -> dict[str, Query]:
         "event_errors": lambda s, d: plain(data.applied(s, d).errors.select("seq", "event_id", "event_type", "reason")),
         "stream_run_stats": lambda s, d: plain(events.run_stats(data.applied(s, d).confirmations, data.applied(s, d).errors)),
         "recent_stream_events": lambda s, d: plain(stats.recent_stream_events(
-            data.applied(s, d).lineage, CFG.stream_trigger).select("golden_id", "event_type", "event_id")),
+            data.tables(s, d).lineage.unionByName(data.applied(s, d).lineage), CFG.stream_trigger).select("golden_id", "event_type", "event_id")),
         "stream_apply_available_now": _stream_apply,
         "stream_stats_available_now": lambda s, d: plain(_stream_stats(s, d)),
         "stream_progress": _stream_progress,
+        "stream_export": _stream_export,
+        "confirmation_messages": _confirmation_messages,
     }

@@ -67,8 +67,6 @@ class MasteringConfig:
 
     # Rows of one side of a block that meet in one join cell; larger blocks are split into a grid of cells.
     block_cell_rows: int = 1024
-    # Above this many members the lineage detail names each source once, next to the counts.
-    lineage_list_limit: int = 1000
 
     @property
     def priority_rank(self) -> list[str]:

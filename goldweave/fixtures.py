@@ -25,7 +25,7 @@ WITH ent AS (
          CASE WHEN p_partkey % 50 = 0 THEN p_partkey ELSE 9000000 + p_partkey * 11 END,
          CASE WHEN p_partkey % 50 = 0 THEN p_partkey ELSE 9000000 + p_partkey * 11 END,
          CASE WHEN p_partkey % 70 = 60 THEN p_partkey + 10 ELSE p_partkey END, 1
-  FROM part WHERE p_partkey % 10 = 0
+  FROM part
 ), h AS (
   SELECT *, md5(CAST(seed AS STRING)) AS hx, md5('t' || CAST(tax_seed AS STRING)) AS tx FROM ent
 )

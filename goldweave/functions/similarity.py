@@ -98,6 +98,28 @@ def jaro_winkler(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(jaro_winkler_array(left.fillna("").tolist(), right.fillna("").tolist()))
 
 
+def weighted_similarity(name_weight: float, address_weight: float, threshold: float, binarize: float | None = None):
+    """Arrow function of a pair's names, addresses, best possible address similarity and place score: its total score.
+
+    Names are compared first and addresses only where the total can still
+    reach ``threshold``; other pairs get -1. It must run once a pair, so it is
+    marked as not repeatable, which keeps filters above it.
+    """
+    graded = lambda values: values if binarize is None else (values >= binarize).astype(float)
+
+    def score(
+        name_a: pd.Series, name_b: pd.Series, address_a: pd.Series, address_b: pd.Series, address_best: pd.Series, place: pd.Series,
+    ) -> pd.Series:
+        texts = lambda column: column.fillna("").tolist()
+        base = graded(jaro_winkler_array(texts(name_a), texts(name_b))) * name_weight + place.to_numpy()
+        left = np.flatnonzero(base + address_best.to_numpy() * address_weight >= threshold - 1e-9)
+        out = np.full(len(base), -1.0)
+        out[left] = base[left] + graded(jaro_winkler_array(texts(address_a.iloc[left]), texts(address_b.iloc[left]))) * address_weight
+        return pd.Series(out)
+
+    return F.pandas_udf(score, DoubleType()).asNondeterministic()
+
+
 def char_mask_array(texts: list[str]) -> np.ndarray:
     """64-bit set of the (character, occurrence) tokens of each text; 0 for an empty one."""
     out = np.zeros(len(texts), dtype=np.uint64)

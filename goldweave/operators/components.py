@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from goldweave.session import Scratch
 
-MAX_ROUNDS = 200
-
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the node's smallest neighbour."""
@@ -47,8 +45,6 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "compon
     rounds = 0
     while not _settled(current):
         rounds += 1
-        if rounds > MAX_ROUNDS:
-            raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
         previous, table = table, f"{name}-{rounds}"
         current = scratch.save(_small_star(_large_star(current)), table)
         scratch.drop(previous)

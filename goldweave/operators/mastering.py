@@ -13,7 +13,7 @@ from goldweave.operators.components import connected_components
 from goldweave.operators.matching import TAX_AND_LEI, Matches, find_matches
 from goldweave.operators.survivorship import by_source, lone_survivors, priority_of, survivors, usable_rows
 from goldweave.schemas import GOLDEN_PARTIES
-from goldweave.session import Scratch
+from goldweave.session import Scratch, tune
 
 
 @dataclass(frozen=True)
@@ -194,21 +194,17 @@ def assign_golden_ids(entities: DataFrame, membership: DataFrame | None = None,
 
 
 def _lineage_detail(cfg: MasteringConfig) -> Column:
-    """Creation detail as JSON; the source list repeats a source once per record.
+    """Creation detail as JSON, in one shape at every size.
 
-    Past ``lineage_list_limit`` records the list names each source once and
-    ``source_counts`` carries the multiplicities.
+    ``sources`` names each source once, in cluster order; as clusters are
+    ordered by source, ``source_counts`` next to it gives the records in a row.
     """
     counts = F.col("source_counts")
-    repeated = F.flatten(
-        F.transform(counts, lambda c: F.array_repeat(c["source_system"], F.least(c["records"], F.lit(cfg.lineage_list_limit)).cast("int")))
-    )
-    long = F.col("records") > cfg.lineage_list_limit
     return F.to_json(
         F.struct(
             F.col("records").alias("source_count"),
-            F.when(long, F.transform(counts, lambda c: c["source_system"])).otherwise(repeated).alias("sources"),
-            F.when(long, F.map_from_entries(counts)).alias("source_counts"),
+            F.transform(counts, lambda c: c["source_system"]).alias("sources"),
+            F.transform(counts, lambda c: c["records"]).alias("source_counts"),
             F.col("confidence").alias("confidence"),
             F.when(F.col("confidence") >= cfg.tax_confidence, "EXACT").otherwise("FUZZY").alias("match_type"),
         )
@@ -281,6 +277,7 @@ def master_parties(parties: DataFrame, cfg: MasteringConfig | None = None, scrat
     Pass the links of an earlier run as ``previous_links`` to keep its golden ids.
     """
     cfg = cfg or MasteringConfig()
+    tune(parties.sparkSession)
     scratch = scratch or Scratch(parties.sparkSession, "mastering")
     matches = find_matches(parties, cfg, scratch.save)
     clusters = scratch.save(build_clusters(matches, scratch), "clusters")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldweave.config import FUZZY_NAME_ADDRESS, LEI_EXACT, TAX_ID_EXACT, MasteringConfig
-from goldweave.functions.similarity import bound_traits, jaro_winkler, jaro_winkler_bound
+from goldweave.functions.similarity import bound_traits, jaro_winkler_bound, weighted_similarity
 from goldweave.functions.text import clean_key, filled
 
 # Key kind of records that agree on both identifiers; it corrects the overlap of the two exact kinds.
@@ -197,16 +197,6 @@ def _candidates(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
 
 def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """Profile pairs that reach the threshold, with the score rounded to 4 places."""
-    candidates = _candidates(blocked, cfg)
-
-    def similarity(text: str) -> Column:
-        if _ignores_text(cfg):
-            return F.lit(1.0)
-        value = jaro_winkler(F.col(f"{text}_key_a"), F.col(f"{text}_key_b"))
-        if cfg.binarize_threshold is None:
-            return value
-        return (value >= cfg.binarize_threshold).cast("double")
-
     sided = [
         F.col(f"{side}.{name}").alias(f"{name}_{suffix}")
         for side, suffix in (("l", "a"), ("r", "b"))
@@ -214,21 +204,13 @@ def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     ]
     agree = lambda name: F.coalesce(F.col(f"{name}_a") == F.col(f"{name}_b"), F.lit(False)).cast("double")
     place = agree("city_key") * cfg.city_weight + agree("postal_code") * cfg.postal_weight
-    # The name is compared first; the address only where the pair can still pass.
-    named = (
-        candidates.select(*sided, F.expr(_best_text("address", cfg)).alias("address_best"))
-        .withColumn("place_part", place)
-        .withColumn("name_score", similarity("name"))
-        .filter(
-            F.col("name_score") * cfg.name_weight + F.col("address_best") * cfg.address_weight + F.col("place_part")
-            >= cfg.fuzzy_threshold - 1e-9
-        )
-    )
-    total = F.round(
-        F.col("name_score") * cfg.name_weight + F.col("address_score") * cfg.address_weight + F.col("place_part"), 10
-    )
-    scored = named.withColumn("address_score", similarity("address")).withColumn("total", total)
-    return scored.filter(F.col("total") >= cfg.fuzzy_threshold).select(
+    paired = _candidates(blocked, cfg).select(*sided, F.expr(_best_text("address", cfg)).alias("address_best")).withColumn("place_part", place)
+    if _ignores_text(cfg):
+        raw = F.col("place_part") + cfg.name_weight + cfg.address_weight
+    else:
+        similarity = weighted_similarity(cfg.name_weight, cfg.address_weight, cfg.fuzzy_threshold, cfg.binarize_threshold)
+        raw = similarity("name_key_a", "name_key_b", "address_key_a", "address_key_b", "address_best", "place_part")
+    return paired.withColumn("total", F.round(raw, 10)).filter(F.col("total") >= cfg.fuzzy_threshold).select(
         *[f"{n}_{s}" for s in "ab" for n in _SIDE], F.round("total", 4).alias("score")
     )
 

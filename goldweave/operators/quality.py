@@ -30,6 +30,10 @@ RESULT = T.StructType([
     T.StructField("pass_rate", T.DoubleType()),
     T.StructField("mostly", T.DoubleType()),
     T.StructField("success", T.BooleanType()),
+    # What was asked for: the allowed values, or the bounds of a length or number.
+    T.StructField("value_set", T.ArrayType(T.StringType())),
+    T.StructField("min_value", T.DoubleType()),
+    T.StructField("max_value", T.DoubleType()),
 ])
 
 
@@ -42,6 +46,16 @@ class _Check:
     passed: Column | None = None
     mostly: float | None = None
     filter: str | None = None
+    value_set: tuple[str, ...] | None = None
+    bounds: tuple[float, float] | None = None
+
+    @property
+    def arguments(self) -> list[Column]:
+        allowed = F.array(*map(F.lit, self.value_set)) if self.value_set is not None else F.lit(None)
+        low, high = self.bounds or (None, None)
+        return [
+            allowed.cast("array<string>").alias("value_set"), F.lit(low).cast("double").alias("min_value"), F.lit(high).cast("double").alias("max_value"),
+        ]
 
 
 @dataclass
@@ -78,14 +92,16 @@ class ExpectationSuite:
     def expect_column_values_to_be_in_set(self, column: str, value_set: list | tuple, mostly: float = 1.0) -> ExpectationSuite:
         """Non-null values out of ``value_set``."""
         return self._add(
-            _Check(f"expect_{column}_in_set", column, "rate", F.count(F.col(column)), F.count_if(F.col(column).isin(*value_set)), mostly)
+            _Check(f"expect_{column}_in_set", column, "rate", F.count(F.col(column)), F.count_if(F.col(column).isin(*value_set)), mostly,
+                   value_set=tuple(map(str, value_set)))
         )
 
     def expect_column_value_lengths_to_be_between(self, column: str, min_len: int, max_len: int, mostly: float = 1.0) -> ExpectationSuite:
         """Text length of non-null values within bounds."""
         fits = F.length(F.col(column).cast("string")).between(min_len, max_len)
         return self._add(
-            _Check(f"expect_{column}_length_{min_len}_to_{max_len}", column, "rate", F.count(F.col(column)), F.count_if(fits), mostly)
+            _Check(f"expect_{column}_length_{min_len}_to_{max_len}", column, "rate", F.count(F.col(column)), F.count_if(fits), mostly,
+                   bounds=(min_len, max_len))
         )
 
     def expect_column_values_to_be_between(self, column: str, min_val: float, max_val: float, mostly: float = 1.0) -> ExpectationSuite:
@@ -94,7 +110,7 @@ class ExpectationSuite:
         number = F.when(~F.isnan(number), number)
         return self._add(
             _Check(f"expect_{column}_between_{min_val}_{max_val}", column, "rate", F.count(number),
-                   F.count_if(number.between(min_val, max_val)), mostly)
+                   F.count_if(number.between(min_val, max_val)), mostly, bounds=(min_val, max_val))
         )
 
     def expect_column_values_to_be_unique(self, column: str) -> ExpectationSuite:
@@ -121,7 +137,7 @@ class ExpectationSuite:
                 total.alias("total"), passed.alias("passed"), (total - passed).alias("failed"),
                 null("bigint").alias("unique"), null("bigint").alias("duplicates"), rate.alias("pass_rate"),
                 F.lit(c.mostly).cast("double").alias("mostly"),
-                (F.lit(False) if missing else rate >= c.mostly).alias("success"),
+                (F.lit(False) if missing else rate >= c.mostly).alias("success"), *c.arguments,
             ))
         return measured.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
@@ -139,7 +155,7 @@ class ExpectationSuite:
             F.lit(check.column).alias("column"), null("string").alias("filter"), "table_rows", "total",
             null("bigint").alias("passed"), null("bigint").alias("failed"), "unique",
             (F.col("total") - F.col("unique")).alias("duplicates"), null("double").alias("pass_rate"),
-            null("double").alias("mostly"), (F.col("total") == F.col("unique")).alias("success"),
+            null("double").alias("mostly"), (F.col("total") == F.col("unique")).alias("success"), *check.arguments,
         )
 
     def results(self) -> DataFrame:
@@ -166,6 +182,7 @@ def suite_summary(results: DataFrame) -> DataFrame:
     )
 
 
+# The members, columns and thresholds of the two suites below.
 def source_suite(parties: DataFrame, strict: bool = True) -> ExpectationSuite:
     """Checks on incoming records, run before mastering."""
     keyed = parties.withColumn("source_key", natural_key())
@@ -215,17 +232,19 @@ CLUSTER_SUITE = "cluster_integrity_suite"
 
 def cluster_suite(totals: DataFrame) -> DataFrame:
     """Integrity checks: every record linked, every golden record linked, one survivor each."""
-    check = lambda position, name, total, linked, missing, good: F.struct(
+    nothing = F.lit(None).cast("bigint")
+    check = lambda position, name, total, linked, missing, good, **counts: F.struct(
         F.lit(CLUSTER_SUITE).alias("suite"), F.lit(position).alias("position"), F.lit(name).alias("expectation"),
         total.alias("total"), linked.alias("linked"), missing.alias("missing"), good.alias("success"),
+        *[counts.get(k, nothing).cast("bigint").alias(k) for k in ("unlinked", "orphans", "survivors", "golden")],
     )
     c = F.col
     unlinked, orphans = c("total_source") - c("linked_source"), c("total_golden") - c("linked_golden")
     rows = F.array(
-        check(0, "all_source_records_linked", c("total_source"), c("linked_source"), unlinked, unlinked == 0),
-        check(1, "all_golden_records_have_clusters", c("total_golden"), c("linked_golden"), orphans, orphans == 0),
+        check(0, "all_source_records_linked", c("total_source"), c("linked_source"), unlinked, unlinked == 0, unlinked=unlinked),
+        check(1, "all_golden_records_have_clusters", c("total_golden"), c("linked_golden"), orphans, orphans == 0, orphans=orphans),
         check(2, "each_cluster_has_one_survivor", c("total_golden"), c("survivors"), c("total_golden") - c("survivors"),
-              c("survivors") == c("total_golden")),
+              c("survivors") == c("total_golden"), survivors=c("survivors"), golden=c("total_golden")),
     )
     return totals.select(F.explode(rows).alias("r")).select("r.*")
 

@@ -163,8 +163,11 @@ def freshness(as_of: str, parties: DataFrame, golden: DataFrame, dq: DataFrame,
               exported: DataFrame | None = None) -> DataFrame:
     """One row per pipeline step: status, last run, age, staleness, detail.
 
-    ``raw_files`` and ``exported`` are zone listings (``last_modified``,
-    ``size_bytes``); their steps are left out when not given.
+    ``raw_files`` and ``exported`` are zone listings (``zone``, ``key``,
+    ``last_modified``, ``size_bytes``), which may be the same: of the first
+    the CSV feeds in the raw zone count, a landed feed's folder once; of the
+    second the Parquet files of the full export. Their steps are left out when
+    not given.
     """
     def step(name: str, df: DataFrame, last: str, detail: Column, empty: str, extra: list[Column] = ()) -> DataFrame:
         facts = df.agg(_count("n"), F.max(last).alias("last"), *extra)
@@ -188,8 +191,11 @@ def freshness(as_of: str, parties: DataFrame, golden: DataFrame, dq: DataFrame,
              "No quality runs found", [F.avg("pass_rate").alias("rate")]),
     ]
     if raw_files is not None:
-        steps.insert(0, step("generate_data", raw_files, "last_modified", count_text(" CSV files generated"), "No raw data files found"))
+        feed = F.regexp_extract("key", r"^(.*\.csv)(/|$)", 1)
+        feeds = raw_files.filter((F.col("zone") == "raw") & (feed != "")).groupBy(feed.alias("feed")).agg(F.max("last_modified").alias("last_modified"))
+        steps.insert(0, step("generate_data", feeds, "last_modified", count_text(" CSV files generated"), "No raw data files found"))
     if exported is not None:
         size = F.concat(F.lit("Size: "), F.round(F.col("bytes") / 1024, 1).cast("string"), F.lit(" KB"))
-        steps.append(step("export", exported, "last_modified", size, "No Parquet files found", [F.sum("size_bytes").alias("bytes")]))
+        full = exported.filter("zone = 'golden' AND key LIKE 'golden_records/full/%' AND key LIKE '%.parquet'")
+        steps.append(step("export_s3", full, "last_modified", size, "No Parquet files found", [F.sum("size_bytes").alias("bytes")]))
     return reduce(DataFrame.unionByName, steps)

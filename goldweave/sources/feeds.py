@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldweave.functions.text import strip
 from goldweave.schemas import LENGTH_LIMITS
@@ -41,10 +42,11 @@ def read_feed(spark: SparkSession, path: str, multiline: bool = False) -> DataFr
     """
     if not path_exists(spark, path):
         return None
-    rows = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).option("encoding", "UTF-8")
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).option("encoding", "UTF-8")
+    # The first file's header, read once, as an all-text schema: a file whose header differs fails instead of shifting its columns.
+    columns = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    rows = reader.option("enforceSchema", False).schema(schema).csv(path)
     order = F.struct(
         F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n")
     )

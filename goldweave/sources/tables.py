@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +14,13 @@ class SnapshotTable:
 
     A version counts as published once its Parquet job has committed (its
     ``_SUCCESS`` file exists); readers take the highest one. Writing a version
-    again replaces it, so a repeated batch leaves no trace.
+    again replaces it, so a repeated batch leaves no trace. ``order`` is a
+    column whose ranges the files hold in order: a lookup by it reads the row
+    groups that its statistics leave.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, order: str | None = None):
+        self.spark, self.root, self.schema, self.order = spark, root.rstrip("/"), schema, order
 
     def path(self, version: int) -> str:
         return f"{self.root}/version={version}"
@@ -45,6 +49,8 @@ class SnapshotTable:
 
     def write(self, df: DataFrame, version: int) -> DataFrame:
         cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema])
+        if self.order:
+            cast = cast.repartitionByRange(self.order).sortWithinPartitions(self.order)
         cast.write.mode("overwrite").option("compression", "snappy").parquet(self.path(version))
         return self.read(version)
 
@@ -56,14 +62,17 @@ class SnapshotTable:
 
 
 class AppendTable:
-    """Append-only table kept as ``<root>/batch=N`` folders; writing a batch again replaces it."""
+    """Append-only table kept as ``<root>/batch=N`` folders; writing a batch again replaces it.
+
+    Batches are numbers, or texts such as run ids; only numbered ones can be cut off by ``before``.
+    """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
-    def append(self, df: DataFrame, batch: int) -> None:
+    def append(self, df: DataFrame, batch: int | str) -> None:
         cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema])
-        cast.write.mode("overwrite").option("compression", "snappy").parquet(f"{self.root}/batch={batch}")
+        cast.write.mode("overwrite").option("compression", "snappy").parquet(f"{self.root}/batch={quote(str(batch), safe='')}")
 
     def read(self, before: int | None = None) -> DataFrame:
         """All batches, or those numbered below ``before``."""
@@ -71,11 +80,22 @@ class AppendTable:
 
         if not path_exists(self.spark, f"{self.root}/batch=*"):
             return self.spark.createDataFrame([], self.schema)
-        with_batch = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        with_batch = T.StructType([*self.schema.fields, T.StructField("batch", T.StringType() if before is None else T.LongType())])
         rows = self.spark.read.schema(with_batch).parquet(self.root)
         return (rows if before is None else rows.filter(rows["batch"] < before)).drop("batch")
 
 
+    def read_from(self, first: int) -> DataFrame:
+        """Batches numbered ``first`` and higher; only their folders are read."""
+        from goldweave.sources.feeds import path_exists
+
+        if not path_exists(self.spark, f"{self.root}/batch=*"):
+            return self.spark.createDataFrame([], self.schema)
+        with_batch = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
+        rows = self.spark.read.schema(with_batch).parquet(self.root)
+        return rows.filter(rows["batch"] >= first).drop("batch")
+
+
 class LogTable:
     """Keyed table as a published base snapshot plus batches of changed rows.
 
@@ -100,9 +120,10 @@ class LogTable:
         """State after all batches, or after those numbered below ``before``."""
         version = self.base.latest(None if before is None else before + 1)
         base = self.base.read(-1 if version is None else version)
-        log = self.changes.read(before)
-        if version is not None:
-            log = log.filter(F.col("changed_in") >= version)
+        # The base holds every batch below its version, so older folders are not read.
+        log = self.changes.read_from(version or 0)
+        if before is not None:
+            log = log.filter(F.col("changed_in") < before)
         row = F.max_by(F.struct(*self.schema.names), "changed_in").alias("row")
         newest = log.groupBy(F.col(self.key).alias("_key")).agg(row).select("row.*")
         return base.join(log.select(self.key), self.key, "left_anti").select(*self.schema.names).unionByName(newest)
@@ -111,7 +132,8 @@ class LogTable:
         """Keys of the base and of all batches below ``before``, repeats included; no join."""
         version = self.base.latest(None if before is None else before + 1)
         base = self.base.read(-1 if version is None else version)
-        return base.select(self.key).unionByName(self.changes.read(before).select(self.key))
+        log = self.changes.read_from(version or 0)
+        return base.select(self.key).unionByName((log if before is None else log.filter(F.col("changed_in") < before)).select(self.key))
 
     def compact(self, upto: int) -> None:
         """New base holding every batch below ``upto``."""

@@ -69,11 +69,13 @@ def test_copies_stay_one_profile_and_hot_key_one_group(spark):
     assert found == {300: pytest.approx(expected, abs=1e-4), 200: 0.99}
 
 
-def test_long_source_lists_become_counts(spark):
-    rows = [party(i, [CRM, DNB][i % 2], tax_id="T") for i in range(1, 8)]
-    done = master_parties(frame(spark, rows), MasteringConfig(lineage_list_limit=5), as_of="2025-01-01")
-    detail = json.loads(done.lineage.first()["changed_fields"])
-    assert detail["sources"] == [DNB, CRM] and detail["source_counts"] == {DNB: 4, CRM: 3} and detail["source_count"] == 7
+def test_lineage_has_one_shape_at_every_size(spark):
+    rows = [party(i, [CRM, DNB][i % 2], tax_id="T") for i in range(1, 4002)] + [party(i, [CRM, MKT][i % 2], tax_id="U") for i in (5001, 5002)]
+    done = master_parties(frame(spark, rows), as_of="2025-01-01")
+    large, small = sorted((json.loads(r["changed_fields"]) for r in done.lineage.collect()), key=lambda d: -d["source_count"])
+    assert list(large) == list(small)
+    assert large["sources"] == [DNB, CRM] and large["source_counts"] == [2001, 2000] and large["source_count"] == 4001
+    assert small["sources"] == [CRM, MKT] and small["source_counts"] == [1, 1]
 
 
 def test_exact_pair_is_not_fuzzy_and_lei_overrides_tax(spark):
@@ -138,3 +140,14 @@ def test_components_equal_union_find(spark, edges):
     got = {r["node"]: r["component"] for r in connected_components(df, Scratch(spark, "cc")).collect()}
     looped = {n for a, b in edges if a != b for n in (a, b)}
     assert got == {n: c for n, c in expected.items() if n in looped}
+
+
+def test_a_pair_is_scored_by_one_call(spark):
+    from goldweave.operators.matching import blocked_profiles, profiles, scored_profile_pairs
+
+    rows = [party(i, [CRM, DNB][i % 2], full_name=f"Name {i // 2}", city="c", postal_code="1", address_line1="1 Way") for i in range(1, 9)]
+    cfg = MasteringConfig()
+    blocked = Scratch(spark, "plan").save(blocked_profiles(profiles(frame(spark, rows), cfg), cfg), "blocked")
+    plan = scored_profile_pairs(blocked, cfg)._jdf.queryExecution().executedPlan().toString()
+    nodes = [line for line in plan.split("\n") if "EvalPython" in line]
+    assert len(nodes) == 1 and nodes[0].count("score(") == 1

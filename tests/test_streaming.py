@@ -142,7 +142,7 @@ def test_batch_equals_one_by_one_and_stream_equals_batch(spark):
     store = stream.PartyStore(spark, out.path("store"))
     store.start(mastered.golden, mastered.links, parties, mastered.lineage)
     confirmed = []
-    write = stream.batch_writer(store, stream.field_order(), MasteringConfig(), AS_OF, lambda df, n: confirmed.append(df.count()), out.path("zone"))
+    write = stream.batch_writer(store, stream.field_order(), MasteringConfig(), AS_OF, lambda df, n: confirmed.append(df.count()))
     for part in (messages[:60], messages[60:]):
         spark.createDataFrame(part, "seq bigint, value string").select("value").coalesce(1).write.mode("append").text(out.path("inbox"))
         query = stream.start_stream(stream.read_messages(spark, "text", out.path("inbox")), write, out.path("checkpoint"))
@@ -153,6 +153,9 @@ def test_batch_equals_one_by_one_and_stream_equals_batch(spark):
     assert sum(confirmed) == store.confirmations.read().count()
     assert {r["status"] for r in stream.stream_progress(spark, query).collect()} == {"up_to_date"}
 
+    assert stream.refresh_export(store, out.path("zone"), AS_OF) and not stream.refresh_export(store, out.path("zone"), AS_OF, since=99)
+    assert spark.read.parquet(f"{out.path('zone')}/golden_records/full").count() == store.golden.read().count()
+
     before = {n: t.read().count() for n, t in (("lineage", store.lineage), ("golden", store.golden), ("confirmations", store.confirmations))}
     again = spark.createDataFrame(messages[60:], "seq bigint, value string").select("value")
     write(again, 1)

@@ -113,7 +113,8 @@ def test_export_files_and_preview(spark, mastered, tmp_path):
     assert files.preview(spark, str(tmp_path / "x.txt")).format == "unsupported"
     fresh = stats.freshness("2025-01-03 00:00:00", parties, m.golden, run_quality(parties, m.golden, m.links, "r", "2025-01-02 12:00:00").results, listing, listing)
     steps = {r["step"]: r for r in fresh.collect()}
-    assert steps["master"]["age_hours"] == 48.0 and steps["master"]["is_stale"] and not steps["quality"]["is_stale"] and steps["export"]["status"] == "success"
+    assert steps["master"]["age_hours"] == 48.0 and steps["master"]["is_stale"] and not steps["quality"]["is_stale"] and steps["export_s3"]["status"] == "success"
+    assert steps["generate_data"]["status"] == "not_run"
 
 
 def test_search_and_lookup(spark, mastered):
