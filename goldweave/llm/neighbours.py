@@ -215,19 +215,22 @@ def nearest(
 
     hashed = scratch.save(index.select("x", "v", F.explode(_hasher(cfg, longest)(F.col("v"))).alias("cell")), "hashed")
     probes = scratch.save(asking.select("q", "v", _prober(cfg)(F.col("v")).alias("cells")), "probes")
-    met = scratch.save(_meet(hashed, probes, cfg, scratch, "near"), "met")
+    # Only the best of each query go on: more than k + 1 distinct vectors are never needed.
+    best = Window.partitionBy("q").orderBy(F.desc("s"), "x")
+    shortlist = lambda met: met.groupBy("q", "x").agg(F.max("s").alias("s")).withColumn("n", F.row_number().over(best)).filter(
+        F.col("n") <= 2 * k + 8).drop("n")
+    kept = scratch.save(shortlist(_meet(hashed, probes, cfg, scratch, "near")), "near")
 
     # Whoever met fewer candidates than the answer takes is compared with every row.
     total = rows.count()
-    enough = met.select("q", "x").distinct().join(index.select("x", F.size("ids").alias("n")), "x").groupBy("q").agg(F.sum("n").alias("n")).filter(
+    enough = kept.select("q", "x").join(index.select("x", F.size("ids").alias("n")), "x").groupBy("q").agg(F.sum("n").alias("n")).filter(
         F.col("n") >= min(k + 1, total))
     lacking = scratch.save(asking.join(enough, "q", "left_anti"), "lacking")
     if not lacking.isEmpty():
         everywhere = index.select("x", "v", F.lit(0).cast("long").alias("cell"))
-        met = met.unionByName(_meet(everywhere, lacking.withColumn("cells", F.array(F.lit(0).cast("long"))), cfg, scratch, "rest"))
+        rest = _meet(everywhere, lacking.withColumn("cells", F.array(F.lit(0).cast("long"))), cfg, scratch, "rest")
+        kept = scratch.save(shortlist(kept.unionByName(rest)), "all")
 
-    merged = met.groupBy("q", "x").agg(F.max("s").alias("s"))
-    kept = merged.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "x"))).filter(F.col("n") <= 2 * k + 8)
     exact = kept.select("q", "x").join(index, "x").join(asking.select("q", F.col("v").alias("w")), "q").select(
         "q", product(F.col("w"), F.col("v")).alias("score"), F.explode("ids").alias("id"))
     listed = exact.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))).filter(F.col("n") <= k + 1).groupBy("q").agg(
