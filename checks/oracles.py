@@ -450,7 +450,7 @@ def registry() -> dict[str, str]:
         "events_address": _events("""SELECT golden_id, event_id, 'event_stream' AS triggered_by, CASE WHEN before IS NULL THEN g1 ELSE l1 END AS old_line1,
             CASE WHEN before IS NULL THEN gc ELSE lc END AS old_city, CASE WHEN before IS NULL THEN gs ELSE ls END AS old_state,
             CASE WHEN before IS NULL THEN gp END AS old_postal, address_line1 AS new_line1, city AS new_city FROM address_ops""", "address_ops"),
-        "events_kyc": _events("SELECT golden_id, event_id, 'event_stream' AS triggered_by, 'VERIFIED' AS kyc_status FROM done WHERE event_type = 'KYC_STATUS_UPDATE'"),
+        "events_kyc": _events("SELECT golden_id, event_id, 'event_stream' AS triggered_by, 'VERIFIED' AS kyc_status, risk_score FROM done WHERE event_type = 'KYC_STATUS_UPDATE'"),
         "events_new_party": _events(f"""SELECT {_NEW_ID} AS golden_id, event_id, 'event_stream' AS triggered_by, 'internal_crm' AS source,
             'Party ' || seq AS full_name, 'kafka_stream' AS via FROM done WHERE event_type = 'NEW_PARTY'"""),
         "events_status": _events("""SELECT o.golden_id, d.event_id, 'event_stream' AS triggered_by, old_status, written AS new_status

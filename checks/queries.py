@@ -474,7 +474,8 @@ def registry() -> dict[str, Query]:
         "events_address": partial(_events, "ADDRESS_UPDATED", {
             "old_line1": "old_address.address_line1", "old_city": "old_address.city", "old_state": "old_address.state",
             "old_postal": "old_address.postal_code", "new_line1": "new_address.address_line1", "new_city": "new_address.city"}),
-        "events_kyc": partial(_events, "KYC_STATUS_UPDATED", {"kyc_status": "kyc_status"}),
+        "events_kyc": lambda s, d: _events("KYC_STATUS_UPDATED", {"kyc_status": "kyc_status", "risk_score": "risk_score"}, s, d).withColumn(
+            "risk_score", F.col("risk_score").cast("double")),
         "events_new_party": partial(_events, "CREATED", {"source": "source", "full_name": "full_name", "via": "via"}),
         "events_status": partial(_events, "STATUS_CHANGED", {"old_status": "old_status", "new_status": "new_status"}),
         "events_merge": partial(_events, "MERGED", {"primary_id": "primary_id", "secondary_id": "secondary_id"}),

@@ -57,7 +57,7 @@ SELECT event_id AS seq, 'EVT-' || CAST(event_id AS STRING) AS event_id, ts AS ev
        WHEN 'signup' THEN 'NEW_PARTY' WHEN 'error' THEN 'STATUS_CHANGE'
        ELSE CASE WHEN event_id % 25 = 0 THEN 'ENTITY_MERGE' ELSE 'PURCHASE' END END AS event_type,
   CASE WHEN event_type IN ('click','view','error') AND event_id % 17 <> 0 THEN 'CRM-' || CAST(10000 + user_id * (CASE WHEN event_id % 19 = 0 THEN 1000000 ELSE 1 END) AS STRING) END AS party_ref,
-  CASE WHEN event_type = 'purchase' THEN 'CRM-' || CAST(10000 + (user_id + 1 + event_id % 7) AS STRING) END AS primary_ref,
+  CASE WHEN event_type = 'purchase' THEN 'CRM-' || CAST(10000 + (user_id + 1 + event_id % 7) * (CASE WHEN event_id % 75 = 0 THEN 1000000 ELSE 1 END) AS STRING) END AS primary_ref,
   CASE WHEN event_type = 'purchase' AND event_id % 50 <> 0 THEN 'CRM-' || CAST(10000 + user_id AS STRING) END AS secondary_ref,
   CASE WHEN event_type = 'error' AND event_id % 13 <> 0 THEN CASE WHEN event_id % 2 = 0 THEN 'ACTIVE' ELSE 'INACTIVE' END END AS new_status,
   CASE WHEN event_type IN ('click','signup') THEN CAST(event_id % 999 + 1 AS STRING) || ' ' || substr(md5(CAST(event_id AS STRING)),1,6) || ' Street' END AS address_line1,
