@@ -162,5 +162,31 @@ FROM page LEFT JOIN kept USING (k)
 """
 
 
+_OP10 = r"""
+WITH RECURSIVE doc AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), gram AS (
+  SELECT DISTINCT k, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS g
+  FROM (SELECT k, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+), amount AS (
+  SELECT k, count(*) AS n FROM gram GROUP BY k
+), pair AS (
+  SELECT a.k AS ka, b.k AS kb, count(*) AS n FROM gram a JOIN gram b ON a.g = b.g AND a.k < b.k GROUP BY a.k, b.k
+), link AS (
+  SELECT ka, kb FROM pair JOIN amount x ON x.k = ka JOIN amount y ON y.k = kb WHERE 5 * pair.n >= 4 * (x.n + y.n - pair.n)
+), tie AS (
+  SELECT ka AS a, kb AS b FROM link UNION ALL SELECT kb, ka FROM link
+), reach AS (
+  SELECT k AS a, k AS b FROM doc UNION SELECT reach.a, tie.b FROM reach JOIN tie ON reach.b = tie.a
+), class AS (
+  SELECT reach.a AS k, min(doc.doc_id) AS class_id FROM reach JOIN doc ON doc.k = reach.b GROUP BY reach.a
+)
+SELECT doc_id, class_id, CASE WHEN len(w) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY array_to_string(w, ' ')) END AS copy_id,
+  (SELECT count(*) FROM tie WHERE tie.a = doc.k) AS n_links
+FROM doc JOIN class USING (k)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_winnowing_decontamination": _OP2, "op8_site_line_frequency": _OP8}
+    return {"op10_minhash_jaccard_join": _OP10, "op2_winnowing_decontamination": _OP2, "op8_site_line_frequency": _OP8}
