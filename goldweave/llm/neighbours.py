@@ -23,7 +23,9 @@ from goldweave.session import Scratch
 class Settings:
     """``width`` is in units of the longest vector; a query visits ``probes`` cells of each table.
 
-    ``block`` is the size of the parts that index and queries meet in.
+    ``block`` is the size of the parts that index and queries meet in: 16 MB for
+    64 components in double precision. The larger it is, the fewer parts give
+    a list of their best to each query; choose it smaller for longer vectors.
     """
 
     k: int = 20
@@ -31,7 +33,7 @@ class Settings:
     hashes: int = 4
     width: float = 1.5
     probes: int = 30
-    block: int = 4096
+    block: int = 32_768
     seed: int = 3
 
 
