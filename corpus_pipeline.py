@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their host."""
-    cut = lines.drop_boilerplate(docs, scratch(spark, "pipeline-lines"))
+    """All documents, without the boilerplate lines of their host; copies are left to the stage after this one."""
+    cut = lines.drop_repeated_lines(docs, scratch(spark, "pipeline-lines"))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         cut = cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))

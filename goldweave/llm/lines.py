@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldweave.llm.common import NO_WORD
+from goldweave.llm.jaccard import jaccard_join
 from goldweave.session import Scratch
 
 
@@ -64,3 +66,59 @@ def drop_boilerplate(
         text_column: F.array_join("__kept", "\n"),
         "n_dropped": F.when(F.col(text_column).isNotNull(), F.col("n_lines") - F.size("__kept")).otherwise(0).cast("long"),
     }).drop("__host", "__drop", "__kept")
+
+
+def _no_words(lines: Column) -> Column:
+    return F.regexp_replace(F.array_join(lines, ""), NO_WORD, "") == ""
+
+
+def drop_repeated_lines(
+    docs: DataFrame, scratch: Scratch, *, ratio: float = 0.02, min_pages: int = 5, text_column: str = "text", host_column: str = "source",
+) -> DataFrame:
+    """As ``drop_boilerplate``, but copies of a document do not make its lines boilerplate.
+
+    A line counts once for each distinct text of a host, and once for each
+    class of near duplicates among the texts that would lose a line, in
+    relation to the host's texts counted alike. Lines that are frequent only
+    because near duplicates share them stay in one text of the class (the rule
+    is that of ``jaccard_join``) and are cut in the others, unless those would
+    be left without words: then they stay for a later near-duplicate step. So
+    exact copies stay as they are, and no line is lost that only copies share.
+    """
+    keyed = docs.drop("n_lines", "n_dropped").withColumns({
+        "__host": F.xxhash64(F.col(host_column).isNull(), F.col(host_column)), "__text": F.xxhash64(text_column)})
+    found = F.array_distinct(F.array_compact(F.transform(_lines(F.col(text_column)), _key)))
+    # One row for each distinct text; partial aggregation joins most copies where they are read.
+    texts = scratch.save(keyed.filter(F.col(text_column).isNotNull()).select("__host", "__text", found.alias("lines")).groupBy(
+        "__host", "__text").agg(F.first("lines").alias("lines")), "texts")
+    totals = texts.groupBy("__host").agg(F.count(F.lit(1)).alias("total"))
+    each = texts.select("__host", "__text", F.explode("lines").alias("line"))
+    often = each.groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages).join(totals, "__host").filter(
+        F.col("n") > ratio * F.col("total")).select("__host", "line")
+    held = scratch.save(each.join(scratch.save(often, "often"), ["__host", "line"]), "held")
+
+    # Near duplicates among the texts that hold such a line, each text named by its hash.
+    holders = scratch.save(held.select("__host", "__text").distinct(), "holders")
+    suspects = keyed.join(holders, ["__host", "__text"], "left_semi").select(F.col("__text").alias("doc_id"), F.col(text_column).alias("text"))
+    classes = scratch.save(jaccard_join(suspects, scratch).groupBy(F.col("doc_id").alias("__text")).agg(
+        F.min("class_id").alias("class"), F.max("kept").alias("first")), "text-classes")
+    placed = scratch.save(held.join(classes, "__text"), "placed")
+    repeats = holders.join(classes, "__text").groupBy("__host", "class").agg((F.count(F.lit(1)) - 1).alias("n")).groupBy("__host").agg(F.sum("n").alias("repeats"))
+    size = totals.join(repeats, "__host").select("__host", (F.col("total") - F.col("repeats")).alias("total"))
+    counted = placed.select("__host", "line", "class").distinct().groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).join(size, "__host")
+    common = scratch.save(counted.select(
+        "__host", "line", ((F.col("n") >= min_pages) & (F.col("n") > ratio * F.col("total"))).alias("common")), "common")
+    drops = scratch.save(placed.join(common, ["__host", "line"]).groupBy("__host", "__text").agg(
+        F.collect_set(F.when(F.col("common"), F.col("line"))).alias("__always"),
+        F.collect_set(F.when(F.col("common") | ~F.col("first"), F.col("line"))).alias("__here"),
+    ), "drops")
+
+    lines = _lines(F.col(text_column))
+    without = lambda drop: F.filter(lines, lambda line: ~F.coalesce(F.array_contains(drop, _key(line)), F.lit(False)))
+    joined = keyed.join(drops, ["__host", "__text"], "left").withColumn("__kept", F.when(F.col("__here").isNotNull(), without(F.col("__here"))).otherwise(lines))
+    cut = joined.withColumn("__kept", F.when(F.col("__here").isNotNull() & _no_words(F.col("__kept")), without(F.col("__always"))).otherwise(F.col("__kept")))
+    present = F.col(text_column).isNotNull()
+    counts = cut.withColumns({"n_lines": F.when(present, F.size(lines)).otherwise(0).cast("long")})
+    return counts.withColumns({
+        text_column: F.array_join("__kept", "\n"), "n_dropped": F.when(present, F.col("n_lines") - F.size("__kept")).otherwise(0).cast("long"),
+    }).select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
