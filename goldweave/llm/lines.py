@@ -72,8 +72,14 @@ def _no_words(lines: Column) -> Column:
     return F.regexp_replace(F.array_join(lines, ""), NO_WORD, "") == ""
 
 
+def _words(line: Column) -> Column:
+    """Length of a line in words; six characters count as one at least, for scripts without blanks."""
+    trimmed = F.trim(line)
+    return F.greatest(F.size(F.split(trimmed, " +")), F.floor(F.char_length(trimmed) / 6).cast("int"))
+
+
 def drop_repeated_lines(
-    docs: DataFrame, scratch: Scratch, *, ratio: float = 0.02, min_pages: int = 5, text_column: str = "text", host_column: str = "source",
+    docs: DataFrame, scratch: Scratch, *, ratio: float = 0.02, min_pages: int = 5, passage: int = 50, text_column: str = "text", host_column: str = "source",
 ) -> DataFrame:
     """As ``drop_boilerplate``, but copies of a document do not make its lines boilerplate.
 
@@ -84,18 +90,27 @@ def drop_repeated_lines(
     is that of ``jaccard_join``) and are cut in the others, unless those would
     be left without words: then they stay for a later near-duplicate step. So
     exact copies stay as they are, and no line is lost that only copies share.
+
+    The longer a line, the fewer texts it takes: ``ratio`` and ``min_pages``
+    fall in proportion to its words, to none and 2 texts at ``passage`` words.
+    A text of nothing but lines that are frequent for their length only is
+    left whole.
     """
     keyed = docs.drop("n_lines", "n_dropped").withColumns({
         "__host": F.xxhash64(F.col(host_column).isNull(), F.col(host_column)), "__text": F.xxhash64(text_column)})
-    found = F.array_distinct(F.array_compact(F.transform(_lines(F.col(text_column)), _key)))
+    long = lambda line: F.least(_words(line), F.lit(passage))
+    found = F.array_distinct(F.filter(F.transform(_lines(F.col(text_column)), lambda line: F.struct(
+        _key(line).alias("line"), long(line).alias("words"))), lambda c: c["line"].isNotNull()))
+    enough = lambda words: (F.col("n") >= F.greatest(F.lit(2), F.ceil(min_pages - (min_pages - 2) * words / passage))) & (
+        F.col("n") > ratio * (1 - words / passage) * F.col("total"))
     # One row for each distinct text; partial aggregation joins most copies where they are read.
     texts = scratch.save(keyed.filter(F.col(text_column).isNotNull()).select("__host", "__text", found.alias("lines")).groupBy(
         "__host", "__text").agg(F.first("lines").alias("lines")), "texts")
     totals = texts.groupBy("__host").agg(F.count(F.lit(1)).alias("total"))
-    each = texts.select("__host", "__text", F.explode("lines").alias("line"))
-    often = each.groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages).join(totals, "__host").filter(
-        F.col("n") > ratio * F.col("total")).select("__host", "line")
-    held = scratch.save(each.join(scratch.save(often, "often"), ["__host", "line"]), "held")
+    each = texts.select("__host", "__text", F.explode("lines").alias("c")).select("__host", "__text", "c.line", "c.words")
+    often = each.groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n"), F.max("words").alias("words")).filter("n > 1").join(
+        totals, "__host").filter(enough(F.col("words"))).select("__host", "line", "words")
+    held = scratch.save(each.drop("words").join(scratch.save(often, "often"), ["__host", "line"]), "held")
 
     # Near duplicates among the texts that hold such a line, each text named by its hash.
     holders = scratch.save(held.select("__host", "__text").distinct(), "holders")
@@ -105,12 +120,12 @@ def drop_repeated_lines(
     placed = scratch.save(held.join(classes, "__text"), "placed")
     repeats = holders.join(classes, "__text").groupBy("__host", "class").agg((F.count(F.lit(1)) - 1).alias("n")).groupBy("__host").agg(F.sum("n").alias("repeats"))
     size = totals.join(repeats, "__host").select("__host", (F.col("total") - F.col("repeats")).alias("total"))
-    counted = placed.select("__host", "line", "class").distinct().groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n")).join(size, "__host")
+    counted = placed.select("__host", "line", "words", "class").distinct().groupBy("__host", "line", "words").agg(F.count(F.lit(1)).alias("n")).join(size, "__host")
     common = scratch.save(counted.select(
-        "__host", "line", ((F.col("n") >= min_pages) & (F.col("n") > ratio * F.col("total"))).alias("common")), "common")
+        "__host", "line", enough(F.col("words")).alias("repeated"), enough(F.lit(0)).alias("common")), "common")
     drops = scratch.save(placed.join(common, ["__host", "line"]).groupBy("__host", "__text").agg(
         F.collect_set(F.when(F.col("common"), F.col("line"))).alias("__always"),
-        F.collect_set(F.when(F.col("common") | ~F.col("first"), F.col("line"))).alias("__here"),
+        F.collect_set(F.when(F.col("repeated") | ~F.col("first"), F.col("line"))).alias("__here"),
     ), "drops")
 
     lines = _lines(F.col(text_column))

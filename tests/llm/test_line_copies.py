@@ -51,3 +51,16 @@ def test_repeated_lines_of_odd_rows(spark):
     assert sorted(map(str, ((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()))) == sorted(map(str, [
         (1, None, 0, 0), (2, "", 1, 0), (2, "", 1, 0), (None, "x\n\nx", 3, 0), (3, " ", 1, 0), *((10 + i, f"own words {i}", 2, 1) for i in range(6))]))
     assert drop_repeated_lines(docs.limit(0), scratch(spark, "test")).count() == 0
+
+
+def test_a_passage_is_cut_where_few_texts_repeat_it(spark):
+    """On a host of three pages and on one that holds most rows; a short line repeated as seldom stays."""
+    passage, short = " ".join(f"planted{k}" for k in range(55)), "seldom repeated words"
+    rows = [(i, "\n".join([*body(f"small{i}"), *([passage, short] if i < 2 else [])]), "small") for i in range(3)]
+    rows += [(10 + i, "\n".join([*body(f"hot{i}", 3), *([passage, short] if i % 100 == 0 else [])]), "hot") for i in range(300)]
+    rows += [(400, passage, "hot"), (401, passage + "\n" + passage, "copies"), (402, passage + "\n " + passage, "copies")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in drop_repeated_lines(docs, scratch(spark, "test")).collect()}
+    for i, text, _ in rows:
+        whole = "\n".join(line for line in text.split("\n") if line != passage)
+        assert got[i] == (whole if i < 400 else text)
