@@ -29,7 +29,7 @@ class Settings:
     """
 
     k: int = 20
-    tables: int = 3
+    tables: int = 4
     hashes: int = 4
     width: float = 1.5
     probes: int = 30
@@ -69,8 +69,9 @@ def _projector(cfg: Settings, longest: float, query: bool):
 
 
 def _cells(np, whole):
-    """One number for each table and cell."""
-    code = np.zeros(whole.shape[:-1], np.uint64)
+    """One number for each table (the second axis) and cell; tables share no number."""
+    table = np.arange(1, whole.shape[1] + 1, dtype=np.uint64).reshape(1, -1, *[1] * (whole.ndim - 3))
+    code = np.broadcast_to(table * np.uint64(0xD6E8FEB86659FD93), whole.shape[:-1])
     for j in range(whole.shape[-1]):
         code = (code ^ whole[..., j].astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         code ^= code >> np.uint64(29)
@@ -151,6 +152,10 @@ def _best(cfg: Settings):
         for i, lists in enumerate(held):
             if lists:
                 score, found = np.concatenate([s for s, _ in lists]), np.concatenate([f for _, f in lists])
+                # A row met in several tables counts once, or its repeats would take the places of others.
+                order = np.argsort(-score, kind="stable")
+                once = order[np.unique(found[order], return_index=True)[1]]
+                score, found = score[once], found[once]
                 top = np.argpartition(-score, spare)[:spare] if len(score) > spare else np.arange(len(score))
                 out.append((np.full(len(top), name[i]), found[top], score[top]))
         if not out:

@@ -64,3 +64,30 @@ def test_recall_against_every_row(spark):
         best = set(ids[np.argsort(-score)[:20]].tolist())
         hits, total = hits + len(best & got[int(ids[q])]), total + 20
     assert len(got) == (ids % 20 == 0).sum() and hits >= 0.9 * total
+
+
+def recall(spark, x, cfg):
+    """Share of the true nearest found, and of the queries that were compared with every row."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    work = scratch(spark, "test")
+    got = found(nearest(df, F.col("vec_id") % 20 == 0, work, cfg))
+    hits = 0
+    for q in range(0, len(x), 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score)[:cfg.k].tolist()) & {j for j, _ in got[q]})
+    asked = len(range(0, len(x), 20))
+    assert len(got) == asked
+    return hits / (asked * cfg.k), work.read("lacking").count() / asked
+
+
+def test_recall_of_the_hashing_alone(spark):
+    """Many units, and hardly a query answered by comparing it with every row."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(60, 64))
+    clustered = np.repeat(centres, 50, 0) + 0.3 * rng.normal(size=(3000, 64))
+    clustered /= np.linalg.norm(clustered, axis=1, keepdims=True)
+    for x in (np.array([r.embedding for r in given], float), clustered):
+        share, fallback = recall(spark, x, Settings(block=500))
+        assert share >= 0.9 and fallback <= 0.02
