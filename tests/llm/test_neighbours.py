@@ -82,12 +82,13 @@ def recall(spark, x, cfg):
 
 
 def test_recall_of_the_hashing_alone(spark):
-    """Many units, and hardly a query answered by comparing it with every row."""
+    """One unit and many, and hardly a query answered by comparing it with every row."""
     given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
     rng = np.random.default_rng(5)
     centres = rng.normal(size=(60, 64))
     clustered = np.repeat(centres, 50, 0) + 0.3 * rng.normal(size=(3000, 64))
     clustered /= np.linalg.norm(clustered, axis=1, keepdims=True)
-    for x in (np.array([r.embedding for r in given], float), clustered):
-        share, fallback = recall(spark, x, Settings(block=500))
+    x = np.array([r.embedding for r in given], float)
+    for x, cfg in ((x, Settings()), (x, Settings(block=500)), (clustered, Settings(block=500))):
+        share, fallback = recall(spark, x, cfg)
         assert share >= 0.9 and fallback <= 0.02
