@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldweave.llm import (
-    decontamination, jaccard, language, lines, neighbours, ngram_model, packing, personal_data, secret_scan, toxicity,
+    conversation_repair, decontamination, jaccard, language, lines, neighbours, ngram_model, packing, personal_data, prefix_trie, secret_scan, topk, toxicity,
 )
 from goldweave.llm.common import fold_of, read, scratch
+from goldweave.llm.turns import joined_digests
+from goldweave.session import Scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +104,32 @@ def op10_minhash_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("doc_id", "class_id", "copy_id", "n_links")
 
 
+def repaired_digests(known: DataFrame, rows: DataFrame, work: Scratch, cfg: conversation_repair.Settings = conversation_repair.Settings()) -> DataFrame:
+    """The report of each conversation of ``known``, repaired from ``rows``, with the digest of its repaired turns."""
+    edits, report = conversation_repair.repair_conversations(rows, work, cfg)
+    turns = edits.filter("edit <> 'Delete'")
+    digests = joined_digests(turns, F.col("conv_id"), F.concat_ws(":", "role", "text"), "\n", "chunk", "step")
+    every = known.select("conv_id").distinct()
+    joined = every.join(report.withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("key")), "left")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return joined.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op11_auction_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "conversations")
+    return repaired_digests(rows, conversation_repair.damage(rows), scratch(spark, "op11"))
+
+
+def op12_tiled_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.exact_top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, scratch(spark, "op12"))
+    return found.withColumnRenamed("neighbour_id", "vec_id")
+
+
+def op13_burst_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"), scratch(spark, "op13"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_power_of_two_packing": op1_power_of_two_packing,
@@ -114,6 +142,9 @@ def queries() -> dict[str, Query]:
         "op8_site_line_frequency": op8_site_line_frequency,
         "op9_factorization_toxicity": op9_factorization_toxicity,
         "op10_minhash_jaccard_join": op10_minhash_jaccard_join,
+        "op11_auction_conversation_repair": op11_auction_conversation_repair,
+        "op12_tiled_top_k": op12_tiled_top_k,
+        "op13_burst_prefix_trie": op13_burst_prefix_trie,
     }
 
 
@@ -188,5 +219,132 @@ FROM doc JOIN class USING (k)
 """
 
 
+def _crc(text: str) -> str:
+    """DuckDB expression for the CRC-32 of an ASCII text, bit by bit."""
+    bit = "xor(x >> 1, 3988292384 * (x & 1))"
+    byte = f"list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: {bit})"
+    codes = f"list_transform(string_split({text}, ''), lambda l: CAST(ord(l) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: {byte}), 4294967295)"
+
+
+_OP13 = f"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), conv AS (
+  SELECT c, {_crc("CAST(c AS VARCHAR)")} % 6 AS h, c - c % 100 AS base FROM (SELECT DISTINCT c FROM own)
+), walk AS (
+  SELECT conv.c, 0 AS part, p, role, text FROM conv JOIN own ON own.c = conv.base WHERE p < h
+  UNION ALL SELECT conv.c, 1, p, role, text FROM conv JOIN own ON own.c = conv.c WHERE p >= h
+), path AS (
+  SELECT conv.c, list({{'role': role, 'text': text}} ORDER BY part, p) FILTER (role IS NOT NULL) AS t FROM conv LEFT JOIN walk USING (c) GROUP BY conv.c
+), sized AS (
+  SELECT c, coalesce(t, []) AS t, coalesce(len(t), 0) AS n FROM path
+), member AS (
+  SELECT c, CAST(d AS BIGINT) AS depth, t[1 : d] AS node, d = n AS ends FROM (SELECT c, t, n, unnest(range(0, n + 1)) AS d FROM sized)
+), node AS (
+  SELECT node, depth, min(c) AS low, count(*) AS n, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '') AS ids FROM member GROUP BY node, depth
+), kids AS (
+  SELECT node[1 : depth - 1] AS node, depth - 1 AS depth, count(*) AS k FROM node WHERE depth > 0 GROUP BY 1, 2
+), below AS (
+  SELECT a.node, a.depth, count(*) FILTER (kids.k IS NULL) AS leaves, sum(CASE WHEN b.depth > 0 THEN (b.n - 1) * length(b.node[-1].text) ELSE 0 END) AS saved
+  FROM node a JOIN node b ON b.node[1 : a.depth] = a.node AND b.depth >= a.depth LEFT JOIN kids ON kids.node = b.node AND kids.depth = b.depth GROUP BY a.node, a.depth
+)
+SELECT node.low AS conv_id, node.depth, up.low AS parent_conv_id, node.n AS n_convs, coalesce(k, 0) AS n_children, leaves AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, sha256(node.ids) AS ends_sha256
+FROM node JOIN below ON below.node = node.node AND below.depth = node.depth LEFT JOIN kids ON kids.node = node.node AND kids.depth = node.depth
+LEFT JOIN node up ON up.depth = node.depth - 1 AND up.node = node.node[1 : node.depth - 1]
+"""
+
+# Cheapest repairs row by row: the best (cost, initials) of each state as one text, so that least() finds the cheapest and of those the least.
+_INF = "'999999'"
+
+
+def _add(state: str, cost: str, edit: str) -> str:
+    return f"CASE WHEN {state} >= {_INF} THEN {_INF} ELSE lpad(CAST(CAST(substr({state}, 1, 6) AS BIGINT) + {cost} AS VARCHAR), 6, '0') || substr({state}, 7) || '{edit}' END"
+
+
+def _step() -> str:
+    """The states behind a row, before anything is inserted: n (nothing yet), s, u, a."""
+    may = lambda condition, value: f"CASE WHEN {condition} THEN {value} ELSE {_INF} END"
+    rise = "(CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END)"
+    stays = "coalesce(fault, '') NOT IN ('blank', 'duplicate')"
+    keep = lambda state, initial: may(f"{stays} AND initial = '{initial}'", _add(state, rise, "K"))
+    retag = lambda state: may(stays, _add(state, f"(2 + {rise})", "R"))
+    into_u = ", ".join(f"{keep(x, 'u')}, {retag(x)}" for x in ("walk.n", "walk.s", "walk.a"))
+    return f"""{_add('walk.n', '3', 'D')} AS n, least({_add('walk.s', '3', 'D')}, {keep('walk.n', 's')}) AS s,
+      least({_add('walk.u', '3', 'D')}, {into_u}) AS u, least({_add('walk.a', '3', 'D')}, {keep('walk.u', 'a')}, {retag('walk.u')}) AS a"""
+
+
+def _inserted(source: str) -> str:
+    """The states of ``source`` after insertions: a user turn before an assistant one."""
+    return f"""SELECT c, i, n, s, u, least(a, {_add('u', '2', 'I')}) AS a FROM (
+      SELECT c, i, n, s, least(u, {_add('n', '2', 'I')}, {_add('s', '2', 'I')}, {_add('a', '2', 'I')}) AS u, a FROM ({source}))"""
+
+
+_OP11 = f"""
+WITH RECURSIVE raw AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), ' ') AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS harm
+  FROM conversations
+), harmed AS (
+  SELECT c, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role, CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN harm = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM raw WHERE harm <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS tail FROM harmed
+), judged AS (
+  SELECT c, i, turn, role, text, left(role, 1) AS initial, CASE WHEN tail = '' THEN 'blank'
+    WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN tail NOT IN ('.', '!', '?') THEN 'truncated' END AS fault
+  FROM placed
+), size AS (
+  SELECT c, max(i) AS last FROM judged GROUP BY c
+), walk AS (
+  {_inserted(f"SELECT c, CAST(0 AS BIGINT) AS i, '000000' AS n, {_INF} AS s, {_INF} AS u, {_INF} AS a FROM size")}
+  UNION ALL
+  {_inserted(f"SELECT judged.c, judged.i, {_step()} FROM walk JOIN judged ON judged.c = walk.c AND judged.i = walk.i + 1")}
+), best AS (
+  SELECT walk.c, CAST(substr(least(n, a), 1, 6) AS BIGINT) AS cost, substr(least(n, a), 7) AS audit FROM walk JOIN size ON size.c = walk.c AND size.last = walk.i
+), letter AS (
+  SELECT c, j, audit[j] AS edit, len(replace(audit[1 : j], 'I', '')) AS i, len(replace(audit[1 : j], 'D', '')) AS place
+  FROM (SELECT c, audit, unnest(range(1, len(audit) + 1)) AS j FROM best)
+), turned AS (
+  SELECT letter.c, j, place, edit, role, text, max(CASE WHEN edit = 'K' AND place = 1 AND left(role, 1) = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY letter.c) AS system
+  FROM letter LEFT JOIN judged ON judged.c = letter.c AND judged.i = letter.i AND edit <> 'I' WHERE edit <> 'D'
+), repaired AS (
+  SELECT c, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY j) AS text
+  FROM turned GROUP BY c
+), counted AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated FROM judged GROUP BY c
+), unlike AS (
+  SELECT c, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT c, initial, lag(initial) OVER (PARTITION BY c ORDER BY i) AS before FROM judged) GROUP BY c
+)
+SELECT DISTINCT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired.text, '')) AS repaired_sha256
+FROM (SELECT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS c FROM conversations)
+LEFT JOIN counted USING (c) LEFT JOIN unlike USING (c) LEFT JOIN best USING (c) LEFT JOIN repaired USING (c)
+"""
+
+_OP12 = """
+WITH v AS (
+  SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+  SELECT q.k, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.e, v.e) AS BIGINT) AS score
+  FROM v q JOIN v ON q.k <> v.k WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id NULLS LAST) AS n FROM pair
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_minhash_jaccard_join": _OP10, "op2_winnowing_decontamination": _OP2, "op8_site_line_frequency": _OP8}
+    return {
+        "op10_minhash_jaccard_join": _OP10, "op2_winnowing_decontamination": _OP2, "op8_site_line_frequency": _OP8,
+        "op11_auction_conversation_repair": _OP11, "op12_tiled_top_k": _OP12, "op13_burst_prefix_trie": _OP13,
+    }
