@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,18 @@ class AppendTable:
         cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema])
         cast.write.mode("overwrite").option("compression", "snappy").parquet(f"{self.root}/batch={quote(str(batch), safe='')}")
 
+    def published(self) -> list[int]:
+        """Numbers of the committed batches that have one, ascending."""
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(self.root)
+        done = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/batch=*/_SUCCESS")) or []
+        names = [s.getPath().getParent().getName().split("=", 1)[1] for s in done]
+        return sorted(int(n) for n in names if n.lstrip("-").isdigit())
+
+    def batch(self, number: int | str) -> DataFrame:
+        """One batch; only its folder is read."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/batch={quote(str(number), safe='')}")
+
     def read(self, before: int | None = None) -> DataFrame:
         """All batches, or those numbered below ``before``."""
         from goldweave.sources.feeds import path_exists
@@ -84,7 +96,6 @@ class AppendTable:
         rows = self.spark.read.schema(with_batch).parquet(self.root)
         return (rows if before is None else rows.filter(rows["batch"] < before)).drop("batch")
 
-
     def read_from(self, first: int) -> DataFrame:
         """Batches numbered ``first`` and higher; only their folders are read."""
         from goldweave.sources.feeds import path_exists
@@ -96,45 +107,133 @@ class AppendTable:
         return rows.filter(rows["batch"] >= first).drop("batch")
 
 
-class LogTable:
-    """Keyed table as a published base snapshot plus batches of changed rows.
+# Batches that one merged change set of the first level spans; each further level spans as many of the level below.
+SPAN = 8
+
+
+class KeyedTable:
+    """Table of one row a key: published bases, and on top of them the change sets of batches, all in the same key buckets.
 
-    A batch writes only the rows it changes. Readers take, per key, the row of
-    the newest batch, else the base row. :meth:`compact` folds both into a new base.
+    A base lies in ``base/version=N.upto=M``: version N, which holds every
+    batch below M. The rows that batch K wrote lie in ``changes/span=K-K``,
+    those of several batches, the newest of each key, in ``span=K-L``. Readers
+    take the row of the newest batch that the base does not hold, else the
+    base's, so a batch, an upsert and a mastering run in any order lose
+    nothing. Writing a version or a batch again replaces it.
+
+    Folders have one subfolder for each bucket of ``by``, a key column. A read
+    by keys lists the buckets first and opens only those.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str):
-        self.key, self.schema = key, schema
-        self.base = SnapshotTable(spark, f"{root}/base", schema)
-        with_batch = T.StructType([*schema.fields, T.StructField("changed_in", T.LongType())])
-        self.changes = AppendTable(spark, f"{root}/changes", with_batch)
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: tuple[str, ...], by: str | None = None, buckets: int = 32):
+        self.spark, self.root, self.schema, self.key, self.by, self.buckets = spark, root.rstrip("/"), schema, key, by or key[0], buckets
+        added = [T.StructField("changed_in", T.LongType()), T.StructField("gone", T.BooleanType())]
+        self._bucket = T.StructField("bucket", T.IntegerType())
+        self._log_schema = T.StructType([*schema.fields, *added, self._bucket])
 
-    def start(self, df: DataFrame) -> None:
-        """First base. Version N holds every batch below N."""
-        self.base.write(df, 0)
+    def bucket(self, value: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(value).cast("string")), F.lit(self.buckets)).cast("int")
 
-    def change(self, df: DataFrame, batch: int) -> None:
-        self.changes.append(df.withColumn("changed_in", F.lit(batch)), batch)
+    def _published(self, folder: str) -> list[str]:
+        """Names of the committed folders below one of the table's."""
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
+        fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}/*/_SUCCESS")) or []
+        return [s.getPath().getParent().getName() for s in done]
+
+    def versions(self) -> list[tuple[int, int]]:
+        """(version, batches below it that it holds) of every published base, ascending."""
+        return sorted(tuple(int(part.split("=")[1]) for part in name.split(".")) for name in self._published("base"))
+
+    def latest(self, before: int | None = None) -> tuple[int, int] | None:
+        """Newest base, or the newest that holds only batches below ``before``."""
+        found = [v for v in self.versions() if before is None or v[1] <= before]
+        return found[-1] if found else None
 
-    def read(self, before: int | None = None) -> DataFrame:
-        """State after all batches, or after those numbered below ``before``."""
-        version = self.base.latest(None if before is None else before + 1)
-        base = self.base.read(-1 if version is None else version)
-        # The base holds every batch below its version, so older folders are not read.
-        log = self.changes.read_from(version or 0)
-        if before is not None:
-            log = log.filter(F.col("changed_in") < before)
-        row = F.max_by(F.struct(*self.schema.names), "changed_in").alias("row")
-        newest = log.groupBy(F.col(self.key).alias("_key")).agg(row).select("row.*")
-        return base.join(log.select(self.key), self.key, "left_anti").select(*self.schema.names).unionByName(newest)
-
-    def keys(self, before: int | None = None) -> DataFrame:
-        """Keys of the base and of all batches below ``before``, repeats included; no join."""
-        version = self.base.latest(None if before is None else before + 1)
-        base = self.base.read(-1 if version is None else version)
-        log = self.changes.read_from(version or 0)
-        return base.select(self.key).unionByName((log if before is None else log.filter(F.col("changed_in") < before)).select(self.key))
-
-    def compact(self, upto: int) -> None:
-        """New base holding every batch below ``upto``."""
-        self.base.write(self.read(upto), upto)
+    def base_path(self, version: tuple[int, int]) -> str:
+        return f"{self.root}/base/version={version[0]}.upto={version[1]}"
+
+    def write(self, df: DataFrame, version: int, upto: int) -> DataFrame:
+        """Publishes a base; files hold ranges of the key in order, so a lookup reads few row groups of one bucket."""
+        cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema]).withColumn("bucket", self.bucket(self.by))
+        ordered = cast.repartitionByRange("bucket", *self.key).sortWithinPartitions("bucket", *self.key)
+        ordered.write.mode("overwrite").partitionBy("bucket").parquet(self.base_path((version, upto)))
+        return self.read(version=(version, upto))
+
+    def change(self, df: DataFrame, batch: int, gone: DataFrame | None = None) -> None:
+        """Records what a batch writes, and the keys of the rows that it takes away."""
+        rows = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema]).withColumns({"changed_in": F.lit(batch).cast("long"), "gone": F.lit(False)})
+        if gone is not None:
+            empty = [F.col(f.name) if f.name in self.key else F.lit(None).cast(f.dataType).alias(f.name) for f in self.schema]
+            left = gone.select(*self.key).distinct().select(*empty, F.lit(batch).cast("long").alias("changed_in"), F.lit(True).alias("gone"))
+            rows = rows.unionByName(left.join(rows.select(*self.key), list(self.key), "left_anti").select(*rows.columns))
+        self._write_span(rows, batch, batch)
+
+    def _write_span(self, rows: DataFrame, first: int, last: int) -> None:
+        placed = rows.withColumn("bucket", self.bucket(self.by)).repartition("bucket")
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/changes/span={first}-{last}")
+
+    def spans(self, first: int = 0, before: int | None = None) -> list[tuple[int, int]]:
+        """The fewest published change sets that hold the batches from ``first`` on, or those of them below ``before``."""
+        listed = [tuple(map(int, name.split("=")[1].split("-"))) for name in self._published("changes")]
+        taken: list[tuple[int, int]] = []
+        for a, b in sorted((s for s in listed if s[0] >= first and (before is None or s[1] < before)), key=lambda s: (s[0], -s[1])):
+            if not taken or a > taken[-1][1]:
+                taken.append((a, b))
+        return taken
+
+    def _log(self, spans: list[tuple[int, int]]) -> DataFrame:
+        if not spans:
+            return self.spark.createDataFrame([], self._log_schema)
+        paths = [f"{self.root}/changes/span={a}-{b}" for a, b in spans]
+        return self.spark.read.schema(self._log_schema).option("basePath", f"{self.root}/changes").parquet(*paths).select(*self._log_schema.names)
+
+    def _newest(self, log: DataFrame) -> DataFrame:
+        row = F.max_by(F.struct(*[c for c in log.columns if c != "bucket"]), "changed_in").alias("row")
+        return log.groupBy(*[F.col(k).alias(f"_{k}") for k in self.key]).agg(row).select("row.*")
+
+    def read(self, before: int | None = None, keys: DataFrame | None = None, version: tuple[int, int] | None = None) -> DataFrame:
+        """State after all batches, or after those below ``before``, on the newest base that allows it or on the one given.
+
+        ``keys``, one column with values of ``by``, keeps the rows of those
+        values; only their buckets are read, before any version is resolved.
+        """
+        chosen = version or self.latest(before)
+        log = self._log(self.spans(chosen[1] if chosen else 0, before))
+        with_bucket = T.StructType([*self.schema.fields, self._bucket])
+        base = self.spark.createDataFrame([], with_bucket) if chosen is None else self.spark.read.schema(with_bucket).parquet(self.base_path(chosen))
+        if keys is not None:
+            wanted = keys.select(F.col(keys.columns[0]).alias(self.by)).distinct()
+            # At most as many values as the table has buckets.
+            numbers = sorted(r[0] for r in wanted.select(self.bucket(self.by)).distinct().collect())
+            base, log = (rows.filter(F.col("bucket").isin(numbers)).join(wanted, self.by, "left_semi") for rows in (base, log))
+        newest = self._newest(log)
+        kept = base.join(newest.select(*self.key), list(self.key), "left_anti").select(*self.schema.names)
+        return kept.unionByName(newest.filter("NOT gone").select(*self.schema.names))
+
+    def merge(self, first: int, last: int) -> None:
+        """One change set for the batches from ``first`` to ``last``: only rows that they changed are read and written."""
+        parts = [s for s in self.spans(first, last + 1) if s != (first, last)]
+        if len(parts) > 1:
+            self._write_span(self._newest(self._log(parts)), first, last)
+
+    def settle(self, batch: int) -> None:
+        """Merges change sets after a batch, so that a reader opens a number of them that grows with the logarithm of the batches."""
+        width = SPAN
+        while (batch + 1) % width == 0:
+            self.merge(batch + 1 - width, batch)
+            width *= SPAN
+
+    def retire(self, keep: int = 2) -> None:
+        """Deletes all but the newest bases, and the change sets that the oldest one left holds."""
+        versions = self.versions()
+        oldest = versions[-keep:][0][1] if versions else 0
+        jvm = self.spark.sparkContext._jvm
+        old = [self.base_path(v) for v in versions[:-keep]]
+        for name in self._published("changes"):
+            if int(name.split("-")[-1]) < oldest:
+                old.append(f"{self.root}/changes/{name}")
+        for path in old:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldweave.config import MasteringConfig
 from goldweave.functions.text import filled, natural_key, uuid_of
@@ -34,8 +35,9 @@ _NEW_PARTY_TEXT = ("full_name", "first_name", "last_name", "tax_id", "address_li
 class State:
     """Tables a batch reads.
 
-    ``lineage`` only serves to recognise events already logged. ``source_ids``
-    may give the ids in use more cheaply than ``sources`` does.
+    ``lineage`` only serves to recognise events already logged, ``sources``
+    records already made by events. ``source_ids`` may give the ids in use, or
+    the highest one, more cheaply than ``sources`` does.
     """
 
     golden: DataFrame
@@ -47,23 +49,34 @@ class State:
 
 @dataclass(frozen=True)
 class Applied:
-    """What a batch changes: new versions of touched rows, and rows to append."""
+    """What a batch changes: new versions of touched rows, and rows to append.
+
+    ``left_links`` names the links (golden_id, source_party_id) that moved away.
+    """
 
     golden: DataFrame
     links: DataFrame
+    left_links: DataFrame
     sources: DataFrame
     lineage: DataFrame
     confirmations: DataFrame
     errors: DataFrame
 
 
+# Fields of a payload that any event reads.
+_PAYLOAD = T.StructType([T.StructField(name, T.StringType()) for name in dict.fromkeys((
+    *_NEW_PARTY_TEXT, *ADDRESS_COLUMNS, "entity_status", "kyc_status", "kyc_provider", "risk_score", "verification_date", "notes",
+    "primary_golden_id", "secondary_golden_id", "reason", "merged_by"))])
+
+
 # Decoding and routing
 
 
 def decode(raw: DataFrame) -> DataFrame:
     """JSON text in ``value`` as event columns; ``problem`` says why a message cannot be read.
 
-    ``payload`` stays JSON text, so its own keys can be told from missing ones.
+    ``payload`` stays JSON text, for the log; ``p`` holds its fields, read once,
+    and ``payload_keys`` tells missing ones from nulls.
     """
     keys = F.json_object_keys("value")
     has = lambda name: F.coalesce(F.array_contains("_keys", name), F.lit(False))
@@ -78,6 +91,7 @@ def decode(raw: DataFrame) -> DataFrame:
         absent("party_type", "INDIVIDUAL").alias("party_type"),
         absent("source_system", "internal_crm").alias("source_system"),
         payload.alias("payload"),
+        F.from_json(payload, _PAYLOAD).alias("p"),
         F.json_object_keys(payload).alias("payload_keys"),
         F.when(F.col("_keys").isNull(), "message is not a JSON object").alias("problem"),
     )
@@ -93,7 +107,7 @@ def event_mix(events: DataFrame) -> DataFrame:
 
 
 def _field(name: str) -> Column:
-    return F.get_json_object("payload", f"$.{name}")
+    return F.col(f"p.{name}")
 
 
 def _field_or(name: str, default: str) -> Column:
@@ -105,6 +119,18 @@ def _readable() -> Column:
     return F.col("payload_keys").isNotNull()
 
 
+def referred_ids(events: DataFrame) -> DataFrame:
+    """(golden_id, merged): the golden records that events name, and which of them a merge may take away."""
+    named = lambda value, merged: F.struct(value.alias("golden_id"), F.lit(merged).alias("merged"))
+    every = F.array(named(F.col("golden_id"), False), named(filled(_field("primary_golden_id")), False), named(filled(_field("secondary_golden_id")), True))
+    return events.select(F.explode(every).alias("r")).select("r.*").filter("golden_id IS NOT NULL").groupBy("golden_id").agg(F.max("merged").alias("merged"))
+
+
+def event_name() -> Column:
+    """Id of an event; one made of its place in the order where it has none."""
+    return F.coalesce("event_id", uuid_of(F.col("seq").cast("string"))).alias("event_id")
+
+
 # New parties
 
 
@@ -112,7 +138,7 @@ def _new_parties(events: DataFrame, sources: DataFrame) -> DataFrame:
     """NEW_PARTY events with ``accepted``: first of their key in the batch and not stored yet."""
     keys = ["source_system", "source_party_id"]
     asked = events.filter((F.col("event_type") == NEW_PARTY) & _readable() & F.col("source_system").isNotNull()).withColumn(
-        "source_party_id", F.concat(F.lit(STREAM_PREFIX), F.coalesce("event_id", uuid_of(F.col("seq").cast("string"))))
+        "source_party_id", F.concat(F.lit(STREAM_PREFIX), event_name())
     )
     first = asked.groupBy(*keys).agg(F.min("seq").alias("first_seq"))
     stored = sources.select(*keys).join(first.select(*keys), keys, "left_semi").distinct().withColumn("stored", F.lit(True))
@@ -179,10 +205,7 @@ def _verdicts(events: DataFrame, known: DataFrame, created: DataFrame) -> DataFr
 
 def _known(golden: DataFrame, events: DataFrame, parties: DataFrame) -> DataFrame:
     """Golden records the batch refers to, with when they came to exist and their address and status then."""
-    wanted = events.select(
-        F.explode(F.array_compact(F.array("golden_id", filled(_field("primary_golden_id")), filled(_field("secondary_golden_id"))))).alias("golden_id")
-    ).distinct()
-    before = golden.join(wanted, "golden_id", "left_semi").withColumn("created_seq", F.lit(None).cast("bigint"))
+    before = golden.join(referred_ids(events).select("golden_id"), "golden_id", "left_semi").withColumn("created_seq", F.lit(None).cast("bigint"))
     both = before.select("golden_id", "created_seq", "entity_status", *ADDRESS_COLUMNS).unionByName(
         parties.select("golden_id", F.col("seq").alias("created_seq"), "entity_status", *ADDRESS_COLUMNS)
     )
@@ -250,7 +273,7 @@ def link_destinations(merges: DataFrame, scratch: Scratch, name: str = "merge_ch
 
 
 def _moved_links(done: DataFrame, known: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links whose golden record was merged away, at their final place and no longer survivors."""
+    """Links whose golden record ``left_id`` was merged away, at their final place and no longer survivors."""
     merges = scratch.save(
         done.filter(F.col("event_type") == ENTITY_MERGE).select("seq", "primary_id", "secondary_id"), "merges"
     )
@@ -262,7 +285,8 @@ def _moved_links(done: DataFrame, known: DataFrame, links: DataFrame, scratch: S
         .agg(F.min_by("destination", "seq").alias("destination"))
     )
     return links.join(first, "golden_id").select(
-        F.col("destination").alias("golden_id"), "source_party_id", F.lit(False).alias("is_survivor"), "match_score", "linked_at"
+        F.col("destination").alias("golden_id"), "source_party_id", F.lit(False).alias("is_survivor"), "match_score", "linked_at",
+        F.col("golden_id").alias("left_id"),
     )
 
 
@@ -305,11 +329,9 @@ def _lineage(done: DataFrame, addresses: DataFrame, statuses: DataFrame, cfg: Ma
     ])
 
 
-def _fresh_lineage(rows: DataFrame, lineage: DataFrame, events: DataFrame, cfg: MasteringConfig) -> DataFrame:
+def _fresh_lineage(rows: DataFrame, lineage: DataFrame, events: DataFrame) -> DataFrame:
     """Rows whose event an earlier batch has not logged yet; the log is first cut to the batch's events."""
-    logged = lineage.filter(F.col("triggered_by") == cfg.stream_trigger).select("event_id", "event_type").join(
-        events.select("event_id").distinct(), "event_id", "left_semi"
-    )
+    logged = lineage.select("event_id", "event_type").join(events.select("event_id").distinct(), "event_id", "left_semi")
     return rows.join(logged, ["event_id", "event_type"], "left_anti").select(*PARTY_LINEAGE.names)
 
 
@@ -361,6 +383,7 @@ def apply_events(state: State, events: DataFrame, cfg: MasteringConfig | None =
     """
     cfg = cfg or MasteringConfig()
     scratch = scratch or Scratch(events.sparkSession, "events")
+    events = scratch.save(events, "events")  # read many times from here on, parsed once
     readable = events.filter("problem IS NULL")
     asked = scratch.save(_new_parties(readable, state.sources), "new_party_events")
     ids = state.sources.select("id") if state.source_ids is None else state.source_ids
@@ -397,7 +420,8 @@ def apply_events(state: State, events: DataFrame, cfg: MasteringConfig | None =
     )
     current = state.links.select(*PARTY_CLUSTERS.names).unionByName(new_links)
     shifted = scratch.save(_moved_links(done, known, current, scratch), "moved_links")
-    links = shifted.unionByName(new_links.join(shifted.select("source_party_id"), "source_party_id", "left_anti").select(*shifted.columns))
+    placed = shifted.drop("left_id")
+    links = placed.unionByName(new_links.join(shifted.select("source_party_id"), "source_party_id", "left_anti").select(*placed.columns))
     sources = parties.withColumns({"ingested_at": stamp, "updated_at": stamp}).select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCE_PARTIES]
     )
@@ -407,8 +431,9 @@ def apply_events(state: State, events: DataFrame, cfg: MasteringConfig | None =
     return Applied(
         golden=golden,
         links=links,
+        left_links=shifted.select(F.col("left_id").alias("golden_id"), "source_party_id"),
         sources=sources,
-        lineage=_fresh_lineage(_lineage(done, addresses, statuses, cfg, as_of), state.lineage, done, cfg),
+        lineage=_fresh_lineage(_lineage(done, addresses, statuses, cfg, as_of), state.lineage, done),
         confirmations=_confirmations(verdicts, statuses, as_of),
         errors=errors,
     )

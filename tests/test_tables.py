@@ -1,7 +1,9 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from goldweave.functions.text import strip, usable
 from goldweave.operators.mastering import master_parties, moment
@@ -11,6 +13,7 @@ from goldweave.plans import serving, stats
 from goldweave.schemas import SOURCE_PARTIES
 from goldweave.session import Scratch
 from goldweave.sources import export, feeds, files
+from goldweave.sources.tables import SPAN, KeyedTable
 from tests.build import CRM, DNB, MKT, frame, party
 
 
@@ -130,3 +133,65 @@ def test_search_and_lookup(spark, mastered):
     assert [r["id"] for r in serving.party_sources(m.links, parties, gid).collect()] == [2, 1]
     assert serving.party(m.golden, gid).first()["created_at"].startswith("2025-01-01T")
     assert serving.party(m.golden, "none").count() == serving.party_lineage(m.golden, m.lineage, "none").count() == 0
+
+
+def _keyed(spark, root, buckets=8):
+    return KeyedTable(spark, str(root), T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.LongType())]), ("k",), buckets=buckets)
+
+
+def _state(df):
+    return {r["k"]: r["v"] for r in df.collect()}
+
+
+def test_keyed_table_is_the_last_word_on_each_key(spark, tmp_path):
+    table, rng, expected, past = _keyed(spark, tmp_path), random.Random(3), {f"k{i}": -1 for i in range(30)}, []
+    frame = lambda rows: spark.createDataFrame(list(rows.items()), table.schema)
+    table.write(frame(expected), 0, 0)
+    for batch in range(10):
+        past.append(dict(expected))
+        changed = {f"k{rng.randint(0, 40)}": batch for _ in range(4)}
+        gone = {f"k{rng.randint(0, 40)}" for _ in range(2)} - set(changed)
+        table.change(frame(changed), batch, spark.createDataFrame([(k,) for k in gone], "k string"))
+        table.settle(batch)
+        expected = {k: v for k, v in (expected | changed).items() if k not in gone}
+        if batch == 5:
+            table.write(table.read(), 1, 6)
+    assert _state(table.read()) == expected
+    assert table.spans() == [(0, 7), (8, 8), (9, 9)] and table.spans(6) == [(6, 6), (7, 7), (8, 8), (9, 9)]
+    for before in range(10):
+        assert _state(table.read(before)) == past[before]
+    wanted = spark.createDataFrame([("k1",), ("k7",), ("nobody",), ("k1",)], "x string")
+    assert _state(table.read(keys=wanted)) == {k: v for k, v in expected.items() if k in ("k1", "k7")}
+    table.write(table.read(), 2, 10)
+    table.retire(1)
+    assert _state(table.read()) == expected and table.spans() == []
+    assert _state(_keyed(spark, tmp_path / "none").read()) == {} and _keyed(spark, tmp_path / "none").read(keys=wanted).count() == 0
+
+
+def test_files_read_for_one_key_do_not_grow_with_buckets_or_batches(spark, tmp_path):
+    one, opened = spark.createDataFrame([("k3",)], "k string"), {}
+    for buckets in (4, 32):
+        table = _keyed(spark, tmp_path / str(buckets), buckets)
+        table.write(spark.range(2000).selectExpr("concat('k', id) AS k", "id AS v"), 0, 0)
+        for batch in range(SPAN * 2):
+            table.change(spark.createDataFrame([(f"k{batch}", batch), ("k3", batch)], table.schema), batch)
+            table.settle(batch)
+            if batch in (SPAN - 1, 2 * SPAN - 1):
+                df = table.read(keys=one)
+                opened[buckets, batch] = _scanned(df)
+        assert _state(table.read(keys=one)) == {"k3": 2 * SPAN - 1}
+    assert opened[4, SPAN - 1] == opened[32, SPAN - 1] and opened[32, 2 * SPAN - 1] <= opened[32, SPAN - 1] + 1
+
+
+def _scanned(df):
+    """Files that the scans of a frame open."""
+    spark, key = df.sparkSession, "spark.sql.adaptive.enabled"
+    spark.conf.set(key, "false")
+    try:
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        leaves = execution.executedPlan().collectLeaves()
+        scans = [leaf for leaf in (leaves.apply(i) for i in range(leaves.size())) if leaf.nodeName().startswith("Scan parquet")]
+        return sum(scan.metrics().apply("numFiles").value() for scan in scans)
+    finally:
+        spark.conf.set(key, "true")
