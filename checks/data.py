@@ -136,17 +136,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     for ref, name in (("party_ref", "golden_id"), ("primary_ref", "primary_golden_id"), ("secondary_ref", "secondary_golden_id")):
         events = resolve(events, ref, name)
     kind = F.col("event_type")
-    place = ["address_line1", "city", "state"]
+    place = ["address_line1", "address_line2", "city", "state", "postal_code", "country"]
     payload = F.struct(
         F.when(kind == "NEW_PARTY", F.concat(F.lit("Party "), F.col("seq").cast("string"))).alias("full_name"),
         *place,
         F.when(kind == "KYC_STATUS_UPDATE", "VERIFIED").alias("kyc_status"),
         F.when(kind == "KYC_STATUS_UPDATE", F.col("risk_score")).alias("risk_score"),
+        F.when(kind == "KYC_STATUS_UPDATE", F.col("raw_props")).alias("notes"),
         F.col("new_status").alias("entity_status"),
         F.when(kind == "ENTITY_MERGE", F.col("primary_golden_id")).alias("primary_golden_id"),
         F.when(kind == "ENTITY_MERGE", F.col("secondary_golden_id")).alias("secondary_golden_id"),
     )
-    message = F.struct("seq", "event_id", "event_type", "golden_id", F.lit("internal_crm").alias("source_system"), payload.alias("payload"))
+    sent = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp")
+    message = F.struct("seq", "event_id", "event_type", "golden_id", F.lit("internal_crm").alias("source_system"), sent, payload.alias("payload"))
     return events.select("seq", F.to_json(message).alias("value"))
 
 

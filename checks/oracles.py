@@ -114,7 +114,7 @@ _CTE["status_ops"] = """SELECT o.golden_id, seq, event_type, written,
       SELECT golden_id, seq, event_type, new_status AS written FROM done WHERE event_type = 'STATUS_CHANGE'
       UNION ALL SELECT secondary_id, seq, event_type, 'MERGED' FROM done WHERE event_type = 'ENTITY_MERGE') o
     JOIN golden g ON g.golden_id = o.golden_id"""
-_CTE["address_ops"] = """SELECT d.*, lag(seq) OVER w AS before, lag(d.address_line1) OVER w AS l1, lag(d.city) OVER w AS lc, lag(d.state) OVER w AS ls,
+_CTE["address_ops"] = """SELECT d.*, lag(seq) OVER w AS before, lag(d.address_line1) OVER w AS l1, lag(d.city) OVER w AS lc, lag(d.state) OVER w AS ls, lag(d.postal_code) OVER w AS lp,
     g.address_line1 AS g1, g.city AS gc, g.state AS gs, g.postal_code AS gp
     FROM done d JOIN golden g USING (golden_id) WHERE event_type = 'ADDRESS_CHANGE' WINDOW w AS (PARTITION BY golden_id ORDER BY seq)"""
 _CTE["merges"] = "SELECT seq, primary_id AS p, secondary_id AS s FROM done WHERE event_type = 'ENTITY_MERGE'"
@@ -276,16 +276,18 @@ _BUSIEST = "(SELECT golden_id FROM links GROUP BY golden_id ORDER BY count(*) DE
 _PAGE = "SELECT golden_id, full_name, tax_id, state, party_type, entity_status, confidence_score FROM golden"
 _BAND = """CASE WHEN confidence_score >= 0.99 THEN '0.99-1.00 (Exact)' WHEN confidence_score >= 0.90 THEN '0.90-0.99 (High)'
     WHEN confidence_score >= 0.80 THEN '0.80-0.90 (Good)' ELSE 'Below 0.80 (Low)' END"""
-_GOLDEN_AFTER = f"""SELECT g.golden_id, CASE WHEN a.golden_id IS NULL THEN g.address_line1 ELSE a.address_line1 END AS address_line1,
-    CASE WHEN a.golden_id IS NULL THEN g.city ELSE a.city END AS city, CASE WHEN a.golden_id IS NULL THEN g.state ELSE a.state END AS state,
-    CASE WHEN a.golden_id IS NULL THEN g.postal_code END AS postal_code, CASE WHEN a.golden_id IS NULL THEN g.country ELSE 'USA' END AS country,
+_GOLDEN_AFTER = f"""SELECT g.golden_id, CASE WHEN a.golden_id IS NULL THEN g.address_line1 ELSE a.l.address_line1 END AS address_line1,
+    CASE WHEN a.golden_id IS NULL THEN g.address_line2 ELSE a.l.address_line2 END AS address_line2,
+    CASE WHEN a.golden_id IS NULL THEN g.city ELSE a.l.city END AS city, CASE WHEN a.golden_id IS NULL THEN g.state ELSE a.l.state END AS state,
+    CASE WHEN a.golden_id IS NULL THEN g.postal_code ELSE a.l.postal_code END AS postal_code,
+    CASE WHEN a.golden_id IS NULL THEN g.country ELSE coalesce(a.l.country, 'USA') END AS country,
     coalesce(o.written, g.entity_status) AS entity_status,
     CASE WHEN a.golden_id IS NULL AND o.golden_id IS NULL THEN g.updated_at ELSE '{EVENTS_AS_OF}' END AS updated_at
     FROM golden g
-    LEFT JOIN (SELECT golden_id, arg_max(address_line1, seq) AS address_line1, arg_max(city, seq) AS city, arg_max(state, seq) AS state
+    LEFT JOIN (SELECT golden_id, arg_max({{'address_line1': address_line1, 'address_line2': address_line2, 'city': city, 'state': state, 'postal_code': postal_code, 'country': country}}, seq) AS l
                FROM address_ops GROUP BY golden_id) a USING (golden_id)
     LEFT JOIN (SELECT golden_id, arg_max(written, seq) AS written FROM status_ops GROUP BY golden_id) o USING (golden_id)
-    UNION ALL SELECT {_NEW_ID}, address_line1, city, state, NULL, 'USA', 'ACTIVE', '{EVENTS_AS_OF}' FROM done WHERE event_type = 'NEW_PARTY'"""
+    UNION ALL SELECT {_NEW_ID}, address_line1, address_line2, city, state, postal_code, coalesce(country, 'USA'), 'ACTIVE', '{EVENTS_AS_OF}' FROM done WHERE event_type = 'NEW_PARTY'"""
 
 
 def _chart(column: str, table: str) -> str:
@@ -361,6 +363,9 @@ def registry() -> dict[str, str]:
         "stable_golden_ids": _with([*_ENTITY, "sym_odd", "reach_odd", "comp_odd", "held"], """SELECT m.id AS source_party_id,
             coalesce(min(h.golden_id) OVER (PARTITION BY m.cluster_id), e.golden_id) AS golden_id
             FROM members m JOIN entities e USING (cluster_id) LEFT JOIN held h ON h.id = m.id"""),
+        "master_incremental": _with([*_ENTITY, "sym_odd", "reach_odd", "comp_odd", "held"], """SELECT m.id AS source_party_id,
+            coalesce(min(h.golden_id) OVER (PARTITION BY m.cluster_id), e.golden_id) AS golden_id, m.prio = e.top AS is_survivor, e.match_score,
+            e.full_name, e.confidence_score FROM members m JOIN entities e USING (cluster_id) LEFT JOIN held h ON h.id = m.id"""),
         "ingest_counts": _src("""SELECT source_system, party_type, count(*) AS count FROM src GROUP BY source_system, party_type
             UNION ALL SELECT 'TOTAL', '', count(*) FROM src"""),
         "golden_by_type": _tables("SELECT party_type, count(*) AS count, round(avg(confidence_score), 3) AS avg_confidence FROM golden GROUP BY party_type"),
@@ -446,11 +451,13 @@ def registry() -> dict[str, str]:
         "event_mix": _with(["ev"], "SELECT event_type, count(*) AS count FROM ev GROUP BY event_type"),
         "event_routing": _with(["ev"], """SELECT event_type, CASE WHEN event_type = 'PURCHASE' THEN 'skipped' ELSE 'handled' END AS route, count(*) AS count
             FROM ev GROUP BY event_type"""),
+        "event_times": _with(["ev"], "SELECT seq, strftime(event_ts, '%Y-%m-%dT%H:%M:%S') AS sent_at FROM ev"),
         "event_keys": _events("SELECT seq, coalesce(golden_id, event_id) AS key FROM resolved"),
         "events_address": _events("""SELECT golden_id, event_id, 'event_stream' AS triggered_by, CASE WHEN before IS NULL THEN g1 ELSE l1 END AS old_line1,
             CASE WHEN before IS NULL THEN gc ELSE lc END AS old_city, CASE WHEN before IS NULL THEN gs ELSE ls END AS old_state,
-            CASE WHEN before IS NULL THEN gp END AS old_postal, address_line1 AS new_line1, city AS new_city FROM address_ops""", "address_ops"),
-        "events_kyc": _events("SELECT golden_id, event_id, 'event_stream' AS triggered_by, 'VERIFIED' AS kyc_status, risk_score FROM done WHERE event_type = 'KYC_STATUS_UPDATE'"),
+            CASE WHEN before IS NULL THEN gp ELSE lp END AS old_postal, address_line1 AS new_line1, address_line2 AS new_line2, city AS new_city, state AS new_state,
+            postal_code AS new_postal, country AS new_country FROM address_ops""", "address_ops"),
+        "events_kyc": _events("SELECT golden_id, event_id, 'event_stream' AS triggered_by, 'VERIFIED' AS kyc_status, risk_score, raw_props AS notes FROM done WHERE event_type = 'KYC_STATUS_UPDATE'"),
         "events_new_party": _events(f"""SELECT {_NEW_ID} AS golden_id, event_id, 'event_stream' AS triggered_by, 'internal_crm' AS source,
             'Party ' || seq AS full_name, 'kafka_stream' AS via FROM done WHERE event_type = 'NEW_PARTY'"""),
         "events_status": _events("""SELECT o.golden_id, d.event_id, 'event_stream' AS triggered_by, old_status, written AS new_status
@@ -470,6 +477,14 @@ def registry() -> dict[str, str]:
             "status_ops", "address_ops", "merges", "chain", "links_after", "new_links"),
         "stream_progress": _with(["ev"], f"""SELECT count(*) + count(*) FILTER (WHERE seq % 500 = 3) AS input_rows, CAST(0 AS BIGINT) AS lag, 'up_to_date' AS status
             FROM ev WHERE seq > {_HALF}"""),
+        "stream_progress_all": _with(["ev"], "SELECT count(DISTINCT (seq - lo) * 120 // (hi - lo + 1)) AS batches, count(*) AS input_rows, 'up_to_date' AS status FROM ev, (SELECT min(seq) AS lo, max(seq) AS hi FROM ev)"),
+        "stream_bounded": _events("""SELECT run, count(DISTINCT batch) AS batches, count(*) AS events, CAST(sum(good) AS BIGINT) AS successes FROM (
+              SELECT *, CASE WHEN coalesce(before, 0) < aim THEN 1 ELSE 2 END AS run FROM (
+                SELECT j.*, CASE WHEN verdict = 'success' THEN 1 ELSE 0 END AS good, (seq - lo) * 4 // (hi - lo + 1) AS batch,
+                  (SELECT count(*) // 5 FROM ev) AS aim, (SELECT count(*) FROM judged x WHERE x.verdict = 'success' AND (x.seq - lo) * 4 // (hi - lo + 1) < (j.seq - lo) * 4 // (hi - lo + 1)) AS before
+                FROM judged j, (SELECT min(seq) AS lo, max(seq) AS hi FROM ev))) GROUP BY run"""),
+        "stream_fold": _with(["src", "ev"], f"""SELECT source_system, source_party_id, CASE WHEN id % 2 = 0 THEN 'B ' ELSE 'A ' END || full_name AS full_name, city, true AS linked FROM src
+            UNION ALL SELECT 'internal_crm', 'STREAM-' || event_id, 'Party ' || seq, city, true FROM ev WHERE event_type = 'NEW_PARTY'"""),
         "recent_stream_events": _events("SELECT golden_id, event_type, event_id FROM stream_lineage ORDER BY event_id LIMIT 10", "stream_lineage"),
         "stream_apply_available_now": _events(_GOLDEN_AFTER, "status_ops", "address_ops"),
         "stream_stats_available_now": _events(_RUN_STATS.format(broken="(SELECT count(*) FROM ev WHERE seq % 500 = 3)")),

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from checks import data
 from goldweave.config import LEI_EXACT, TAX_ID_EXACT, MasteringConfig
-from goldweave.operators import mastering, matching, quality
+from goldweave.operators import incremental, mastering, matching, quality
+from goldweave.operators.mastering import master_parties
 from goldweave.operators.upsert import append_links, upsert_golden, upsert_sources
 from goldweave.plans import serving, stats
-from goldweave.schemas import PARTY_COLUMNS
+from goldweave.plans.pipeline import Warehouse, fold_events, master, upsert_stored
+from goldweave.schemas import ADDRESS_COLUMNS, PARTY_COLUMNS
 from goldweave.session import Scratch
 from goldweave.sources import export, feeds, files
 from goldweave.streaming import events, stream
@@ -180,6 +182,18 @@ def _stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.links.select("source_party_id", "golden_id")
 
 
+def _master_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masters half the records, then the others as changes to the tables of the first run."""
+    rows = data.source_table(spark, sf_dir)
+    half = mastering.master_parties(rows.filter("id % 2 = 1"), CFG, data.scratch(spark, "half"), data.AS_OF)
+    out = data.scratch(spark, "changes")
+    golden, links = out.save(half.golden, "golden"), out.save(half.links, "links")
+    done = incremental.master_changes(rows, golden, links, rows.filter("id % 2 = 0").select("id"), CFG, out, data.AS_OF)
+    golden, links = incremental.after_changes(golden, links, rows, done)
+    return plain(links.join(golden.select("golden_id", "full_name", "confidence_score"), "golden_id").select(
+        "source_party_id", "golden_id", "is_survivor", "match_score", "full_name", "confidence_score"))
+
+
 # What a check was asked for and its counts; dq_results reads them back from the stored details.
 _ARGUMENTS = ["value_set", "min_value", "max_value", "unlinked", "orphans", "survivors", "golden"]
 
@@ -334,7 +348,7 @@ def _event_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _golden_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = events.merge_changes(data.tables(spark, sf_dir).golden, data.applied(spark, sf_dir).golden, "golden_id")
-    return plain(changed.select("golden_id", "address_line1", "city", "state", "postal_code", "country", "entity_status", "updated_at"))
+    return plain(changed.select("golden_id", *ADDRESS_COLUMNS, "entity_status", "updated_at"))
 
 
 def _links_after(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,29 +361,92 @@ def _streamed(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, Data
     return data.once(spark, sf_dir, "streamed", lambda: _stream(spark, sf_dir))
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame, Scratch]:
-    """Writes the events as JSON lines in two goes and streams each into the stored tables."""
-    out = data.scratch(spark, "stream")
+def _store(spark: SparkSession, sf_dir: str, out: Scratch) -> stream.PartyStore:
     t = data.tables(spark, sf_dir)
     store = stream.PartyStore(spark, out.path("store"))
     store.start(t.golden, t.links, t.parties, t.lineage)
+    return store
+
+
+def _stream(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, DataFrame, Scratch]:
+    """Writes the events as JSON lines in two goes and streams each into the stored tables."""
+    out = data.scratch(spark, "stream")
+    store = _store(spark, sf_dir, out)
     messages = out.save(data.messages(spark, sf_dir), "messages")
     broken = messages.filter("seq % 500 = 3").select("seq", F.expr("substring(value, 1, length(value) - 5)").alias("value"))
     lines = messages.unionByName(broken)
     middle = messages.agg(F.expr("(min(seq) + max(seq)) div 2").alias("m")).first()["m"]
     write = stream.batch_writer(store, stream.field_order(), CFG, data.EVENTS_AS_OF, stream.confirmation_sink("text", out.path("confirmed")))
-    query = None
-    for part in (F.col("seq") <= middle, F.col("seq") > middle):
+    for go, part in enumerate((F.col("seq") <= middle, F.col("seq") > middle)):
         lines.filter(part).select("value").write.mode("append").text(out.path("inbox"))
-        query = stream.start_stream(stream.read_messages(spark, "text", out.path("inbox")), write, out.path("checkpoint"))
-        query.awaitTermination()
+        with stream.progress_log(spark, out.path(f"progress-{go}")):
+            stream.start_stream(stream.read_messages(spark, "text", out.path("inbox")), write, out.path("checkpoint")).awaitTermination()
     stream.refresh_export(store, out.path("golden"), data.EVENTS_AS_OF)
-    return store, stream.stream_progress(spark, query), out
+    return store, stream.stream_progress(spark, out.path("progress-1")), out
+
+
+def _parts(messages: DataFrame, parts: int, folder: str) -> None:
+    """Messages as one file for each of ``parts`` stretches of their order, written one after the other."""
+    low, high = messages.agg(F.min("seq"), F.max("seq")).first()
+    cut = F.floor((F.col("seq") - low) * parts / (high - low + 1))
+    for part in range(parts):
+        messages.filter(cut == part).select("value").coalesce(1).write.mode("append").text(folder)
+
+
+def _stream_progress_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches, rows and last status of a run of 120 batches, more than a query remembers by itself."""
+    out = data.scratch(spark, "progress")
+    _parts(out.save(data.messages(spark, sf_dir), "messages"), 120, out.path("inbox"))
+    messages = stream.read_messages(spark, "text", out.path("inbox"), maxFilesPerTrigger="1")
+    with stream.progress_log(spark, out.path("progress")):
+        stream.start_stream(messages, lambda batch, number: batch.write.format("noop").mode("overwrite").save(), out.path("checkpoint")).awaitTermination()
+    seen = stream.stream_progress(spark, out.path("progress")).filter("input_rows > 0")
+    return seen.agg(F.count_distinct("batch_id").alias("batches"), F.sum("input_rows").alias("input_rows"), F.max_by("status", "batch_id").alias("status"))
+
+
+def _stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over four files of events: the first stops at a fifth of the events in successes, the second takes the rest."""
+    out = data.scratch(spark, "bounded")
+    store = _store(spark, sf_dir, out)
+    messages = out.save(data.messages(spark, sf_dir), "messages")
+    _parts(messages, 4, out.path("inbox"))
+    write = stream.batch_writer(store, stream.field_order(), CFG, data.EVENTS_AS_OF)
+    rows = lambda: stream.read_messages(spark, "text", out.path("inbox"), maxFilesPerTrigger="1")
+    stream.run_bounded(store, rows(), write, out.path("checkpoint"), successes=messages.count() // 5, idle=2, poll_seconds=1)
+    after = store.complete()
+    stream.run_bounded(store, rows(), write, out.path("checkpoint"), successes=None, idle=2, poll_seconds=1)
+    done = [store.confirmations.batch(n).select("status", F.lit(n).alias("batch")).unionByName(store.errors.batch(n).select(F.lit("error").alias("status"), F.lit(n).alias("batch")))
+            for n in range(store.complete())]
+    return reduce(DataFrame.unionByName, done).groupBy(F.when(F.col("batch") < after, 1).otherwise(2).alias("run")).agg(
+        F.count_distinct("batch").alias("batches"), F.count(F.lit(1)).alias("events"), F.count_if(F.col("status") == "success").alias("successes"))
+
+
+def _stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source records, and whether they are linked, after events, an ingest, events, a mastering, events and a fold."""
+    out = data.scratch(spark, "fold")
+    store = Warehouse(spark, out.path("warehouse"))
+    rows = data.parties(spark, sf_dir)
+    first = rows.filter("id % 3 <> 0")
+    known = master_parties(first, CFG, out, data.AS_OF)
+    store.tables.start(known.golden, known.links, first, known.lineage)
+    messages = out.save(data.messages(spark, sf_dir), "messages")
+    write = stream.batch_writer(store.tables, stream.field_order(), CFG, data.EVENTS_AS_OF)
+    part = lambda k: messages.filter(F.pmod(F.col("seq"), F.lit(3)) == k).select("value")
+    write(part(0), 0)
+    batch = rows.withColumns({"at": F.col("id"), "full_name": F.concat(F.when(F.col("id") % 2 == 0, "B ").otherwise("A "), "full_name")})
+    upsert_stored(store, batch.drop("id"), "at", data.EVENTS_AS_OF)
+    write(part(1), 1)
+    master(store, CFG, data.EVENTS_AS_OF)
+    write(part(2), 2)
+    fold_events(store)
+    linked = store.links.join(store.golden, "golden_id", "left_semi").select(F.col("source_party_id").alias("id"), F.lit(True).alias("linked")).distinct()
+    return plain(store.sources.join(linked, "id", "left").select(
+        "source_system", "source_party_id", "full_name", "city", F.coalesce("linked", F.lit(False)).alias("linked")))
 
 
 def _stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, _, _ = _streamed(spark, sf_dir)
-    return plain(store.golden.read().select("golden_id", "address_line1", "city", "state", "postal_code", "country", "entity_status", "updated_at"))
+    return plain(store.state().golden.select("golden_id", *ADDRESS_COLUMNS, "entity_status", "updated_at"))
 
 
 def _stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -419,6 +496,7 @@ def registry() -> dict[str, Query]:
             data.fresh_mastering(s, d, ONE_SURVIVOR).links.select("golden_id", "source_party_id", "is_survivor")),
         "lineage_created": _lineage_created,
         "stable_golden_ids": _stable_ids,
+        "master_incremental": _master_incremental,
         # reports and statistics
         "ingest_counts": _of(stats.ingest_counts, "parties"),
         "golden_by_type": _of(stats.golden_by_type, "golden"),
@@ -471,10 +549,12 @@ def registry() -> dict[str, Query]:
         "event_mix": lambda s, d: events.event_mix(events.decode(data.messages(s, d))),
         "event_routing": _event_routing,
         "event_keys": _event_keys,
+        "event_times": lambda s, d: events.decode(data.messages(s, d)).select("seq", "sent_at"),
         "events_address": partial(_events, "ADDRESS_UPDATED", {
             "old_line1": "old_address.address_line1", "old_city": "old_address.city", "old_state": "old_address.state",
-            "old_postal": "old_address.postal_code", "new_line1": "new_address.address_line1", "new_city": "new_address.city"}),
-        "events_kyc": lambda s, d: _events("KYC_STATUS_UPDATED", {"kyc_status": "kyc_status", "risk_score": "risk_score"}, s, d).withColumn(
+            "old_postal": "old_address.postal_code", "new_line1": "new_address.address_line1", "new_line2": "new_address.address_line2", "new_city": "new_address.city",
+            "new_state": "new_address.state", "new_postal": "new_address.postal_code", "new_country": "new_address.country"}),
+        "events_kyc": lambda s, d: _events("KYC_STATUS_UPDATED", {"kyc_status": "kyc_status", "risk_score": "risk_score", "notes": "notes"}, s, d).withColumn(
             "risk_score", F.col("risk_score").cast("double")),
         "events_new_party": partial(_events, "CREATED", {"source": "source", "full_name": "full_name", "via": "via"}),
         "events_status": partial(_events, "STATUS_CHANGED", {"old_status": "old_status", "new_status": "new_status"}),
@@ -489,6 +569,9 @@ def registry() -> dict[str, Query]:
         "stream_apply_available_now": _stream_apply,
         "stream_stats_available_now": lambda s, d: plain(_stream_stats(s, d)),
         "stream_progress": _stream_progress,
+        "stream_progress_all": _stream_progress_all,
+        "stream_bounded": _stream_bounded,
+        "stream_fold": _stream_fold,
         "stream_export": _stream_export,
         "confirmation_messages": _confirmation_messages,
     }

@@ -63,6 +63,9 @@ SELECT event_id AS seq, 'EVT-' || CAST(event_id AS STRING) AS event_id, ts AS ev
   CASE WHEN event_type IN ('click','signup') THEN CAST(event_id % 999 + 1 AS STRING) || ' ' || substr(md5(CAST(event_id AS STRING)),1,6) || ' Street' END AS address_line1,
   CASE WHEN event_type IN ('click','signup') THEN 'City ' || CAST(event_id % 97 AS STRING) END AS city,
   CASE WHEN event_type IN ('click','signup') THEN 'S' || CAST(event_id % 9 AS STRING) END AS state,
+  CASE WHEN event_type IN ('click','signup') AND event_id % 3 = 0 THEN 'Apt ' || CAST(event_id % 99 AS STRING) END AS address_line2,
+  CASE WHEN event_type IN ('click','signup') AND event_id % 7 <> 2 THEN CAST(10000 + (event_id * 7919) % 90000 AS STRING) END AS postal_code,
+  CASE WHEN event_type IN ('click','signup') AND event_id % 5 = 0 THEN 'CAN' END AS country,
   value AS risk_score, props AS raw_props
 FROM events
 """

@@ -96,6 +96,15 @@ def _comparison_columns(parties: DataFrame, cfg: MasteringConfig) -> DataFrame:
     )
 
 
+def match_keys(parties: DataFrame, cfg: MasteringConfig) -> DataFrame:
+    """(id, exact, key): what another record must share to match a record: an identifier, or a block of the similarity rule."""
+    exact = _exact_keys(parties).filter(F.col("match_type") != TAX_AND_LEI).select(
+        "id", F.lit(True).alias("exact"), F.concat_ws("|", "match_type", "key_1").alias("key"))
+    blocks = _comparison_columns(parties, cfg).select("id", F.lit(False).alias("exact"), F.explode(_places(cfg)).alias("p"), "state").select(
+        "id", "exact", F.concat_ws("|", "p.place_kind", "state", "p.place").alias("key"))
+    return exact.unionByName(blocks)
+
+
 def profiles(parties: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """Distinct inputs of the similarity rule with their record count and smallest id."""
     return (
@@ -105,6 +114,15 @@ def profiles(parties: DataFrame, cfg: MasteringConfig) -> DataFrame:
     )
 
 
+def _places(cfg: MasteringConfig) -> Column:
+    """Places below the state that a match must share one of."""
+    place = lambda kind, value: F.struct(F.lit(kind).alias("place_kind"), value.alias("place"))
+    if not cfg.needs_place_agreement:
+        return F.array(place("state", F.lit("")))
+    postal = F.when(F.col("postal_code").isNotNull(), place("postal", F.col("postal_code")))
+    return F.array_compact(F.array(place("city", F.col("city_key")), postal))
+
+
 def blocked_profiles(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
     """Profiles under each block key they can match in, with the block's grid size.
 
@@ -113,20 +131,10 @@ def blocked_profiles(profile: DataFrame, cfg: MasteringConfig) -> DataFrame:
     A block larger than ``block_cell_rows`` on a side is cut into a grid whose
     cells each hold a bounded number of rows; every pair meets in one cell.
     """
-    place = lambda kind, value: F.struct(F.lit(kind).alias("place_kind"), value.alias("place"))
-    if cfg.needs_place_agreement:
-        places = F.array_compact(
-            F.array(
-                place("city", F.col("city_key")),
-                F.when(F.col("postal_code").isNotNull(), place("postal", F.col("postal_code"))),
-            )
-        )
-    else:
-        places = F.array(place("state", F.lit("")))
     last = len(cfg.compared_sources) - 1
     keyed = (
         profile.withColumn("source_rank", _source_rank(cfg))
-        .withColumn("p", F.explode(places))
+        .withColumn("p", F.explode(_places(cfg)))
         .select(*_PROFILE, "profile_id", "members", "source_rank", "p.place_kind", "p.place")
     )
     sizes = (
@@ -160,8 +168,8 @@ def _best_text(text: str, cfg: MasteringConfig) -> str:
     return f"IF({bound} >= {cfg.binarize_threshold - 1e-9}D, 1D, 0D)"
 
 
-def _candidates(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
-    """Cross-source profile pairs whose best possible score reaches the threshold."""
+def _candidates(blocked: DataFrame, cfg: MasteringConfig, only: str = "true") -> DataFrame:
+    """Cross-source profile pairs whose best possible score reaches the threshold; ``only`` is a condition on ``l`` and ``r``."""
     slot = lambda count: F.pmod(F.xxhash64("profile_id"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(count) - 1))
     cell = [*_BLOCK, "cell_row", "cell_column"]
@@ -190,13 +198,13 @@ def _candidates(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     return left.alias("l").join(
         right.alias("r"),
         F.expr(
-            f"{same_cell} AND l.source_rank < r.source_rank AND {total} >= {cfg.fuzzy_threshold - 1e-9}D AND {once}"
+            f"{same_cell} AND l.source_rank < r.source_rank AND {total} >= {cfg.fuzzy_threshold - 1e-9}D AND {once} AND {only}"
         ),
     )
 
 
-def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
-    """Profile pairs that reach the threshold, with the score rounded to 4 places."""
+def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig, only: str = "true") -> DataFrame:
+    """Profile pairs that reach the threshold, with the score rounded to 4 places; ``only`` is a condition on the sides ``l`` and ``r``."""
     sided = [
         F.col(f"{side}.{name}").alias(f"{name}_{suffix}")
         for side, suffix in (("l", "a"), ("r", "b"))
@@ -204,7 +212,7 @@ def scored_profile_pairs(blocked: DataFrame, cfg: MasteringConfig) -> DataFrame:
     ]
     agree = lambda name: F.coalesce(F.col(f"{name}_a") == F.col(f"{name}_b"), F.lit(False)).cast("double")
     place = agree("city_key") * cfg.city_weight + agree("postal_code") * cfg.postal_weight
-    paired = _candidates(blocked, cfg).select(*sided, F.expr(_best_text("address", cfg)).alias("address_best")).withColumn("place_part", place)
+    paired = _candidates(blocked, cfg, only).select(*sided, F.expr(_best_text("address", cfg)).alias("address_best")).withColumn("place_part", place)
     if _ignores_text(cfg):
         raw = F.col("place_part") + cfg.name_weight + cfg.address_weight
     else:

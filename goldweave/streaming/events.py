@@ -87,6 +87,7 @@ def decode(raw: DataFrame) -> DataFrame:
         "seq", "value",
         F.col("e.event_id").alias("event_id"),
         absent("event_type", "UNKNOWN").alias("event_type"),
+        F.col("e.timestamp").alias("sent_at"),
         filled("e.golden_id").alias("golden_id"),
         absent("party_type", "INDIVIDUAL").alias("party_type"),
         absent("source_system", "internal_crm").alias("source_system"),

@@ -4,7 +4,8 @@ import random
 import pytest
 
 from goldweave.config import MasteringConfig
-from goldweave.operators.components import connected_components
+from goldweave.operators.components import connected_components, extended_components
+from goldweave.operators.incremental import after_changes, master_changes
 from goldweave.operators.mastering import components, master_parties
 from goldweave.operators.matching import final_pair_types, fuzzy_matches, match_counts
 from goldweave.session import Scratch
@@ -151,3 +152,57 @@ def test_a_pair_is_scored_by_one_call(spark):
     plan = scored_profile_pairs(blocked, cfg)._jdf.queryExecution().executedPlan().toString()
     nodes = [line for line in plan.split("\n") if "EvalPython" in line]
     assert len(nodes) == 1 and nodes[0].count("score(") == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_new_edges_extend_known_components(spark, seed):
+    rng = random.Random(seed)
+    old, new = ([(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(n)] for n in (30, 8))
+    frame_of = lambda edges: spark.createDataFrame(edges, "a bigint, b bigint")
+    work = Scratch(spark, "grown")
+    known = work.save(connected_components(frame_of(old), work, "old"), "known")
+    moved = {r["node"]: r["component"] for r in extended_components(known, frame_of(new), work).collect()}
+    before = {r["node"]: r["component"] for r in known.collect()}
+    full = {r["node"]: r["component"] for r in connected_components(frame_of(old + new), work, "all").collect()}
+    loops = {a for a, b in new if a == b}
+    assert {n: c for n, c in (before | moved).items() if n not in loops or n in full} == full
+    assert all(before.get(n) != c for n, c in moved.items())
+    assert extended_components(known, frame_of([]), work, "none").count() == 0
+
+
+def _tables_of(golden, links):
+    drop = ("created_at", "updated_at", "linked_at")
+    key = lambda r: str(sorted((k, str(v)) for k, v in r.asDict().items() if k not in drop))
+    return sorted(key(r) for r in golden.collect()), sorted(key(r) for r in links.collect())
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_changed_records_equal_a_mastering_of_all(spark, seed):
+    rng = random.Random(seed)
+
+    def record(i):
+        return party(i, rng.choice([CRM, DNB, MKT]), tax_id=rng.choice([None, f"T{rng.randint(0, 25)}"]), lei=rng.choice([None, None, f"L{rng.randint(0, 9)}"]),
+                     full_name=f"Name {rng.randint(0, 12)}", city=rng.choice("ab"), postal_code=rng.choice(["1", "2"]), address_line1=f"{rng.randint(0, 3)} Way")
+
+    rows = {i: record(i) for i in range(1, 60)}
+    first = master_parties(frame(spark, list(rows.values())), as_of="2025-01-01")
+    work = Scratch(spark, "before")
+    golden, links = work.save(first.golden, "golden"), work.save(first.links, "links")
+    ids = rng.sample(range(1, 60), 5) + [100, 101]
+    for i in ids[:4] + [100, 101]:
+        rows[i] = record(i)
+    del rows[ids[4]]
+    now = frame(spark, list(rows.values()))
+    done = master_changes(now, golden, links, spark.createDataFrame([(i,) for i in ids], "id bigint"), as_of="2025-01-02")
+    full = master_parties(now, as_of="2025-01-02", previous_links=links)
+    assert _tables_of(*after_changes(golden, links, now, done)) == _tables_of(full.golden, full.links)
+
+
+def test_rows_rewritten_follow_the_change(spark):
+    rows = [party(i, [CRM, DNB][i % 2], tax_id=f"T{i // 2}", city=f"c{i // 8}", full_name=f"Name {i}") for i in range(2, 202)]
+    first = master_parties(frame(spark, rows), as_of="2025-01-01")
+    work = Scratch(spark, "before")
+    golden, links = work.save(first.golden, "golden"), work.save(first.links, "links")
+    now = frame(spark, [*rows, party(900, MKT, tax_id="T7"), party(901, MKT, tax_id="new", city="far")])
+    done = master_changes(now, golden, links, spark.createDataFrame([(900,), (901,)], "id bigint"), as_of="2025-01-02")
+    assert (done.golden.count(), done.gone.count(), done.lineage.count()) == (2, 0, 1) and done.links.count() <= 12

@@ -145,13 +145,13 @@ def test_batch_equals_one_by_one_and_stream_equals_batch(spark):
     write = stream.batch_writer(store, stream.field_order(), MasteringConfig(), AS_OF, lambda df, n: confirmed.append(df.count()))
     for part in (messages[:60], messages[60:]):
         spark.createDataFrame(part, "seq bigint, value string").select("value").coalesce(1).write.mode("append").text(out.path("inbox"))
-        query = stream.start_stream(stream.read_messages(spark, "text", out.path("inbox")), write, out.path("checkpoint"))
-        query.awaitTermination()
+        with stream.progress_log(spark, out.path("progress")):
+            stream.start_stream(stream.read_messages(spark, "text", out.path("inbox")), write, out.path("checkpoint")).awaitTermination()
     # The line without an order is an error here, and '{}' has none either.
     _check(parties, mastered, store.golden.read(), store.links.read(), store.sources.read(), store.confirmations.read(), store.errors.read(),
            [m for m in messages if m[1] != "{}"])
     assert sum(confirmed) == store.confirmations.read().count()
-    assert {r["status"] for r in stream.stream_progress(spark, query).collect()} == {"up_to_date"}
+    assert {r["status"] for r in stream.stream_progress(spark, out.path("progress")).collect()} == {"up_to_date"}
 
     assert stream.refresh_export(store, out.path("zone"), AS_OF) and not stream.refresh_export(store, out.path("zone"), AS_OF, since=99)
     assert spark.read.parquet(f"{out.path('zone')}/golden_records/full").count() == store.golden.read().count()
@@ -182,3 +182,27 @@ def test_confirmation_message(spark):
     row = events.confirmation_messages(done.confirmations).first()
     body = json.loads(row["value"])
     assert row["key"] == "E" and body["result"] == {"status": "skipped", "reason": "unknown event type: ODD"} and body["processed_at"].startswith("2025-02-01T")
+
+
+def test_a_bounded_run_stops_between_batches_and_the_next_goes_on(spark):
+    parties, mastered = _mastered(spark)
+    out = Scratch(spark, "bounded")
+    store = stream.PartyStore(spark, out.path("store"), buckets=2)
+    store.start(mastered.golden, mastered.links, parties, mastered.lineage)
+    gid = mastered.golden.first()["golden_id"]
+    for part in range(3):
+        lines = [(json.dumps({"seq": 10 * part + i, "event_id": f"E{part}{i}", "event_type": "KYC_STATUS_UPDATE", "golden_id": gid if i else None, "payload": {}}),) for i in range(3)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").text(out.path("inbox"))
+    write = stream.batch_writer(store, stream.field_order(), MasteringConfig(), AS_OF)
+    rows = lambda: stream.read_messages(spark, "text", out.path("inbox"), maxFilesPerTrigger="1")
+    assert stream.run_bounded(store, rows(), write, out.path("checkpoint"), successes=3, idle=2, poll_seconds=0.5) == 4
+    assert store.complete() == 2
+    assert stream.run_bounded(store, rows(), write, out.path("checkpoint"), successes=50, idle=2, poll_seconds=0.5) == 2
+    assert store.complete() == 3 and store.lineage.read().filter("event_id IS NOT NULL").count() == 6
+
+
+def test_progress_of_topic_partitions(spark, tmp_path):
+    report = {"batchId": 4, "sources": [{"description": "Kafka", "endOffset": {"t": {"0": 5, "1": 7}}, "latestOffset": {"t": {"0": 5, "1": 9}}, "numInputRows": 3}]}
+    (tmp_path / "a.json").write_text(json.dumps(report) + "\n")
+    rows = {r["part"]: (r["end_offset"], r["latest_offset"], r["lag"], r["status"]) for r in stream.stream_progress(spark, str(tmp_path)).collect()}
+    assert rows == {"t-0": (5, 5, 0, "up_to_date"), "t-1": (7, 9, 2, "lagging")}
