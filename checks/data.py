@@ -15,7 +15,9 @@ from goldweave.operators.quality import QualityRun, run_quality
 from goldweave.schemas import DQ_RESULTS, SOURCE_PARTIES
 from goldweave.session import Scratch, tune
 from goldweave.sources.tables import AppendTable
+from goldweave.plans.search_index import NameIndex
 from goldweave.streaming.events import Applied, State, apply_events, decode
+from goldweave.streaming.stream import PartyStore
 
 AS_OF = "2025-01-01 00:00:00"
 EVENTS_AS_OF = "2025-02-01 00:00:00"
@@ -161,3 +163,19 @@ def applied(spark: SparkSession, sf_dir: str) -> Applied:
     """All events applied as one batch."""
     return once(spark, sf_dir, "applied", lambda: apply_events(
         state(spark, sf_dir), decode(messages(spark, sf_dir)), None, scratch(spark, "events"), EVENTS_AS_OF))
+
+
+def store(spark: SparkSession, sf_dir: str) -> PartyStore:
+    """The stored tables, with all events recorded as batch 0."""
+    def build() -> PartyStore:
+        t, done = tables(spark, sf_dir), applied(spark, sf_dir)
+        out = PartyStore(spark, scratch(spark, "store").path("tables"))
+        out.start(t.golden, t.links, t.parties, t.lineage)
+        out.record(done, 0, t.parties.agg(F.max("id").alias("id")))
+        return out
+
+    return once(spark, sf_dir, "store", build)
+
+
+def name_index(spark: SparkSession, sf_dir: str) -> NameIndex:
+    return once(spark, sf_dir, "names", lambda: NameIndex(spark, scratch(spark, "names").path("trigrams")).build(tables(spark, sf_dir).golden))

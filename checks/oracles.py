@@ -426,13 +426,18 @@ def registry() -> dict[str, str]:
             ORDER BY run_at DESC, expectation_suite, run_id LIMIT 20"""),
         "dq_runs": _quality("SELECT count(DISTINCT run_id) AS total_runs FROM history"),
         "search_name": _tables(_PAGE + " WHERE full_name ILIKE '%AB%' ORDER BY full_name, golden_id LIMIT 20"),
+        "search_indexed": _tables(_PAGE + " WHERE full_name ILIKE '%ab1%' ORDER BY full_name, golden_id LIMIT 20"),
+        "search_indexed_total": _tables("SELECT count(*) AS total FROM golden WHERE full_name ILIKE '%ab1%'"),
         "search_filters": _tables(_PAGE + """ WHERE state = 'S3' AND party_type = 'INDIVIDUAL' AND entity_status = 'ACTIVE'
             ORDER BY full_name, golden_id LIMIT 100 OFFSET 5"""),
         "search_page_2": _tables(_PAGE + " ORDER BY full_name NULLS LAST, golden_id LIMIT 20 OFFSET 20"),
         "search_total": _tables("SELECT count(*) AS total FROM golden WHERE full_name ILIKE '%A%' AND state = 'S3' AND entity_status = 'ACTIVE'"),
         "party_lookup": _tables(f"""SELECT golden_id, {', '.join(PARTY_COLUMNS)}, confidence_score, replace(created_at, ' ', 'T') AS created_at
             FROM golden WHERE golden_id = {_BUSIEST}"""),
-        "party_lineage": _tables(f"SELECT golden_id, 'CREATED' AS event_type, 'batch_mastering' AS triggered_by, '{AS_OF}' AS event_at FROM golden WHERE golden_id = {_BUSIEST}"),
+        "party_lineage": _events(f"""SELECT golden_id, event_type, event_id, CASE WHEN event_id IS NULL THEN 'batch_mastering' ELSE 'event_stream' END AS triggered_by,
+            CASE WHEN event_id IS NULL THEN '{AS_OF}' ELSE '{EVENTS_AS_OF}' END AS event_at
+            FROM (SELECT golden_id, 'CREATED' AS event_type, NULL AS event_id FROM golden UNION ALL SELECT * FROM stream_lineage)
+            WHERE golden_id = (SELECT golden_id FROM all_lineage GROUP BY golden_id ORDER BY count(*) DESC, golden_id LIMIT 1)""", "stream_lineage", "all_lineage"),
         "party_sources": _tables(f"""SELECT s.id, s.source_system, s.source_party_id, s.party_type, s.full_name, s.tax_id, s.entity_status, l.is_survivor, l.match_score,
             {_LOADED} AS ingested_at FROM links l JOIN src s ON s.id = l.source_party_id WHERE l.golden_id = {_BUSIEST}"""),
         "active_parties": _tables("SELECT golden_id, party_type, full_name, tax_id FROM golden WHERE entity_status = 'ACTIVE' ORDER BY golden_id LIMIT 100"),

@@ -13,7 +13,7 @@ from goldweave.config import LEI_EXACT, TAX_ID_EXACT, MasteringConfig
 from goldweave.operators import incremental, mastering, matching, quality
 from goldweave.operators.mastering import master_parties
 from goldweave.operators.upsert import append_links, upsert_golden, upsert_sources
-from goldweave.plans import serving, stats
+from goldweave.plans import search_index, serving, stats
 from goldweave.plans.pipeline import Warehouse, fold_events, master, upsert_stored
 from goldweave.schemas import ADDRESS_COLUMNS, PARTY_COLUMNS
 from goldweave.session import Scratch
@@ -233,19 +233,33 @@ def _one_golden_id(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _party_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = serving.party(data.tables(spark, sf_dir).golden, _one_golden_id(spark, sf_dir))
+    wanted = _one_golden_id(spark, sf_dir)
+    found = serving.party(data.store(spark, sf_dir).state_of(wanted, before=0).golden, wanted)
     return plain(found.select("golden_id", *PARTY_COLUMNS, "confidence_score", "created_at"))
 
 
 def _party_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = data.tables(spark, sf_dir)
-    rows = serving.party_lineage(t.golden, t.lineage, _one_golden_id(spark, sf_dir))
-    return plain(rows.select("golden_id", "event_type", "triggered_by", "event_at"))
+    """Trail of the first golden record with most events."""
+    store = data.store(spark, sf_dir)
+    counted = store.lineage.read().groupBy("golden_id").count()
+    wanted = counted.orderBy(F.col("count").desc(), "golden_id").first()["golden_id"]
+    now = store.state_of(wanted)
+    rows = serving.party_lineage(now.golden, now.lineage, wanted)
+    return plain(rows.select("golden_id", "event_type", "event_id", "triggered_by", "event_at"))
 
 
 def _party_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = data.tables(spark, sf_dir)
-    return plain(serving.party_sources(t.links, t.parties, _one_golden_id(spark, sf_dir)))
+    wanted = _one_golden_id(spark, sf_dir)
+    then = data.store(spark, sf_dir).state_of(wanted, before=0)
+    return plain(serving.party_sources(then.links, then.sources, wanted))
+
+
+def _search_indexed(spark: SparkSession, sf_dir: str) -> search_index.SearchResult:
+    return search_index.search_indexed(data.tables(spark, sf_dir).golden, data.name_index(spark, sf_dir), 20, 0, name="aB1")
+
+
+def _search_indexed_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(_search_indexed(spark, sf_dir).page.select("golden_id", "full_name", "tax_id", "state", "party_type", "entity_status", "confidence_score"))
 
 
 def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,21 +292,25 @@ def _zone_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _file_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Preview of one file with all golden records in order, next to its row count."""
+    """Preview of the first of the files that hold the golden records in order, next to the row count of all of them."""
     out = data.scratch(spark, "preview")
     rows = data.tables(spark, sf_dir).golden.select("golden_id", "full_name", "lei", "date_of_birth")
-    rows.repartition(1).sortWithinPartitions("golden_id").write.parquet(out.path("sample.parquet"))
-    seen = files.preview(spark, out.path("sample.parquet"))
-    return seen.rows.withColumn("total_rows", F.lit(seen.total_rows.first()[0]).cast("bigint"))
+    rows.orderBy("golden_id").write.parquet(out.path("curated/sample.parquet"))
+    listed = files.zone_files(spark, out.root).filter("key LIKE '%part-%.parquet'").orderBy("key").first()
+    seen = files.preview(spark, f"{out.root}/{listed['zone']}/{listed['key']}")
+    total = files.preview(spark, out.path("curated/sample.parquet")).total_rows.first()[0]
+    return seen.rows.withColumn("total_rows", F.lit(total).cast("bigint"))
 
 
 def _freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All five steps; file times and sizes are set, as those of a run differ."""
     out, t = data.scratch(spark, "fresh"), data.tables(spark, sf_dir)
     _landed(spark, sf_dir, out.path("raw"))
-    export.write_export(_export(spark, sf_dir).coalesce(1), out.path("golden"))
-    listed = files.zone_files(spark, out.root).withColumns({
-        "last_modified": F.lit("2025-01-01 12:00:00").cast("timestamp"), "size_bytes": F.lit(2048).cast("bigint")})
+    export.write_export(_export(spark, sf_dir), out.path("golden"))
+    files_there = files.zone_files(spark, out.root)
+    first = files_there.filter("key LIKE 'golden_records/full/%.parquet'").agg(F.min("key")).first()[0]
+    listed = files_there.withColumns({
+        "last_modified": F.lit("2025-01-01 12:00:00").cast("timestamp"), "size_bytes": F.when(F.col("key") == first, 2048).otherwise(0).cast("bigint")})
     return plain(stats.freshness("2025-01-02 06:30:00", t.parties, t.golden, data.dq_log(spark, sf_dir), listed, listed))
 
 
@@ -531,6 +549,8 @@ def registry() -> dict[str, Query]:
         # serving
         "search_name": lambda s, d: _search(s, d, 20, 0, name="AB"),
         "search_filters": lambda s, d: _search(s, d, 100, 5, state="s3", party_type="individual", status="active"),
+        "search_indexed": _search_indexed_page,
+        "search_indexed_total": lambda s, d: _search_indexed(s, d).total,
         "search_page_2": lambda s, d: _search(s, d, 20, 20),
         "search_total": _search_total,
         "party_lookup": _party_lookup,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldweave.schemas import GOLDEN_PARTIES
+from goldweave.sources.files import exchange
 
 EXPORT_VERSION = "1.0"
 
@@ -42,15 +45,18 @@ def write_export(export: DataFrame, zone: str) -> None:
     """Writes the three export sets below ``<zone>/golden_records``.
 
     The full set is written once; the other two read it back. Files are
-    ordered by type and name inside, and stale output is replaced.
+    ordered by type and name inside. All is written next to the export in
+    place, which is then exchanged as a whole and kept until the next time, so
+    readers meet the old files or the new ones.
     """
-    root = f"{zone}/golden_records"
+    spark, new = export.sparkSession, f"{zone}/.golden_records-{uuid.uuid4().hex}"
     ordered = export.sortWithinPartitions("party_type", "full_name")
-    ordered.write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/full")
-    full = export.sparkSession.read.schema(export.schema).parquet(f"{root}/full")
+    ordered.write.mode("overwrite").option("compression", "snappy").parquet(f"{new}/full")
+    full = spark.read.schema(export.schema).parquet(f"{new}/full")
     typed = full.filter("party_type IS NOT NULL")
-    typed.write.mode("overwrite").option("compression", "snappy").partitionBy("party_type").parquet(f"{root}/by_type")
-    several_sources(full).write.mode("overwrite").option("compression", "snappy").parquet(f"{root}/multi_source")
+    typed.write.mode("overwrite").option("compression", "snappy").partitionBy("party_type").parquet(f"{new}/by_type")
+    several_sources(full).write.mode("overwrite").option("compression", "snappy").parquet(f"{new}/multi_source")
+    exchange(spark, new, f"{zone}/golden_records", f"{zone}/.golden_records-before")
 
 
 def export_summary(export: DataFrame) -> DataFrame:

@@ -35,6 +35,18 @@ def zone_files(spark: SparkSession, root: str, zones: tuple[str, ...] = ZONES) -
     return out.filter("NOT endswith(key, '/')")
 
 
+def exchange(spark: SparkSession, new: str, place: str, before: str) -> None:
+    """Puts the folder ``new`` in ``place`` and what was there ``before``; of what was before that, nothing stays."""
+    jvm = spark.sparkContext._jvm
+    new_path, path, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, place, before))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if fs.exists(path):
+        fs.rename(path, old)
+    if not fs.rename(new_path, path):
+        raise OSError(f"could not rename {new} to {place}")
+
+
 def zone_totals(files: DataFrame) -> DataFrame:
     """File count and size per zone, then for all zones together (``zone`` = TOTAL)."""
     return files.rollup("zone").agg(F.count(F.lit(1)).alias("file_count"), F.sum("size_bytes").alias("b")).select(

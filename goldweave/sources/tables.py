@@ -65,13 +65,16 @@ class AppendTable:
     """Append-only table kept as ``<root>/batch=N`` folders; writing a batch again replaces it.
 
     Batches are numbers, or texts such as run ids; only numbered ones can be cut off by ``before``.
+    ``order`` is a column whose ranges the files of a batch hold in order.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, order: str | None = None):
+        self.spark, self.root, self.schema, self.order = spark, root.rstrip("/"), schema, order
 
     def append(self, df: DataFrame, batch: int | str) -> None:
         cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema])
+        if self.order:
+            cast = cast.repartitionByRange(self.order).sortWithinPartitions(self.order)
         cast.write.mode("overwrite").option("compression", "snappy").parquet(f"{self.root}/batch={quote(str(batch), safe='')}")
 
     def published(self) -> list[int]:
@@ -122,11 +125,15 @@ class KeyedTable:
     nothing. Writing a version or a batch again replaces it.
 
     Folders have one subfolder for each bucket of ``by``, a key column. A read
-    by keys lists the buckets first and opens only those.
+    by keys lists the buckets first and opens only those. ``found_by`` names
+    columns for which bases have Bloom filters, so that an equality on one of
+    them passes over the row groups without the value.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: tuple[str, ...], by: str | None = None, buckets: int = 32):
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: tuple[str, ...], by: str | None = None, buckets: int = 32,
+                 found_by: tuple[str, ...] = ()):
         self.spark, self.root, self.schema, self.key, self.by, self.buckets = spark, root.rstrip("/"), schema, key, by or key[0], buckets
+        self.found_by = found_by
         added = [T.StructField("changed_in", T.LongType()), T.StructField("gone", T.BooleanType())]
         self._bucket = T.StructField("bucket", T.IntegerType())
         self._log_schema = T.StructType([*schema.fields, *added, self._bucket])
@@ -158,7 +165,10 @@ class KeyedTable:
         """Publishes a base; files hold ranges of the key in order, so a lookup reads few row groups of one bucket."""
         cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema]).withColumn("bucket", self.bucket(self.by))
         ordered = cast.repartitionByRange("bucket", *self.key).sortWithinPartitions("bucket", *self.key)
-        ordered.write.mode("overwrite").partitionBy("bucket").parquet(self.base_path((version, upto)))
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.found_by}
+        if filters:
+            filters["parquet.bloom.filter.adaptive.enabled"] = "true"
+        ordered.write.mode("overwrite").options(**filters).partitionBy("bucket").parquet(self.base_path((version, upto)))
         return self.read(version=(version, upto))
 
     def change(self, df: DataFrame, batch: int, gone: DataFrame | None = None) -> None:
@@ -193,16 +203,20 @@ class KeyedTable:
         row = F.max_by(F.struct(*[c for c in log.columns if c != "bucket"]), "changed_in").alias("row")
         return log.groupBy(*[F.col(k).alias(f"_{k}") for k in self.key]).agg(row).select("row.*")
 
-    def read(self, before: int | None = None, keys: DataFrame | None = None, version: tuple[int, int] | None = None) -> DataFrame:
+    def read(self, before: int | None = None, keys: DataFrame | None = None, version: tuple[int, int] | None = None, values: list | None = None) -> DataFrame:
         """State after all batches, or after those below ``before``, on the newest base that allows it or on the one given.
 
         ``keys``, one column with values of ``by``, keeps the rows of those
         values; only their buckets are read, before any version is resolved.
+        A few ``values`` given as such are also pushed down to the row groups.
         """
         chosen = version or self.latest(before)
         log = self._log(self.spans(chosen[1] if chosen else 0, before))
         with_bucket = T.StructType([*self.schema.fields, self._bucket])
         base = self.spark.createDataFrame([], with_bucket) if chosen is None else self.spark.read.schema(with_bucket).parquet(self.base_path(chosen))
+        if values is not None:
+            keys = self.spark.createDataFrame([(v,) for v in values], T.StructType([self.schema[self.by]]))
+            base, log = (rows.filter(F.col(self.by).isin(values)) for rows in (base, log))
         if keys is not None:
             wanted = keys.select(F.col(keys.columns[0]).alias(self.by)).distinct()
             # At most as many values as the table has buckets.

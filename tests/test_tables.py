@@ -10,10 +10,12 @@ from goldweave.operators.mastering import master_parties, moment
 from goldweave.operators.quality import ExpectationSuite, run_quality, suite_summary
 from goldweave.operators.upsert import upsert_sources
 from goldweave.plans import serving, stats
-from goldweave.schemas import SOURCE_PARTIES
+from goldweave.plans.search_index import NameIndex, search_indexed
+from goldweave.schemas import GOLDEN_PARTIES, PARTY_CLUSTERS, PARTY_LINEAGE, SOURCE_PARTIES
 from goldweave.session import Scratch
 from goldweave.sources import export, feeds, files
 from goldweave.sources.tables import SPAN, KeyedTable
+from goldweave.streaming.stream import PartyStore
 from tests.build import CRM, DNB, MKT, frame, party
 
 
@@ -183,8 +185,8 @@ def test_files_read_for_one_key_do_not_grow_with_buckets_or_batches(spark, tmp_p
     assert opened[4, SPAN - 1] == opened[32, SPAN - 1] and opened[32, 2 * SPAN - 1] <= opened[32, SPAN - 1] + 1
 
 
-def _scanned(df):
-    """Files that the scans of a frame open."""
+def _scanned(df, metric="numFiles"):
+    """Files that the scans of a frame open, or another metric of theirs."""
     spark, key = df.sparkSession, "spark.sql.adaptive.enabled"
     spark.conf.set(key, "false")
     try:
@@ -192,6 +194,38 @@ def _scanned(df):
         execution.toRdd().count()
         leaves = execution.executedPlan().collectLeaves()
         scans = [leaf for leaf in (leaves.apply(i) for i in range(leaves.size())) if leaf.nodeName().startswith("Scan parquet")]
-        return sum(scan.metrics().apply("numFiles").value() for scan in scans)
+        return sum(scan.metrics().apply(metric).value() for scan in scans)
     finally:
         spark.conf.set(key, "true")
+
+
+def test_a_lookup_reads_a_small_share_of_the_rows(spark, tmp_path):
+    n = 20_000
+    rows = spark.range(n)
+    golden = rows.select(*[(F.sha2(F.col("id").cast("string"), 256) if c.name == "golden_id" else F.concat(F.lit("T"), "id") if c.name == "tax_id" else F.lit(None)).cast(c.dataType).alias(c.name) for c in GOLDEN_PARTIES])
+    sources = rows.select(*[(F.col("id") if c.name == "id" else F.lit("s")).cast(c.dataType).alias(c.name) if c.name in ("id", "source_system", "source_party_id") else F.lit(None).cast(c.dataType).alias(c.name) for c in SOURCE_PARTIES])
+    gid = F.sha2((F.col("id") % 5000).cast("string"), 256)
+    links = rows.select(*[{"golden_id": gid, "source_party_id": F.col("id"), "is_survivor": F.lit(True)}.get(c.name, F.lit(None)).cast(c.dataType).alias(c.name) for c in PARTY_CLUSTERS])
+    lineage = rows.select(*[{"golden_id": gid, "event_type": F.lit("CREATED")}.get(c.name, F.lit(None)).cast(c.dataType).alias(c.name) for c in PARTY_LINEAGE])
+    store = PartyStore(spark, str(tmp_path), buckets=16)
+    store.start(golden, links, sources, lineage)
+    wanted = golden.filter("tax_id = 'T77'").first()["golden_id"]
+    now = store.state_of(wanted)
+    for df, rows_found, most in ((now.golden, 1, n / 8), (now.links, 4, n / 8), (now.sources, 4, n * 5 / 16), (now.lineage, 4, n)):
+        assert df.count() == rows_found
+        assert _scanned(df, "numOutputRows") <= most
+    by_tax = store.golden.read().filter("tax_id = 'T77'")
+    assert by_tax.count() == 1 and _scanned(by_tax, "numOutputRows") <= n / 8
+    assert _scanned(store.golden.read(), "numOutputRows") == n
+
+
+def test_search_by_trigrams_equals_a_scan(spark, tmp_path):
+    rng = random.Random(8)
+    names = ["".join(rng.choice("abÄ _") for _ in range(rng.randint(0, 9))) for _ in range(300)] + [None, "", "AB", "abab abab"]
+    golden = spark.createDataFrame([(f"g{i}", n, None, None, None, None, None) for i, n in enumerate(names)],
+                                   "golden_id string, full_name string, tax_id string, lei string, state string, party_type string, entity_status string")
+    index = NameIndex(spark, str(tmp_path / "grams")).build(golden)
+    for name in ("aba", "ABÄ", "ab", "a%bab", "ba_ab", "abä b", "_", "zzz", "bab%aba"):
+        found, scanned = search_indexed(golden, index, 100, 0, name=name), serving.search_parties(golden, 100, 0, name=name)
+        assert found.page.collect() == scanned.page.collect() and found.total.first() == scanned.total.first(), name
+    assert index.candidates("ab") is None and index.candidates("aba").count() < 100
