@@ -402,6 +402,7 @@ def registry() -> dict[str, str]:
         ])),
         "dq_source": _src(_DQ_SOURCE),
         "dq_golden": _tables(_DQ_GOLDEN),
+        "dq_while_writing": _tables(_DQ_GOLDEN),
         "dq_clusters": _tables(_DQ_CLUSTERS),
         "dq_filtered": _src(" UNION ALL ".join([
             _expect("filtered", 0, "expect_tax_id_not_null", "tax_id", "src", "coalesce(entity_status = 'ACTIVE', false)", "tax_id IS NOT NULL", 0.9, "entity_status = 'ACTIVE'"),

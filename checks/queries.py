@@ -198,6 +198,13 @@ def _master_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ARGUMENTS = ["value_set", "min_value", "max_value", "unlinked", "orphans", "survivors", "golden"]
 
 
+def _dq_while_writing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of the golden suite, counted by the write that stores the golden records."""
+    out = data.scratch(spark, "written")
+    suite = quality.golden_suite(data.tables(spark, sf_dir).golden)
+    return plain(suite.while_writing(lambda df: out.save(df, "golden"))[1].drop(*_ARGUMENTS))
+
+
 def _dq(suite: Callable, table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(suite(getattr(data.tables(spark, sf_dir), table)).results().drop(*_ARGUMENTS))
 
@@ -538,6 +545,7 @@ def registry() -> dict[str, Query]:
         "chart_summary": _of(stats.chart_summary, "parties", "golden"),
         "freshness": _freshness,
         "dq_source": partial(_dq, quality.source_suite, "parties"),
+        "dq_while_writing": _dq_while_writing,
         "dq_golden": partial(_dq, quality.golden_suite, "golden"),
         "dq_clusters": _dq_clusters,
         "dq_filtered": _dq_filtered,

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -117,13 +118,14 @@ class ExpectationSuite:
         """No non-null value occurs twice."""
         return self._add(_Check(f"expect_{column}_unique", column, "unique"))
 
-    def _rates(self) -> DataFrame:
-        """All rate checks from a single pass over the table."""
+    def _measures(self) -> list[Column]:
+        """Counts behind the rate checks, all from a single pass over the table."""
+        return [F.count(F.lit(1)).alias("table_rows"), *[
+            m.alias(f"{k}_{i}") for i, c in enumerate(self.checks) if c.kind == "rate" for k, m in (("total", c.total), ("passed", c.passed))]]
+
+    def _rates(self, measured: DataFrame) -> DataFrame:
+        """The rate checks from a row of their counts."""
         rated = [(i, c) for i, c in enumerate(self.checks) if c.kind != "unique"]
-        measured = self.df.agg(
-            F.count(F.lit(1)).alias("table_rows"),
-            *[m.alias(f"{k}_{i}") for i, c in rated if c.kind == "rate" for k, m in (("total", c.total), ("passed", c.passed))],
-        )
         null = lambda kind: F.lit(None).cast(kind)
         rows = []
         for i, c in rated:
@@ -141,9 +143,9 @@ class ExpectationSuite:
             ))
         return measured.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
-    def _unique(self, position: int, check: _Check) -> DataFrame:
+    def _unique(self, position: int, check: _Check, df: DataFrame) -> DataFrame:
         null = lambda kind: F.lit(None).cast(kind)
-        counts = self.df.groupBy(F.col(check.column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        counts = df.groupBy(F.col(check.column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
         held = F.col("key").isNotNull()
         totals = counts.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("table_rows"),
@@ -158,13 +160,29 @@ class ExpectationSuite:
             null("double").alias("mostly"), (F.col("total") == F.col("unique")).alias("success"), *check.arguments,
         )
 
-    def results(self) -> DataFrame:
-        """One row per expectation, in the order they were declared (``position``)."""
-        parts = [self._unique(i, c) for i, c in enumerate(self.checks) if c.kind == "unique"]
+    def _results(self, measured: DataFrame, df: DataFrame) -> DataFrame:
+        parts = [self._unique(i, c, df) for i, c in enumerate(self.checks) if c.kind == "unique"]
         if any(c.kind != "unique" for c in self.checks):
-            parts.insert(0, self._rates())
+            parts.insert(0, self._rates(measured))
         return reduce(DataFrame.unionByName, parts)
 
+    def results(self) -> DataFrame:
+        """One row per expectation, in the order they were declared (``position``)."""
+        return self._results(self.df.agg(*self._measures()), self.df)
+
+    def while_writing(self, write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+        """(table, results): the table that ``write`` stores and reads back, and the results, counted by the write itself.
+
+        Only a uniqueness check reads the stored table, and of it its column.
+        """
+        seen = Observation()
+        stored = write(self.df.observe(seen, *self._measures()))
+        counts = seen.get
+        names = [f"{k}_{i}" for i, c in enumerate(self.checks) if c.kind == "rate" for k in ("total", "passed")]
+        row = tuple(int(counts[name]) for name in ("table_rows", *names))
+        measured = self.df.sparkSession.createDataFrame([row], T.StructType([T.StructField(name, T.LongType()) for name in ("table_rows", *names)]))
+        return stored, self._results(measured, stored)
+
     def summary(self) -> DataFrame:
         return suite_summary(self.results())
 

@@ -229,3 +229,25 @@ def test_search_by_trigrams_equals_a_scan(spark, tmp_path):
         found, scanned = search_indexed(golden, index, 100, 0, name=name), serving.search_parties(golden, 100, 0, name=name)
         assert found.page.collect() == scanned.page.collect() and found.total.first() == scanned.total.first(), name
     assert index.candidates("ab") is None and index.candidates("aba").count() < 100
+
+
+def test_checks_while_writing_equal_those_of_a_scan(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1"), ("", "x"), (None, "3"), ("a", None)], "c string, n string")
+
+    def suite(rows):
+        out = ExpectationSuite("s", rows)
+        out.expect_column_values_to_not_be_null("c", mostly=0.75).expect_column_values_to_be_between("n", 0, 2)
+        return out.expect_column_values_to_be_unique("c").expect_column_values_to_not_be_null("gone")
+
+    for rows in (df, df.limit(0)):
+        stored, results = suite(rows).while_writing(lambda r: _kept(spark, r, tmp_path))
+        assert sorted(map(str, results.collect())) == sorted(map(str, suite(rows).results().collect())) and stored.count() == rows.count()
+    rates = ExpectationSuite("s", df).expect_column_values_to_not_be_null("c")
+    _, results = rates.while_writing(lambda r: _kept(spark, r, tmp_path))
+    assert "parquet" not in results._jdf.queryExecution().optimizedPlan().toString()  # nothing is read again
+
+
+def _kept(spark, rows, tmp_path):
+    path = str(tmp_path / f"kept{random.random()}")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
