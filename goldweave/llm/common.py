@@ -68,3 +68,30 @@ def word_hashes(words: Column) -> Column:
 def fold_of(doc_id: Column, folds: int) -> Column:
     """Remainder of the CRC-32 of an id written as text; null ids count as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(folds)
+
+
+# Bits of a sieve, and how many of them a row of it holds: 4,096 rows of 1 kB, whatever is put into it.
+SIEVE_BITS, SIEVE_ROW = 1 << 25, 1 << 13
+
+
+def sieve(rows: DataFrame, key: Column, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` in two parts: those whose key may be among the values of the one column ``wanted``, and those whose key is not.
+
+    The hashes of the wanted values are a bit set of fixed size, which is
+    broadcast, so neither part is shuffled. The more values, the more rows are
+    in the first part without need; it is for the caller to join it exactly.
+    Nulls are values like others.
+    """
+    place = lambda value: F.pmod(F.xxhash64(value), F.lit(SIEVE_BITS))
+    at = place(F.col(wanted.columns[0]))
+    bit = lambda at: (at % 64).cast("int")
+    word = lambda at: F.floor(at % SIEVE_ROW / 64).cast("int")
+    words = wanted.select(F.floor(at / SIEVE_ROW).alias("_row"), word(at).alias("_word"), bit(at).alias("_bit")).groupBy("_row", "_word").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit"))).alias("_bits"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(SIEVE_ROW // 64 - 1)), lambda w: F.coalesce(F.element_at("_map", w), F.lit(0).cast("long")))
+    bits = words.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_map")).select("_row", every.alias("_words"))
+    marked = rows.withColumn("_at", place(key)).withColumn("_row", F.floor(F.col("_at") / SIEVE_ROW)).join(F.broadcast(bits), "_row", "left")
+    shifted = F.call_function("shiftright", F.get("_words", word(F.col("_at"))), bit(F.col("_at")))
+    held = F.coalesce(shifted.bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    part = lambda condition: marked.filter(condition).select(*rows.columns)
+    return part(held), part(~held)

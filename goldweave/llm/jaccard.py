@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldweave.llm.common import alnum_words, word_hashes
+from goldweave.llm.common import alnum_words, let, sieve, word_hashes
 from goldweave.operators.components import connected_components
 from goldweave.session import Scratch
 
@@ -27,7 +27,8 @@ class Settings:
     """Two texts are linked when the Jaccard similarity of their word n-gram sets is ``similarity`` or more.
 
     A pair just that similar becomes a candidate with probability ``recall``.
-    ``block`` is the size of the parts that large buckets are verified in.
+    Large buckets are verified in parts of ``block`` texts and ``grams``
+    n-grams on average; one text is never cut.
     """
 
     words: int = 5
@@ -35,6 +36,7 @@ class Settings:
     recall: float = 0.999
     hashes: int = 64
     block: int = 1024
+    grams: int = 1 << 21
 
     @property
     def banding(self) -> tuple[int, int]:
@@ -165,28 +167,31 @@ def jaccard_join(
     case; fewer than ``words`` of them are one n-gram. A text without words,
     null or not, has no n-grams and no links: it is a class by itself, and
     kept. Rows with equal ids are documents of their own for the links, and
-    null ids name a class only if it has no others. Empty input gives an empty
-    result; extra columns are left out.
+    null ids name a class only if it has no others. A text of any length is
+    read whole. Empty input gives an empty result; extra columns are left out.
     """
     bands, _ = cfg.banding
-    base = docs.select(F.col(id_column).alias("doc_id"), word_hashes(alnum_words(F.col(text_column))).alias("w"))
-    signed = scratch.save(
-        base.select("doc_id", F.when(F.size("w") > 0, _key(F.col("w"))).alias("key"), _signer(cfg)(F.col("w")).alias("bands")), "signed")
-    classes = scratch.save(signed.filter("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("n"), F.first("bands").alias("bands")), "classes")
-
-    spread = classes.select("key", F.posexplode("bands").alias("band", "hash"))
-    several = spread.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = scratch.save(spread.join(several, ["band", "hash"]), "buckets")
+    work = Scratch(scratch.spark, "jaccard")
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
+    base = texts.select("doc_id", word_hashes(alnum_words(F.col("text"))).alias("w"))
+    signed = scratch.save(base.select(
+        "doc_id", F.when(F.size("w") > 0, _key(F.col("w"))).alias("key"), F.size("w").alias("words"), _signer(cfg)(F.col("w")).alias("bands")), "signed")
+    classes = work.save(signed.filter("key IS NOT NULL").groupBy("key").agg(
+        F.min("doc_id").alias("copy_id"), F.count(F.lit(1)).alias("n"), F.first("words").alias("words"), F.first("bands").alias("bands")), "classes")
+
+    spread = classes.select("key", F.col("words").cast("long").alias("grams"), F.posexplode("bands").alias("band", "hash"))
+    several = spread.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members"), F.sum("grams").alias("grams")).filter("members > 1")
+    buckets = work.save(spread.drop("grams").join(several, ["band", "hash"]), "buckets")
     # A bucket whose classes all agree on an earlier band holds no new pair.
     ends = [f(F.get("bands", F.lit(b))).alias(f"{name}{b}") for b in range(bands) for name, f in (("low", F.min), ("high", F.max))]
     spans = buckets.join(classes.select("key", "bands"), "key").groupBy("band", "hash").agg(*ends)
     agreed = reduce(lambda a, b: a | b, [(F.col("band") > b) & (F.col(f"low{b}") == F.col(f"high{b}")) for b in range(bands)])
-    fresh = scratch.save(buckets.join(spans.filter(~agreed).select("band", "hash"), ["band", "hash"], "left_semi"), "fresh")
+    fresh = work.save(buckets.join(spans.filter(~agreed).select("band", "hash"), ["band", "hash"], "left_semi"), "fresh")
 
-    # Full n-gram sets of one document of each candidate class.
-    wanted = fresh.select("key").distinct().join(classes, "key").select("key", "n", F.col("bands").alias("b"), F.col("copy_id"))
-    texts = base.join(wanted, base["doc_id"].eqNullSafe(wanted["copy_id"])).filter(_key(F.col("w")) == F.col("key"))
+    # Full n-gram sets of one document of each candidate class; only the texts that may be wanted are shuffled.
+    wanted = work.save(fresh.select("key").distinct().join(classes, "key").select("key", "n", F.col("bands").alias("b"), "copy_id"), "wanted")
+    near, _ = sieve(texts, F.col("doc_id"), wanted.select("copy_id"))
+    worded = near.join(wanted, near["doc_id"].eqNullSafe(wanted["copy_id"])).select("key", "n", "b", word_hashes(alnum_words(F.col("text"))).alias("w"))
 
     @F.arrow_udf("binary")
     def gram_set(hashes):
@@ -196,18 +201,18 @@ def jaccard_join(
         grams, first, count = shingles(hashes, cfg.words)
         return pa.array([np.unique(grams[a:a + k]).tobytes() for a, k in zip(first, count)], pa.binary())
 
-    single = texts.groupBy("key").agg(F.first("n").alias("n"), F.first("b").alias("bands"), F.first("w").alias("w"))
-    sets = scratch.save(single.select("key", "n", "bands", gram_set(F.col("w")).alias("grams")), "sets")
+    single = worded.filter(_key(F.col("w")) == F.col("key")).groupBy("key").agg(F.first("n").alias("n"), F.first("b").alias("bands"), F.first("w").alias("w"))
+    sets = work.save(single.select("key", "n", "bands", gram_set(F.col("w")).alias("grams")), "sets")
 
-    parts = F.ceil(F.col("members") / F.lit(cfg.block)).cast("int")
+    parts = F.ceil(F.greatest(F.col("members") / F.lit(cfg.block), F.least(F.col("members"), F.col("grams") / F.lit(cfg.grams)))).cast("int")
     placed = fresh.withColumn("parts", parts).withColumn("chunk", F.pmod(F.xxhash64("key", "band"), F.col("parts")).cast("int"))
     units = placed.select("band", "hash", "key", "chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")).select(
         "band", "hash", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "key")
-    verified = scratch.save(units.join(sets, "key").groupBy("band", "hash", "low", "high").applyInArrow(
+    verified = work.save(units.join(sets, "key").groupBy("band", "hash", "low", "high").applyInArrow(
         _verifier(cfg), T.StructType().add("key", "string").add("links", "long").add("root", "string")), "verified")
 
     ties = verified.filter("key <> root").select(F.col("key").alias("u"), F.col("root").alias("v")).distinct()
-    groups = connected_components(ties, scratch, "groups")
+    groups = connected_components(ties, work, "groups")
     links = verified.groupBy("key").agg(F.sum("links").alias("links"))
     known = classes.select("key", "n", "copy_id").join(groups.select(F.col("node").alias("key"), "component"), "key", "left").join(
         links, "key", "left").withColumn("component", F.coalesce("component", "key"))
@@ -216,6 +221,7 @@ def jaccard_join(
     info = scratch.save(known.join(named, "component").select(
         "key", "copy_id", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), (F.col("key") == F.col("kept_key")).alias("named")
     ), "info")
+    work.close()
     return signed.select("doc_id", F.col("key").alias("words_key")).join(info, F.col("words_key") == F.col("key"), "left").select(
         "doc_id", "words_key", F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(F.col("words_key").isNull(), F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
@@ -225,9 +231,14 @@ def jaccard_join(
 
 
 def drop_linked(docs: DataFrame, joined: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The documents that ``joined`` keeps: one of each class, and every text without words. Of repeated rows one stays."""
+    """The documents that ``joined`` keeps: one of each class, and every text without words. Of repeated rows one stays.
+
+    Ids that occur once, in a document that is kept, decide nothing: only the others' documents are looked at and shuffled.
+    """
+    asked = joined.filter("words_key IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("kept")).alias("gone"))
+    suspects, clear = sieve(docs, F.col(id_column), asked.filter("gone > 0 OR n > 1").select("doc_id"))
     hashes = word_hashes(alnum_words(F.col(text_column)))
-    keyed = docs.withColumn("__key", F.when(F.size(hashes) > 0, _key(hashes)))
+    keyed = suspects.withColumn("__key", let(hashes, lambda h: F.when(F.size(h) > 0, _key(h))))
     kept = joined.filter("kept AND words_key IS NOT NULL").groupBy(F.col("doc_id").alias("__id"), F.col("words_key").alias("__kept")).agg(
         F.count(F.lit(1)).alias("__rows"))
     matched = keyed.filter("__key IS NOT NULL").join(kept, F.col(id_column).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__kept")))
@@ -235,4 +246,4 @@ def drop_linked(docs: DataFrame, joined: DataFrame, *, id_column: str = "doc_id"
         once = matched
     else:
         once = matched.filter("__rows = 1").unionByName(matched.filter("__rows > 1").dropDuplicates(["__id", "__kept"]))
-    return once.drop("__id", "__kept", "__rows").unionByName(keyed.filter("__key IS NULL")).drop("__key")
+    return once.drop("__id", "__kept", "__rows").unionByName(keyed.filter("__key IS NULL")).drop("__key").unionByName(clear)
