@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldweave.llm.common import NO_WORD, alnum_words, let, pieces, word_hashes
+from goldweave.llm.common import NO_WORD, alnum_words, let, pieces, sieve, word_hashes
 from goldweave.session import Scratch
 
 
@@ -114,4 +114,6 @@ def contamination(
 def drop_contaminated(docs: DataFrame, found: DataFrame, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without a hit. Those with one go as a whole, as their remainder still tells the answers' context."""
     bad = found.filter("n_hit > 0").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    return docs.join(bad, F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_column)) == F.col("__key")), "left_anti")
+    suspects, clear = sieve(docs, F.col(id_column), bad.select("__id"))
+    kept = suspects.join(bad, F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text_column)) == F.col("__key")), "left_anti")
+    return kept.unionByName(clear)
