@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldweave.llm.common import NO_WORD
-from goldweave.llm.jaccard import jaccard_join
 from goldweave.session import Scratch
 
 
@@ -20,44 +18,70 @@ def _key(line: Column) -> Column:
     return F.when(trimmed != "", F.xxhash64(trimmed))
 
 
+def _frequent(counts: DataFrame, totals: DataFrame, ratio: float) -> DataFrame:
+    """(host, line, pages, host_pages) of the lines on more than ``ratio`` of a host's pages, and on two of them at least."""
+    repeated = counts.filter("pages > 1")
+    joined = repeated.join(totals, repeated["host"].eqNullSafe(totals["host"]))
+    return joined.filter(F.col("pages") > ratio * F.col("host_pages")).select(repeated["host"], "line", "pages", "host_pages")
+
+
+def _by_host(lines: DataFrame, name: str) -> DataFrame:
+    return lines.groupBy(F.col("host").alias("__host")).agg(F.collect_set("line").alias(name))
+
+
 def boilerplate_lines(
-    docs: DataFrame, *, ratio: float = 0.02, min_pages: int = 5, text_column: str = "text", host_column: str = "source",
+    docs: DataFrame, scratch: Scratch, *, ratio: float = 0.02, copied: float = 0.5, text_column: str = "text", host_column: str = "source",
 ) -> DataFrame:
-    """(host, line, pages, host_pages): hashes of the lines on more than ``ratio`` of a host's pages and on ``min_pages`` at least.
-
-    A page counts once for a line it repeats. Null hosts are one host. A host
-    has at most (its lines a page / ratio) such lines, whatever its size.
+    """(host, line, pages, host_pages): hashes of the lines on more than ``ratio`` of a host's pages.
+
+    A page is a distinct text of the host and counts once for a line it
+    repeats; a line on one page only is no repeated line. Where lines above
+    the ratio hold more than a share ``copied`` of a page's characters, the
+    page is not one under a menu but a copy of others with an edit or two: it
+    and its lines do not count, neither as a page with the line nor as a page
+    of the host. Null hosts are one host. A host has at most (its lines a page
+    / ratio) such lines, whatever its size.
     """
-    pages = docs.select(F.col(host_column).alias("host"), F.col(text_column).alias("text"))
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    # Partial counts are made where the pages are read, so a common line or a large host is a few rows in the shuffle.
-    counts = pages.select("host", F.explode(F.array_distinct(F.array_compact(F.transform(_lines(F.col("text")), _key)))).alias("line")).groupBy(
-        "host", "line"
-    ).agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages)
-    same_host = counts["host"].eqNullSafe(totals["host"])
-    return counts.join(totals, same_host).filter(F.col("pages") > ratio * F.col("host_pages")).select(counts["host"], "line", "pages", "host_pages")
+    work = Scratch(scratch.spark, "boilerplate")
+    line = lambda text: F.struct(_key(text).alias("line"), F.char_length(F.trim(text)).alias("size"))
+    found = F.array_distinct(F.filter(F.transform(_lines(F.col(text_column)), line), lambda c: c["line"].isNotNull()))
+    # One row for each distinct text, without the text; partial aggregation joins most copies where they are read.
+    pages = work.save(docs.filter(F.col(text_column).isNotNull()).select(
+        F.col(host_column).alias("host"), F.xxhash64(text_column).alias("page"), found.alias("lines")).groupBy("host", "page").agg(F.first("lines").alias("lines")), "pages")
+    count = lambda rows: rows.groupBy("host", "line").agg(F.count(F.lit(1)).alias("pages"))
+    total = lambda rows: rows.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+    often = work.save(_frequent(count(pages.select("host", F.explode("lines.line").alias("line"))), total(pages), ratio), "often")
+
+    joined = pages.join(_by_host(often, "__often"), F.col("host").eqNullSafe(F.col("__host")), "left")
+    framed = F.filter("lines", lambda c: F.coalesce(F.array_contains(F.col("__often"), c["line"]), F.lit(False)))
+    size = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda n, c: n + c["size"])
+    own = work.save(joined.withColumn("framed", framed).filter(size(F.col("framed")) <= copied * size(F.col("lines"))).select(
+        "host", F.col("framed.line").alias("lines")), "own")
+    kept = scratch.save(_frequent(count(own.select("host", F.explode("lines").alias("line"))), total(own), ratio), "boilerplate")
+    work.close()
+    return kept
 
 
 def drop_boilerplate(
-    docs: DataFrame, scratch: Scratch, *, ratio: float = 0.02, min_pages: int = 5, text_column: str = "text", host_column: str = "source",
+    docs: DataFrame, scratch: Scratch, *, ratio: float = 0.02, copied: float = 0.5, text_column: str = "text", host_column: str = "source",
 ) -> DataFrame:
     """``docs`` with boilerplate lines cut out of their text, and two columns: n_lines and n_dropped.
 
-    Lines are parts of the text between newlines and are compared without
-    blanks around them, by 64-bit hash. Other lines stay as they are and in
-    order. A null text stays null and counts no lines; an empty text is one
-    blank line. Repeated rows are pages of their own. Empty input gives an
-    empty result. Columns of the input named n_lines or n_dropped are replaced.
+    Which lines those are says ``boilerplate_lines``: copies of a document,
+    exact or edited, do not make its lines boilerplate. Lines are parts of the
+    text between newlines and are compared without blanks around them, by
+    64-bit hash. Other lines stay as they are and in order. A null text stays
+    null and counts no lines; an empty text is one blank line; a text of any
+    length is read whole. Repeated rows are one page and are cut alike. Empty
+    input gives an empty result. Columns of the input named n_lines or
+    n_dropped are replaced; names that begin with two underscores are taken.
     """
-    found = boilerplate_lines(docs, ratio=ratio, min_pages=min_pages, text_column=text_column, host_column=host_column)
     # Written, so that its true size decides how it is joined and the counting runs once.
-    by_host = scratch.save(found.groupBy("host").agg(F.collect_set("line").alias("lines")), "boilerplate").select(
-        F.col("host").alias("__host"), F.col("lines").alias("__drop")
-    )
+    found = boilerplate_lines(docs, scratch, ratio=ratio, copied=copied, text_column=text_column, host_column=host_column)
     drop = F.coalesce(F.col("__drop"), F.array().cast("array<bigint>"))
     lines = _lines(F.col(text_column))
     kept = F.filter(lines, lambda line: ~F.coalesce(F.array_contains(F.col("__drop"), _key(line)), F.lit(False)))
-    joined = docs.drop("n_lines", "n_dropped").join(by_host, F.col(host_column).eqNullSafe(F.col("__host")), "left")
+    joined = docs.drop("n_lines", "n_dropped").join(_by_host(found, "__drop"), F.col(host_column).eqNullSafe(F.col("__host")), "left")
     cut = joined.withColumns({
         "__kept": F.when(F.size(drop) > 0, kept).otherwise(lines),
         "n_lines": F.when(F.col(text_column).isNotNull(), F.size(lines)).otherwise(0).cast("long"),
@@ -66,74 +90,3 @@ def drop_boilerplate(
         text_column: F.array_join("__kept", "\n"),
         "n_dropped": F.when(F.col(text_column).isNotNull(), F.col("n_lines") - F.size("__kept")).otherwise(0).cast("long"),
     }).drop("__host", "__drop", "__kept")
-
-
-def _no_words(lines: Column) -> Column:
-    return F.regexp_replace(F.array_join(lines, ""), NO_WORD, "") == ""
-
-
-def _words(line: Column) -> Column:
-    """Length of a line in words; six characters count as one at least, for scripts without blanks."""
-    trimmed = F.trim(line)
-    return F.greatest(F.size(F.split(trimmed, " +")), F.floor(F.char_length(trimmed) / 6).cast("int"))
-
-
-def drop_repeated_lines(
-    docs: DataFrame, scratch: Scratch, *, ratio: float = 0.02, min_pages: int = 5, passage: int = 50, text_column: str = "text", host_column: str = "source",
-) -> DataFrame:
-    """As ``drop_boilerplate``, but copies of a document do not make its lines boilerplate.
-
-    A line counts once for each distinct text of a host, and once for each
-    class of near duplicates among the texts that would lose a line, in
-    relation to the host's texts counted alike. Lines that are frequent only
-    because near duplicates share them stay in one text of the class (the rule
-    is that of ``jaccard_join``) and are cut in the others, unless those would
-    be left without words: then they stay for a later near-duplicate step. So
-    exact copies stay as they are, and no line is lost that only copies share.
-
-    The longer a line, the fewer texts it takes: ``ratio`` and ``min_pages``
-    fall in proportion to its words, to none and 2 texts at ``passage`` words.
-    A text of nothing but lines that are frequent for their length only is
-    left whole.
-    """
-    keyed = docs.drop("n_lines", "n_dropped").withColumns({
-        "__host": F.xxhash64(F.col(host_column).isNull(), F.col(host_column)), "__text": F.xxhash64(text_column)})
-    long = lambda line: F.least(_words(line), F.lit(passage))
-    found = F.array_distinct(F.filter(F.transform(_lines(F.col(text_column)), lambda line: F.struct(
-        _key(line).alias("line"), long(line).alias("words"))), lambda c: c["line"].isNotNull()))
-    enough = lambda words: (F.col("n") >= F.greatest(F.lit(2), F.ceil(min_pages - (min_pages - 2) * words / passage))) & (
-        F.col("n") > ratio * (1 - words / passage) * F.col("total"))
-    # One row for each distinct text; partial aggregation joins most copies where they are read.
-    texts = scratch.save(keyed.filter(F.col(text_column).isNotNull()).select("__host", "__text", found.alias("lines")).groupBy(
-        "__host", "__text").agg(F.first("lines").alias("lines")), "texts")
-    totals = texts.groupBy("__host").agg(F.count(F.lit(1)).alias("total"))
-    each = texts.select("__host", "__text", F.explode("lines").alias("c")).select("__host", "__text", "c.line", "c.words")
-    often = each.groupBy("__host", "line").agg(F.count(F.lit(1)).alias("n"), F.max("words").alias("words")).filter("n > 1").join(
-        totals, "__host").filter(enough(F.col("words"))).select("__host", "line", "words")
-    held = scratch.save(each.drop("words").join(scratch.save(often, "often"), ["__host", "line"]), "held")
-
-    # Near duplicates among the texts that hold such a line, each text named by its hash.
-    holders = scratch.save(held.select("__host", "__text").distinct(), "holders")
-    suspects = keyed.join(holders, ["__host", "__text"], "left_semi").select(F.col("__text").alias("doc_id"), F.col(text_column).alias("text"))
-    classes = scratch.save(jaccard_join(suspects, scratch).groupBy(F.col("doc_id").alias("__text")).agg(
-        F.min("class_id").alias("class"), F.max("kept").alias("first")), "text-classes")
-    placed = scratch.save(held.join(classes, "__text"), "placed")
-    repeats = holders.join(classes, "__text").groupBy("__host", "class").agg((F.count(F.lit(1)) - 1).alias("n")).groupBy("__host").agg(F.sum("n").alias("repeats"))
-    size = totals.join(repeats, "__host").select("__host", (F.col("total") - F.col("repeats")).alias("total"))
-    counted = placed.select("__host", "line", "words", "class").distinct().groupBy("__host", "line", "words").agg(F.count(F.lit(1)).alias("n")).join(size, "__host")
-    common = scratch.save(counted.select(
-        "__host", "line", enough(F.col("words")).alias("repeated"), enough(F.lit(0)).alias("common")), "common")
-    drops = scratch.save(placed.join(common, ["__host", "line"]).groupBy("__host", "__text").agg(
-        F.collect_set(F.when(F.col("common"), F.col("line"))).alias("__always"),
-        F.collect_set(F.when(F.col("repeated") | ~F.col("first"), F.col("line"))).alias("__here"),
-    ), "drops")
-
-    lines = _lines(F.col(text_column))
-    without = lambda drop: F.filter(lines, lambda line: ~F.coalesce(F.array_contains(drop, _key(line)), F.lit(False)))
-    joined = keyed.join(drops, ["__host", "__text"], "left").withColumn("__kept", F.when(F.col("__here").isNotNull(), without(F.col("__here"))).otherwise(lines))
-    cut = joined.withColumn("__kept", F.when(F.col("__here").isNotNull() & _no_words(F.col("__kept")), without(F.col("__always"))).otherwise(F.col("__kept")))
-    present = F.col(text_column).isNotNull()
-    counts = cut.withColumns({"n_lines": F.when(present, F.size(lines)).otherwise(0).cast("long")})
-    return counts.withColumns({
-        text_column: F.array_join("__kept", "\n"), "n_dropped": F.when(present, F.col("n_lines") - F.size("__kept")).otherwise(0).cast("long"),
-    }).select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")

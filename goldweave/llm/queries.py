@@ -175,21 +175,36 @@ FROM doc LEFT JOIN covered USING (k) LEFT JOIN named USING (k)
 
 _OP8 = r"""
 WITH page AS (
-  SELECT row_number() OVER () AS k, doc_id, source, text, string_split(text, chr(10)) AS l FROM documents
+  SELECT row_number() OVER () AS p, source, string_split(text, chr(10)) AS l FROM (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL)
 ), line AS (
-  SELECT k, source, i, l[i] AS line, trim(l[i], ' ') AS t FROM (SELECT k, source, l, unnest(range(1, len(l) + 1)) AS i FROM page)
+  SELECT DISTINCT p, source, t FROM (SELECT p, source, trim(unnest(l), ' ') AS t FROM page) WHERE t <> ''
 ), total AS (
   SELECT source, count(*) AS pages FROM page GROUP BY source
-), often AS (
-  SELECT c.source, c.t FROM (SELECT source, t, count(DISTINCT k) AS n FROM line WHERE t <> '' GROUP BY source, t HAVING count(DISTINCT k) >= 5) c
+), frequent AS (
+  SELECT c.source, c.t FROM (SELECT source, t, count(*) AS n FROM line GROUP BY source, t HAVING count(*) > 1) c
   JOIN total ON c.source IS NOT DISTINCT FROM total.source WHERE c.n > 0.02 * total.pages
+), framed AS (
+  SELECT p, sum(length(line.t)) AS size, coalesce(sum(length(frequent.t)), 0) AS shared FROM line
+  LEFT JOIN frequent ON line.source IS NOT DISTINCT FROM frequent.source AND line.t = frequent.t GROUP BY p
+), own AS (
+  SELECT p, source FROM page LEFT JOIN framed USING (p) WHERE coalesce(shared, 0) <= 0.5 * coalesce(size, 0)
+), own_total AS (
+  SELECT source, count(*) AS pages FROM own GROUP BY source
+), often AS (
+  SELECT c.source, c.t FROM (
+    SELECT line.source, line.t, count(*) AS n FROM line JOIN own USING (p)
+    JOIN frequent ON line.source IS NOT DISTINCT FROM frequent.source AND line.t = frequent.t GROUP BY line.source, line.t HAVING count(*) > 1) c
+  JOIN own_total ON c.source IS NOT DISTINCT FROM own_total.source WHERE c.n > 0.02 * own_total.pages
+), doc AS (
+  SELECT row_number() OVER () AS k, doc_id, source, text, string_split(text, chr(10)) AS l FROM documents
 ), kept AS (
-  SELECT line.k, string_agg(line.line, chr(10) ORDER BY line.i) AS text, count(*) AS n FROM line
-  LEFT JOIN often ON line.source IS NOT DISTINCT FROM often.source AND line.t = often.t WHERE often.t IS NULL GROUP BY line.k
+  SELECT x.k, string_agg(x.line, chr(10) ORDER BY x.i) AS text, count(*) AS n
+  FROM (SELECT k, source, i, l[i] AS line, trim(l[i], ' ') AS t FROM (SELECT k, source, l, unnest(range(1, len(l) + 1)) AS i FROM doc)) x
+  LEFT JOIN often ON x.source IS NOT DISTINCT FROM often.source AND x.t = often.t WHERE often.t IS NULL GROUP BY x.k
 )
 SELECT doc_id, source, coalesce(CAST(len(l) AS BIGINT), 0) AS n_lines, coalesce(CAST(len(l) AS BIGINT), 0) - coalesce(n, 0) AS n_dropped,
-  CASE WHEN page.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
-FROM page LEFT JOIN kept USING (k)
+  CASE WHEN doc.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM doc LEFT JOIN kept USING (k)
 """
 
 

@@ -73,27 +73,43 @@ def test_contamination_without_documents_or_items(spark):
     assert contamination(docs.limit(0), spark.createDataFrame([(1, "a b")], "item_id long, text string"), scratch(spark, "test")).count() == 0
 
 
-def test_boilerplate_is_relative_to_its_host(spark):
-    rows = [(i, f"page {i}\n  Menu \nbody {i}\n\n", "a") for i in range(8)]
-    rows += [(20 + i, f"only {i}\nMenu", "b") for i in range(100)] + [(200 + i, "x\nMenu" if i < 2 else f"t{i}", "c") for i in range(50)]
-    rows += [(300, None, "a"), (301, "", None), (302, "Menu\nMenu", None), (303, "Menu", "d"), (304, "Menu\nMenu\nMenu", "e")]
-    rows += [(310, "copy\nlines", "f")] * 6
-    docs = spark.createDataFrame([(*r, "c", "p") for r in rows], "doc_id long, text string, source string, host string, pages string")
-    got = drop_boilerplate(docs, scratch(spark, "test"), ratio=0.2, min_pages=5)
-    totals, seen = Counter(r[2] for r in rows), Counter()
-    for _, text, host in rows:
-        seen.update({(host, line.strip(" ")) for line in (text.split("\n") if text is not None else []) if line.strip(" ")})
-    often = {k for k, n in seen.items() if n >= 5 and n > 0.2 * totals[k[0]]}
-    expected = []
+def plain_boilerplate(rows, ratio=0.02, copied=0.5):
+    """(host, line) of the lines that are boilerplate; rows are (doc_id, text, host)."""
+    pages = {(host, text): {x.strip(" ") for x in text.split("\n") if x.strip(" ")} for _, text, host in rows if text is not None}
+
+    def frequent(pages):
+        totals, seen = Counter(host for host, _ in pages), Counter((host, x) for (host, _), lines in pages.items() for x in lines)
+        return {k for k, n in seen.items() if n > 1 and n > ratio * totals[k[0]]}
+
+    often = frequent(pages)
+    length = lambda lines: sum(map(len, lines))
+    own = {(host, text): lines for (host, text), lines in pages.items() if length(x for x in lines if (host, x) in often) <= copied * length(lines)}
+    return frequent(own) & often
+
+
+def plain_cut(rows, often):
+    out = []
     for doc, text, host in rows:
-        if text is None:
-            expected.append((doc, None, host, 0, 0))
-            continue
-        parts = text.split("\n")
+        parts = text.split("\n") if text is not None else []
         kept = [p for p in parts if (host, p.strip(" ")) not in often]
-        expected.append((doc, "\n".join(kept), host, len(parts), len(parts) - len(kept)))
-    assert ("a", "Menu") in often and ("b", "Menu") in often and ("c", "Menu") not in often and ("f", "copy") in often
-    assert sorted(map(str, expected)) == sorted(str((r.doc_id, r.text, r.source, r.n_lines, r.n_dropped)) for r in got.collect())
+        out.append((doc, "\n".join(kept) if text is not None else None, host, len(parts), len(parts) - len(kept)))
+    return sorted(map(str, out))
+
+
+def test_boilerplate_is_relative_to_its_host(spark):
+    words = lambda i: " ".join(f"w{i}x{j}" for j in range(8))
+    rows = [(i, f"page {words(i)}\n  Menu \nbody {words(i)}\n\n", "a") for i in range(8)]
+    rows += [(20 + i, f"only {words(i)}" + "\nMenu" * (i % 3 > 0), "b") for i in range(100)] + [(200 + i, f"x{i}x{i}\nMenu" if i < 2 else f"t{words(i)}", "c") for i in range(150)]
+    rows += [(400, None, "a"), (401, "", None), (402, "Menu\nMenu", None), (403, "Menu", "d"), (404, "Menu\nMenu\nMenu", "e"), (405, "Menu\n" + "long " * 30_000, "a")]
+    rows += [(410, "copy\nlines", "f")] * 6  # copies are one page
+    rows += [(420 + i, "\n".join(["Menu", *[f"shared {words(j)}" for j in range(8) if j != i], f"own {words(i)}"]), "g") for i in range(8)]  # edited copies
+    rows += [(430 + i, f"Menu\nsole {words(i)}", "g") for i in range(8)]
+    docs = spark.createDataFrame([(*r, "c", "p") for r in rows], "doc_id long, text string, source string, host string, pages string")
+    often = plain_boilerplate(rows)
+    assert {("a", "Menu"), ("b", "Menu"), ("g", "Menu")} <= often and not {("c", "Menu"), ("f", "copy"), ("d", "Menu"), (None, "Menu")} & often
+    assert not any(line.startswith("shared") for _, line in often)
+    got = drop_boilerplate(docs, scratch(spark, "test"))
+    assert plain_cut(rows, often) == sorted(str((r.doc_id, r.text, r.source, r.n_lines, r.n_dropped)) for r in got.collect())
     assert set(docs.columns) <= set(got.columns)
     assert drop_boilerplate(docs.limit(0), scratch(spark, "test")).count() == 0
 
