@@ -17,6 +17,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldweave.llm.common import sieve
 from goldweave.llm.turns import placed, turn_name
 from goldweave.session import Scratch
 
@@ -206,15 +207,17 @@ def damage(conversations: DataFrame, *, id_column: str = "conv_id") -> DataFrame
 
 def _faults(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Rows in order with their first fault: blank, duplicate, truncated or none."""
-    turns = scratch.save(placed(rows, scratch, "turn", "role", "text"), "turns")
-    named = turns.select("conv_id", "position", turn_name().alias("name"))
-    first = named.groupBy("conv_id", "name").agg(F.min("position").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(
-        F.col("conv_id").alias("c"), F.col("name").alias("m"), "first")
-    again = turns.withColumn("name", turn_name()).join(first, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("name") == F.col("m")), "left")
+    turns = placed(rows, scratch, "turn", "role", "text", turn_name().alias("name"))
+    first = scratch.save(turns.groupBy("conv_id", "name").agg(F.min("position").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        F.col("conv_id").alias("c"), F.col("name").alias("m"), "first"), "first")
+    # Only turns that may be said twice look for their first occurrence.
+    suspects, others = sieve(turns, F.col("name"), first.select("m"))
+    again = suspects.join(first, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("name") == F.col("m")), "left").drop("c", "m")
+    every = again.unionByName(others.withColumn("first", F.lit(None).cast("long")))
     trimmed = F.rtrim("text", F.lit(BLANKS))
     fault = F.when(trimmed == "", "blank").when(F.col("position") > F.col("first"), "duplicate").when(
         ~F.coalesce(F.instr(F.lit(STOPS), F.right(trimmed, F.lit(1))) > 0, F.lit(False)), "truncated")
-    return again.select("conv_id", "position", "turn", "role", "text", fault.alias("fault"))
+    return every.select("conv_id", "position", "turn", "role", "text", fault.alias("fault"))
 
 
 def repair_conversations(conversations: DataFrame, scratch: Scratch, cfg: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
@@ -241,17 +244,18 @@ def repair_conversations(conversations: DataFrame, scratch: Scratch, cfg: Settin
     audit, a byte for each edit, is ever in one place.
     """
     rows = conversations.select("conv_id", "turn", *[F.coalesce(F.col(c), F.lit(" ")).alias(c) for c in ("role", "text")])
-    found = scratch.save(_faults(rows, scratch), "faults")
+    work = Scratch(scratch.spark, "repair")
+    found = scratch.save(_faults(rows, work), "faults")
     initial = F.substring("role", 1, 1)
     initial = F.when(initial.isin("s", "u", "a"), initial).otherwise("o")
     code = F.when(F.col("fault").isin("blank", "duplicate"), "x").when(F.col("fault") == "truncated", F.upper(initial)).otherwise(initial)
     letters = lambda name: F.array_join(F.transform("rows", lambda r: r[name]), "")
     size = F.lit(cfg.chunk)
-    chunks = scratch.save(found.groupBy("conv_id", F.floor(F.col("position") / size).alias("chunk")).agg(
+    chunks = work.save(found.groupBy("conv_id", F.floor(F.col("position") / size).alias("chunk")).agg(
         F.array_sort(F.collect_list(F.struct("position", code.alias("code"), initial.alias("initial")))).alias("rows"),
     ).select("conv_id", "chunk", letters("code").alias("codes"), letters("initial").alias("initials")), "chunks")
     ordered = Window.partitionBy("conv_id").orderBy("chunk")
-    chained = scratch.save(chunks.select(
+    chained = work.save(chunks.select(
         "*", F.lead("chunk").over(ordered).isNull().alias("last"), F.lag(F.right("initials", F.lit(1))).over(ordered).alias("before")), "chained")
     alone = chained.filter("chunk = 0 AND last")
     several = chained.filter("NOT (chunk = 0 AND last)")
@@ -260,9 +264,9 @@ def repair_conversations(conversations: DataFrame, scratch: Scratch, cfg: Settin
     id_type = chained.schema["conv_id"].dataType.simpleString()
     keyed = lambda df, name: df.select(F.col("conv_id").alias("c"), F.col("chunk").alias("k"), name)
     same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("chunk") == F.col("k"))
-    priced = scratch.save(several.select("conv_id", "chunk", F.arrow_udf(_distances_of, "array<bigint>")("codes", "last").alias("distances")).groupBy("conv_id").applyInArrow(
+    priced = work.save(several.select("conv_id", "chunk", F.arrow_udf(_distances_of, "array<bigint>")("codes", "last").alias("distances")).groupBy("conv_id").applyInArrow(
         _ends, f"conv_id {id_type}, chunk long, ends array<bigint>"), "priced")
-    passed = scratch.save(several.join(keyed(priced, "ends"), same).drop("c", "k"), "passed")
+    passed = work.save(several.join(keyed(priced, "ends"), same).drop("c", "k"), "passed")
     entered = passed.select("conv_id", "chunk", F.arrow_udf(_exits_of, "array<int>")("codes", "ends", "last").alias("exits")).groupBy("conv_id").applyInArrow(
         _entries, f"conv_id {id_type}, chunk long, state int")
     every = alone.withColumns({"ends": F.array(*[F.lit(e).cast("long") for e in _END]), "state": F.lit(START)}).unionByName(
@@ -270,6 +274,7 @@ def repair_conversations(conversations: DataFrame, scratch: Scratch, cfg: Settin
     edits_of = F.arrow_udf(_edits_of, "struct<cost: bigint, edits: array<struct<edit: string, role: string, row: bigint>>>")
     solved = scratch.save(every.withColumn("r", edits_of("codes", "ends", "last", "state")).select(
         "conv_id", "chunk", "initials", "before", "r.cost", "r.edits"), "solved")
+    work.close()
 
     names = F.create_map(*[F.lit(x) for pair in (("K", "Keep"), ("R", "Rerole"), ("D", "Delete"), ("I", "Insert")) for x in pair])
     roles = F.create_map(*[F.lit(x) for pair in (("u", "user"), ("a", "assistant")) for x in pair])

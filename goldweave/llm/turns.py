@@ -8,22 +8,48 @@ from pyspark.sql import functions as F
 from goldweave.session import Scratch
 
 
+def _numbered(batches):
+    """Rows with their part and their place among the part's rows of the same conversation; rows come sorted by conversation."""
+    import numpy as np
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    part, last, count = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        ids = batch["conv_id"]
+        values, missing = ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False)
+        new = np.ones(n, bool)
+        new[1:] = (values[1:] != values[:-1]) | (missing[1:] != missing[:-1])
+        new[0] = last != (missing[0], values[0])
+        at = np.arange(n)
+        start = np.maximum.accumulate(np.where(new, at, 0 if new[0] else -count))
+        place = at - start
+        last, count = (missing[-1], values[-1]), int(place[-1]) + 1
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(place, pa.int64())], names=[*batch.schema.names, "part", "place"])
+
+
 def placed(rows: DataFrame, scratch: Scratch, *keep: Column | str) -> DataFrame:
     """``keep`` of ``rows`` (conv_id, turn, role, text) with conv_id and the row's ``position`` in its conversation.
 
     The order is turn, nulls first, then role and text. Rows are dealt out by
     ranges of it, so a long conversation lies in several parts; each part
-    numbers its rows, and the numbers are then put end to end. Null ids are
-    one conversation.
+    numbers its rows, and what lies in further parts is moved behind the parts
+    before. Null ids are one conversation.
     """
-    ranges = rows.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 64)).sortWithinPartitions("conv_id", "turn", "role", "text")
-    # Written once, so that every later read sees the same row numbers; their upper bits are the part.
-    ordered = scratch.save(ranges.select("conv_id", *keep, F.monotonically_increasing_id().alias("at")), "ranges").withColumn("part", F.shiftright("at", 33))
-    runs = ordered.groupBy("conv_id", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    ranges = rows.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, 64)).sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", *keep)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranges.schema)
+    # Written once, so that every later read sees the same parts.
+    ordered = scratch.save(ranges.mapInArrow(_numbered, f"{fields}, part int, place long"), "ranges")
+    runs = ordered.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = runs.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"))
-    joined = ordered.join(starts, ordered["conv_id"].eqNullSafe(starts["c"]) & (ordered["part"] == starts["p"]))
-    return joined.withColumn("position", F.col("at") + F.col("shift")).drop("at", "part", "c", "p", "shift")
+    # Only the last conversation of a part goes on in the next: no more rows than parts.
+    moved = scratch.save(runs.select(F.col("conv_id").alias("c"), F.col("part").alias("p"), F.sum("n").over(before).alias("shift")).filter("shift > 0"), "moved")
+    joined = ordered.join(moved, ordered["conv_id"].eqNullSafe(moved["c"]) & (ordered["part"] == moved["p"]), "left")
+    return joined.withColumn("position", F.col("place") + F.coalesce("shift", F.lit(0))).drop("place", "part", "c", "p", "shift")
 
 
 def turn_name(role: str = "role", text: str = "text") -> Column:
