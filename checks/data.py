@@ -169,7 +169,7 @@ def store(spark: SparkSession, sf_dir: str) -> PartyStore:
     """The stored tables, with all events recorded as batch 0."""
     def build() -> PartyStore:
         t, done = tables(spark, sf_dir), applied(spark, sf_dir)
-        out = PartyStore(spark, scratch(spark, "store").path("tables"))
+        out = PartyStore(spark, scratch(spark, "store").path("tables"), buckets=8)
         out.start(t.golden, t.links, t.parties, t.lineage)
         out.record(done, 0, t.parties.agg(F.max("id").alias("id")))
         return out

@@ -388,7 +388,7 @@ def _streamed(spark: SparkSession, sf_dir: str) -> tuple[stream.PartyStore, Data
 
 def _store(spark: SparkSession, sf_dir: str, out: Scratch) -> stream.PartyStore:
     t = data.tables(spark, sf_dir)
-    store = stream.PartyStore(spark, out.path("store"))
+    store = stream.PartyStore(spark, out.path("store"), buckets=8)
     store.start(t.golden, t.links, t.parties, t.lineage)
     return store
 
@@ -449,7 +449,7 @@ def _stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source records, and whether they are linked, after events, an ingest, events, a mastering, events and a fold."""
     out = data.scratch(spark, "fold")
-    store = Warehouse(spark, out.path("warehouse"))
+    store = Warehouse(spark, out.path("warehouse"), buckets=8)
     rows = data.parties(spark, sf_dir)
     first = rows.filter("id % 3 <> 0")
     known = master_parties(first, CFG, out, data.AS_OF)

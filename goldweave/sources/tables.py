@@ -1,4 +1,4 @@
-"""Versioned Parquet tables: write a version, then publish it."""
+"""Stored Parquet tables: batches that are appended, and rows by key that are written over."""
 
 from __future__ import annotations
 
@@ -8,57 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-class SnapshotTable:
-    """Table kept as ``<root>/version=N`` folders.
-
-    A version counts as published once its Parquet job has committed (its
-    ``_SUCCESS`` file exists); readers take the highest one. Writing a version
-    again replaces it, so a repeated batch leaves no trace. ``order`` is a
-    column whose ranges the files hold in order: a lookup by it reads the row
-    groups that its statistics leave.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, order: str | None = None):
-        self.spark, self.root, self.schema, self.order = spark, root.rstrip("/"), schema, order
-
-    def path(self, version: int) -> str:
-        return f"{self.root}/version={version}"
-
-    def _files(self):
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.root)
-        return jvm, target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def versions(self) -> list[int]:
-        """Published versions in ascending order."""
-        jvm, fs = self._files()
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/version=*/_SUCCESS")) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
-
-    def latest(self, before: int | None = None) -> int | None:
-        found = [v for v in self.versions() if before is None or v < before]
-        return found[-1] if found else None
-
-    def read(self, version: int | None = None, before: int | None = None) -> DataFrame:
-        """A published version, the newest by default; an empty frame when there is none or it is negative."""
-        chosen = version if version is not None else self.latest(before)
-        if chosen is None or chosen < 0:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(chosen))
-
-    def write(self, df: DataFrame, version: int) -> DataFrame:
-        cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema])
-        if self.order:
-            cast = cast.repartitionByRange(self.order).sortWithinPartitions(self.order)
-        cast.write.mode("overwrite").option("compression", "snappy").parquet(self.path(version))
-        return self.read(version)
-
-    def retire(self, keep: int = 2) -> None:
-        """Deletes all but the newest published versions."""
-        jvm, fs = self._files()
-        for version in self.versions()[:-keep]:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(self.path(version)), True)
+from goldweave.sources.feeds import path_exists
 
 
 class AppendTable:
@@ -91,8 +41,6 @@ class AppendTable:
 
     def read(self, before: int | None = None) -> DataFrame:
         """All batches, or those numbered below ``before``."""
-        from goldweave.sources.feeds import path_exists
-
         if not path_exists(self.spark, f"{self.root}/batch=*"):
             return self.spark.createDataFrame([], self.schema)
         with_batch = T.StructType([*self.schema.fields, T.StructField("batch", T.StringType() if before is None else T.LongType())])
@@ -101,8 +49,6 @@ class AppendTable:
 
     def read_from(self, first: int) -> DataFrame:
         """Batches numbered ``first`` and higher; only their folders are read."""
-        from goldweave.sources.feeds import path_exists
-
         if not path_exists(self.spark, f"{self.root}/batch=*"):
             return self.spark.createDataFrame([], self.schema)
         with_batch = T.StructType([*self.schema.fields, T.StructField("batch", T.LongType())])
@@ -125,28 +71,42 @@ class KeyedTable:
     nothing. Writing a version or a batch again replaces it.
 
     Folders have one subfolder for each bucket of ``by``, a key column. A read
-    by keys lists the buckets first and opens only those. ``found_by`` names
+    by keys lists the buckets first and opens only those. How many there are is
+    settled by the first write; ``buckets`` says it for a new table. ``found_by`` names
     columns for which bases have Bloom filters, so that an equality on one of
     them passes over the row groups without the value.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: tuple[str, ...], by: str | None = None, buckets: int = 32,
                  found_by: tuple[str, ...] = ()):
-        self.spark, self.root, self.schema, self.key, self.by, self.buckets = spark, root.rstrip("/"), schema, key, by or key[0], buckets
+        self.spark, self.root, self.schema, self.key, self.by, self._new_buckets = spark, root.rstrip("/"), schema, key, by or key[0], buckets
         self.found_by = found_by
         added = [T.StructField("changed_in", T.LongType()), T.StructField("gone", T.BooleanType())]
         self._bucket = T.StructField("bucket", T.IntegerType())
         self._log_schema = T.StructType([*schema.fields, *added, self._bucket])
 
+    def _place(self, path: str):
+        """A path and its file system."""
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return target, target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    @property
+    def buckets(self) -> int:
+        pattern, fs = self._place(f"{self.root}/buckets=*")
+        there = fs.globStatus(pattern) or []
+        return int(there[0].getPath().getName().split("=")[1]) if len(there) else self._new_buckets
+
+    def _settle_buckets(self) -> None:
+        path, fs = self._place(f"{self.root}/buckets={self.buckets}")
+        fs.mkdirs(path)
+
     def bucket(self, value: str) -> Column:
         return F.pmod(F.xxhash64(F.col(value).cast("string")), F.lit(self.buckets)).cast("int")
 
     def _published(self, folder: str) -> list[str]:
         """Names of the committed folders below one of the table's."""
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}")
-        fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{self.root}/{folder}/*/_SUCCESS")) or []
+        pattern, fs = self._place(f"{self.root}/{folder}/*/_SUCCESS")
+        done = fs.globStatus(pattern) or []
         return [s.getPath().getParent().getName() for s in done]
 
     def versions(self) -> list[tuple[int, int]]:
@@ -163,6 +123,7 @@ class KeyedTable:
 
     def write(self, df: DataFrame, version: int, upto: int) -> DataFrame:
         """Publishes a base; files hold ranges of the key in order, so a lookup reads few row groups of one bucket."""
+        self._settle_buckets()
         cast = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema]).withColumn("bucket", self.bucket(self.by))
         ordered = cast.repartitionByRange("bucket", *self.key).sortWithinPartitions("bucket", *self.key)
         filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.found_by}
@@ -181,6 +142,7 @@ class KeyedTable:
         self._write_span(rows, batch, batch)
 
     def _write_span(self, rows: DataFrame, first: int, last: int) -> None:
+        self._settle_buckets()
         placed = rows.withColumn("bucket", self.bucket(self.by)).repartition("bucket")
         placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/changes/span={first}-{last}")
 
@@ -243,11 +205,10 @@ class KeyedTable:
         """Deletes all but the newest bases, and the change sets that the oldest one left holds."""
         versions = self.versions()
         oldest = versions[-keep:][0][1] if versions else 0
-        jvm = self.spark.sparkContext._jvm
         old = [self.base_path(v) for v in versions[:-keep]]
         for name in self._published("changes"):
             if int(name.split("-")[-1]) < oldest:
                 old.append(f"{self.root}/changes/{name}")
-        for path in old:
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        for name in old:
+            path, fs = self._place(name)
+            fs.delete(path, True)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -259,16 +259,22 @@ def link_destinations(merges: DataFrame, scratch: Scratch, name: str = "merge_ch
         merges.select(F.col("secondary_id").alias("node"), "seq", F.lit(True).alias("leaves"))
     )
     onward = next_order(stops, "node", "seq", F.col("leaves"), "next_seq").filter("NOT leaves").select("seq", "next_seq")
-    hops = merges.join(onward, "seq").select("seq", "secondary_id", F.col("primary_id").alias("destination"), "next_seq")
+    def written(df: DataFrame, table: str) -> tuple[DataFrame, int]:
+        """The written hops, and how many of them go on, counted by the write."""
+        seen = Observation()
+        kept = scratch.save(df.observe(seen, F.count("next_seq").alias("going")), table)
+        return kept, seen.get["going"]
+
+    first = merges.join(onward, "seq").select("seq", "secondary_id", F.col("primary_id").alias("destination"), "next_seq")
     rounds = 0
-    hops = scratch.save(hops, f"{name}-0")
-    while not hops.filter("next_seq IS NOT NULL").isEmpty():
+    hops, going = written(first, f"{name}-0")
+    while going:
         rounds += 1
         later = hops.select(F.col("seq").alias("next_seq"), F.col("destination").alias("to"), F.col("next_seq").alias("then"))
         step = hops.join(later, "next_seq", "left").select(
             "seq", "secondary_id", F.coalesce("to", "destination").alias("destination"), F.col("then").alias("next_seq")
         )
-        hops = scratch.save(step, f"{name}-{rounds}")
+        hops, going = written(step, f"{name}-{rounds}")
         scratch.drop(f"{name}-{rounds - 1}")
     return hops.select("seq", "secondary_id", "destination")
 

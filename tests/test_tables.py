@@ -164,6 +164,8 @@ def test_keyed_table_is_the_last_word_on_each_key(spark, tmp_path):
         assert _state(table.read(before)) == past[before]
     wanted = spark.createDataFrame([("k1",), ("k7",), ("nobody",), ("k1",)], "x string")
     assert _state(table.read(keys=wanted)) == {k: v for k, v in expected.items() if k in ("k1", "k7")}
+    other = _keyed(spark, tmp_path, buckets=3)  # opened with another number: that of the first write holds
+    assert _state(other.read(keys=wanted)) == _state(table.read(keys=wanted)) and other.buckets == 8
     table.write(table.read(), 2, 10)
     table.retire(1)
     assert _state(table.read()) == expected and table.spans() == []
