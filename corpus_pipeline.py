@@ -15,7 +15,10 @@ from goldweave.llm.common import fold_of, read, scratch, settle
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below one half; the model is the one of the toxicity query."""
+    """Documents with a toxicity score below one half; the model is the one of the toxicity query.
+
+    Null and empty texts get the score of no terms, repeated rows equal ones; without labels every document stays.
+    """
     settle(spark)
     cfg = toxicity.Settings()
     labels = read(spark, sf_dir, "labels").filter(fold_of(F.col("doc_id"), 5) != 0)
@@ -24,8 +27,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their host; copies are left to the stage after this one."""
-    cut = lines.drop_repeated_lines(docs, scratch(spark, "pipeline-lines"))
+    """All documents, without the boilerplate lines of their host; copies are left whole to the stage after this one.
+
+    A null text stays null; n_chars, where there is such a column, follows the text that was cut.
+    """
+    cut = lines.drop_boilerplate(docs, scratch(spark, "pipeline-lines"))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         cut = cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))
@@ -33,23 +39,26 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
-    work = scratch(spark, "pipeline-near")
-    joined = work.save(jaccard.jaccard_join(docs, work), "joined")
+    """One document of each class of near duplicates, the one of the smallest id; of repeated rows one. Texts without words all stay."""
+    work, inner = scratch(spark, "pipeline-near"), scratch(spark, "pipeline-near-join")
+    joined = work.save(jaccard.jaccard_join(docs, inner).select("doc_id", "words_key", "kept"), "joined")
+    inner.close()
     return jaccard.drop_linked(docs, joined).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no window of words with the benchmark."""
-    work = scratch(spark, "pipeline-leaks")
-    found = work.save(decontamination.contamination(docs, read(spark, sf_dir, "benchmark"), work), "contamination")
+    """Documents that share no window of words with the benchmark; null and empty texts share none. Without a benchmark all stay."""
+    work, inner = scratch(spark, "pipeline-leaks"), scratch(spark, "pipeline-leaks-search")
+    hit = decontamination.contamination(docs, read(spark, sf_dir, "benchmark"), inner).filter("n_hit > 0")
+    found = work.save(hit.select("doc_id", "text_key", "n_hit"), "contamination")
+    inner.close()
     return decontamination.drop_contaminated(docs, found).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens."""
+    """Pieces of the documents' tokens. Workers of earlier stages still hold memory, so fewer words are remembered than by the query."""
     settle(spark)
-    return packing.pack(docs, str(public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(docs, str(public_tokenizers.path("word_bpe_49k.json")), remembered=250_000)
 
 
 STAGES = [
@@ -62,7 +71,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages from ``documents``, each written and read again."""
+    """All stages from ``documents``, each written and read again. Empty documents give no pieces; extra columns go through to the last stage."""
     work = scratch(spark, "pipeline")
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
