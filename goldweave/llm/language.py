@@ -4,6 +4,11 @@ States are languages. A word's score for a language is the sum of learned
 weights of its affixes, its character n-grams and the word itself (the
 lexicon); learned transitions tie neighbours together. Forward-backward gives
 each word of code-switched text its distribution over languages.
+
+A position of a chain is a word; a long one, such as a compound, is cut into
+several positions, and so is a run in a script that sets no blanks between
+words. Texts are worked through in pieces, whose transfer matrices carry the
+messages from one to the next, so the pieces leave no trace in the result.
 """
 
 from __future__ import annotations
@@ -15,18 +20,24 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from goldweave.llm.common import sieve
+
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
+# Letters of one position at most, and of one in a script without blanks: Thai, Lao, Burmese, Khmer, Japanese and Chinese.
+WIDTH, DENSE_WIDTH = 24, 2
+_DENSE = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``rows`` bounds the labelled documents of each language the model is fitted on.
+    """``rows`` bounds the labelled documents of each language the model is fitted on, ``chars`` the characters of each that it is shown.
 
-    Chains are runs of ``chain`` words of a text; the last run of a text may be shorter.
+    Texts are worked through ``chain`` positions at a time; only the fit depends on it.
     """
 
     rows: int = 400
+    chars: int = 50_000
     slots: int = 1 << 16
     chain: int = 32
     batch: int = 2048
@@ -46,12 +57,20 @@ class Field:
     chain: int
 
 
+def positions(text: str) -> list[str]:
+    """The chain's positions of a whole text: its words in lower case, long ones and those of dense scripts in parts."""
+    words = _WORD.findall(text.lower())
+    if any(len(w) > WIDTH for w in words) or _DENSE.search(text):
+        sized = [(w, DENSE_WIDTH if _DENSE.search(w) else WIDTH) for w in words]
+        words = [w[i:i + size] for w, size in sized for i in range(0, len(w), size)]
+    return [w for w in words if w.isalpha() or any(map(str.isalpha, w))]
+
+
 def features(words: list[str], slots: int):
-    """Slots of each word's features, 0 where it has fewer: n-grams of two and three characters, affixes of one to four, the word."""
+    """Slots of each position's features, 0 where it has fewer: n-grams of two and three characters, affixes of one to four, the whole."""
     import numpy as np
 
-    width = 24
-    short = [w if len(w) <= width else w[: width // 2] + w[-width // 2:] for w in words]
+    width, short = WIDTH, words
 
     def matrix(texts):
         return np.array([f"<{t}>" for t in texts], dtype=f"<U{width + 2}").view(np.uint32).reshape(len(texts), width + 2).astype(np.uint64)
@@ -108,16 +127,99 @@ def posteriors(scores, lengths, transition, start):
     return p / p.sum(2, keepdims=True), forward, backward, e
 
 
+def text_posteriors(scores, sizes, transition, start, chain: int):
+    """Probabilities of the states at every position of whole texts, exact for any ``chain``.
+
+    scores: (position, state) of all texts in a row, ``sizes`` positions each.
+    Texts are cut into pieces. A piece's transfer matrix says how messages
+    pass through it; carried from piece to piece they give each piece the
+    messages from before and behind it, and then all pieces are worked at once.
+    """
+    import numpy as np
+
+    states = scores.shape[1]
+    runs = -(-sizes // chain)
+    first = np.cumsum(sizes) - sizes
+    first_run = np.cumsum(runs) - runs
+    order = np.arange(runs.sum()) - np.repeat(first_run, runs)
+    begin = np.repeat(first, runs) + chain * order
+    lengths = np.minimum(np.repeat(first + sizes, runs) - begin, chain)
+    move = np.exp(transition)
+    slabs = [slice(at, at + 4096) for at in range(0, len(begin), 4096)]
+
+    def factors(slab):
+        b, n = begin[slab], lengths[slab]
+        inside = np.arange(n.max()) < n[:, None]
+        place = np.where(inside, b[:, None] + np.arange(n.max()), 0)
+        e = scores[place]
+        return np.exp(e - e.max(2, keepdims=True)), inside, place
+
+    # Messages into each piece; the first piece of a text starts with the start weights and makes no move.
+    opening = order == 0
+    into = np.tile(np.exp(start), (len(begin), 1))
+    after = np.ones((len(begin), states))
+    if runs.max(initial=0) > 1:
+        transfer = np.empty((len(begin), states, states))
+        for slab in slabs:
+            e, inside, _ = factors(slab)
+            matrix = np.tile(np.eye(states), (len(e), 1, 1))
+            for t in range(e.shape[1]):
+                moved = matrix @ move
+                if t == 0:
+                    moved = np.where(opening[slab][:, None, None], matrix, moved)
+                moved *= e[:, t, None, :]
+                moved /= moved.sum((1, 2), keepdims=True)
+                matrix = np.where(inside[:, t, None, None], moved, matrix)
+            transfer[slab] = matrix
+        for j in range(1, int(runs.max())):
+            at = (first_run + j)[runs > j]
+            u = np.einsum("ns,nst->nt", into[at - 1], transfer[at - 1])
+            into[at] = u / u.sum(1, keepdims=True)
+        for j in range(int(runs.max()) - 1, 0, -1):
+            at = (first_run + j)[runs > j]
+            u = np.einsum("nst,nt->ns", transfer[at], after[at])
+            after[at - 1] = u / u.sum(1, keepdims=True)
+
+    out = np.empty_like(scores)
+    for slab in slabs:
+        e, inside, place = factors(slab)
+        span, last = e.shape[1], lengths[slab] - 1
+        forward, backward = np.empty_like(e), np.empty_like(e)
+        a = np.where(opening[slab][:, None], into[slab], into[slab] @ move) * e[:, 0]
+        forward[:, 0] = a / a.sum(1, keepdims=True)
+        for t in range(1, span):
+            a = (forward[:, t - 1] @ move) * e[:, t]
+            forward[:, t] = a / a.sum(1, keepdims=True)
+        back = after[slab]
+        for t in range(span - 1, -1, -1):
+            if t + 1 < span:
+                b = (e[:, t + 1] * backward[:, t + 1]) @ move.T
+                back = np.where((t < last)[:, None], b / b.sum(1, keepdims=True), after[slab])
+            backward[:, t] = back
+        p = forward * backward
+        out[place[inside]] = (p / p.sum(2, keepdims=True))[inside]
+    return out
+
+
 def training_rows(
     docs: DataFrame, cfg: Settings, *, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
 ) -> DataFrame:
-    """(lang, text) of at most ``rows`` documents of each language, those with the smallest hash of their id and text."""
-    order = Window.partitionBy("lang").orderBy("pick", "id")
+    """(lang, text) of at most ``rows`` documents of each language, those with the smallest hash of their id and text.
+
+    Null languages and texts do not count; a null id is one like others; rows
+    equal in language, id and text count once, so ties do not occur but by a
+    collision of hashes. Which documents these are is found by hash in many
+    parts of each language; only their texts are shuffled.
+    """
     keyed = docs.filter(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
         F.col(lang_column).alias("lang"), F.col(id_column).alias("id"), F.col(text_column).alias("text"),
     ).withColumn("pick", F.xxhash64("id", "text"))
-    picked = keyed.select("lang", "pick", "id").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= cfg.rows)
-    return keyed.join(picked.select("lang", "pick").distinct(), ["lang", "pick"]).dropDuplicates(["lang", "pick"]).select("lang", "text")
+    place = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy("pick"))
+    distinct = keyed.select("lang", "pick").distinct()
+    some = distinct.withColumn("part", F.pmod("pick", F.lit(64))).withColumn("n", place("part")).filter(F.col("n") <= cfg.rows)
+    picked = some.withColumn("n", place()).filter(F.col("n") <= cfg.rows).select("lang", "pick")
+    near, _ = sieve(keyed, F.col("pick"), picked.select("pick"))
+    return near.join(picked, ["lang", "pick"]).dropDuplicates(["lang", "pick"]).select("lang", F.substring("text", 1, cfg.chars).alias("text"))
 
 
 def fit(rows: DataFrame, cfg: Settings) -> Field:
@@ -137,7 +239,7 @@ def fit(rows: DataFrame, cfg: Settings) -> Field:
     vocabulary: dict[str, int] = {}
     runs = []
     for lang, text in table:
-        ids = [vocabulary.setdefault(w, len(vocabulary)) for w in _WORD.findall(text.lower())]
+        ids = [vocabulary.setdefault(w, len(vocabulary)) for w in positions(text)]
         runs += [(index[lang], ids[i:i + cfg.chain]) for i in range(0, len(ids), cfg.chain)]
     rng.shuffle(runs)
     chains, states = np.full((len(runs), cfg.chain), -1), np.zeros((len(runs), cfg.chain), int)
@@ -190,7 +292,7 @@ class _Labeller:
         self.ids: dict[str, int] = {}
         self.scores = None
 
-    def word_ids(self, lists: list[list[str]]):
+    def scores_of(self, lists: list[list[str]]):
         import numpy as np
 
         if len(self.ids) > self.limit:
@@ -207,31 +309,19 @@ class _Labeller:
             self.ids.update(zip(new, range(base, base + len(new))))
             self.scores = got if self.scores is None else np.concatenate([self.scores, got])
         get = self.ids.__getitem__
-        return np.fromiter((i for words in lists for i in map(get, words)), np.int64)
+        return self.scores[np.fromiter((i for words in lists for i in map(get, words)), np.int64)]
 
     def label(self, texts: list[str | None]):
         """(row of each word, probabilities of each word's languages, word lists)."""
         import numpy as np
 
         f = self.field
-        lists = [[w for w in _WORD.findall(t.lower()) if w.isalpha() or any(map(str.isalpha, w))] if t else [] for t in texts]
+        lists = [positions(t) if t else [] for t in texts]
         sizes = np.array([len(words) for words in lists])
         rows = np.repeat(np.arange(len(texts)), sizes)
-        probabilities = np.zeros((len(rows), len(f.langs)))
         if not f.langs or not len(rows):
-            return rows, probabilities, lists
-        ids = self.word_ids(lists)
-        runs = -(-sizes // f.chain)
-        first = np.cumsum(sizes) - sizes
-        begin = np.repeat(first, runs) + f.chain * (np.arange(runs.sum()) - np.repeat(np.cumsum(runs) - runs, runs))
-        lengths = np.minimum(np.repeat(first + sizes, runs) - begin, f.chain)
-        for at in range(0, len(begin), 4096):
-            b, n = begin[at:at + 4096], lengths[at:at + 4096]
-            place = b[:, None] + np.arange(n.max())
-            inside = np.arange(n.max()) < n[:, None]
-            scores = np.where(inside[:, :, None], self.scores[ids[np.where(inside, place, 0)]], 0.0)
-            probabilities[place[inside]] = posteriors(scores, n, f.transition, f.start)[0][inside]
-        return rows, probabilities, lists
+            return rows, np.zeros((len(rows), len(f.langs))), lists
+        return rows, text_posteriors(self.scores_of(lists), sizes, f.transition, f.start, f.chain), lists
 
 
 _labellers: dict[int, _Labeller] = {}
@@ -263,9 +353,10 @@ def identified(docs: DataFrame, field: Field, *, text_column: str = "text") -> D
     """``docs`` with lang_pred and score: the language most of the words' probability goes to, and its share of it.
 
     A null text, one without letters, and any text of a field fitted on no
-    rows is ``und`` with score 0. Ties go to the language first in the
-    alphabet. Repeated rows get equal results; empty input gives an empty
-    result; columns of these names are replaced.
+    rows is ``und`` with score 0. Texts are read whole, however long they or
+    their words are. Ties go to the language first in the alphabet. Repeated
+    rows get equal results; empty input gives an empty result; columns of
+    these names are replaced, and one named __lang is not kept.
     """
     shared = _share(docs, field)
 
@@ -293,7 +384,14 @@ def identified(docs: DataFrame, field: Field, *, text_column: str = "text") -> D
 
 
 def word_languages(docs: DataFrame, field: Field, *, text_column: str = "text") -> DataFrame:
-    """``docs`` with words: the text's words in order, each with its likeliest language and that one's probability."""
+    """``docs`` with words: the text's positions in order, each with its likeliest language and that one's probability.
+
+    Positions are words, or parts of them (:func:`positions`), all of them in
+    texts of any length. A null or empty text has none; for a field fitted on
+    no rows each is ``und`` with probability 0. Repeated rows get equal
+    results; empty input gives an empty result; a column named words is
+    replaced.
+    """
     shared = _share(docs, field)
 
     @F.arrow_udf("array<struct<word:string,lang:string,p:double>>")
