@@ -78,8 +78,8 @@ def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_elias_fano_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = fold_of(F.col("doc_id"), 10) == 0
-    model = ngram_model.train(docs.filter(~held_out), scratch(spark, "op7"))
-    return ngram_model.scored(docs, model).select(
+    model, scored = ngram_model.train_and_score(docs, ~held_out, scratch(spark, "op7"))
+    return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
@@ -130,6 +130,28 @@ def op13_burst_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read(spark, sf_dir, "conversations"), scratch(spark, "op13"))
 
 
+def _base_digest(spans: DataFrame, base: Column, kinds: tuple[str, ...]) -> DataFrame:
+    return spans.select("doc_id", *[_number(base, kind).alias(f"n_{kind}") for kind in kinds], F.sha2(_digest(base), 256).alias("base_sha256"))
+
+
+def secret_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the secret scan that SQL can express."""
+    found = secret_scan.scan_secrets(read(spark, sf_dir, "documents"), scratch(spark, "secret-base"))
+    return _base_digest(found, F.filter("spans", lambda s: s["kind"] != "random"), secret_scan.KINDS[:3])
+
+
+def personal_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the search for personal data that SQL can express."""
+    found = personal_data.find_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return _base_digest(found, F.filter("spans", lambda s: s["base"]), personal_data.KINDS)
+
+
+def word_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the language model that SQL can express, scores to three places."""
+    scored = op7_elias_fano_trie(spark, sf_dir)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 3).alias("base_score"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_power_of_two_packing": op1_power_of_two_packing,
@@ -145,6 +167,9 @@ def queries() -> dict[str, Query]:
         "op11_auction_conversation_repair": op11_auction_conversation_repair,
         "op12_tiled_top_k": op12_tiled_top_k,
         "op13_burst_prefix_trie": op13_burst_prefix_trie,
+        "secret_base_spans": secret_base_spans,
+        "personal_base_spans": personal_base_spans,
+        "word_base_scores": word_base_scores,
     }
 
 
@@ -358,8 +383,55 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <
 """
 
 
+def _spans(kind: str, place: int, pattern: str, holds: str) -> str:
+    """Matches of a pattern in all texts, found between the pieces that they leave; ``holds`` is a condition on the match ``x``."""
+    length = lambda items: f"coalesce(list_sum(list_transform({items}, lambda y: length(y))), 0)"
+    return f"""SELECT k, '{kind}' AS kind, {place} AS place, start, start + length(x) AS stop FROM (
+      SELECT k, m[i] AS x, CAST({length("p[1 : i]")} + {length("m[1 : i - 1]")} AS BIGINT) AS start FROM (
+        SELECT k, m, p, unnest(range(1, len(m) + 1)) AS i FROM (
+          SELECT k, regexp_extract_all(t, '{pattern}') AS m, string_split_regex(t, '{pattern}') AS p FROM doc))) WHERE {holds}"""
+
+
+def _base_sql(kinds: list[tuple[str, str, str]]) -> str:
+    found = " UNION ALL ".join(_spans(kind, place, pattern, holds) for place, (kind, pattern, holds) in enumerate(kinds))
+    counts = ", ".join(f"count(kind) FILTER (kind = '{kind}') AS n_{kind}" for kind, _, _ in kinds)
+    return f"""WITH doc AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents), span AS ({found})
+    SELECT doc_id, {counts}, sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place), '')) AS base_sha256
+    FROM doc LEFT JOIN span USING (k) GROUP BY k, doc_id"""
+
+
+_either = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+_ASSIGNED = f"(?:{'|'.join(map(_either, ('password', 'passwd', 'secret', 'token', 'api_?key')))})[\"'']?\\x20*[:=]\\x20*[\"'']?"
+_NUMBER = "regexp_replace(x, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_NUMBER}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse({_NUMBER})[i] AS INTEGER)
+  ELSE CAST(reverse({_NUMBER})[i] AS INTEGER) * 2 - CASE WHEN CAST(reverse({_NUMBER})[i] AS INTEGER) > 4 THEN 9 ELSE 0 END END)) % 10 = 0"""
+_OP3_BASE = _base_sql([
+    ("assign", _ASSIGNED + "[A-Za-z0-9+/_.=-]+", f"length(regexp_replace(x, '^{_ASSIGNED}', '')) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(x) >= 20"), ("hex", "[0-9a-f]+", "length(x) >= 24"),
+])
+_OP4_BASE = _base_sql([
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "len(list_filter(string_split(x, '.'), lambda y: try_cast(y AS HUGEINT) IS NULL OR try_cast(y AS HUGEINT) > 255)) = 0"),
+    ("card", r"[0-9](?:[\x20-]?[0-9])+", f"length({_NUMBER}) BETWEEN 12 AND 19 AND {_LUHN}"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_NUMBER}) BETWEEN 9 AND 15"),
+])
+_OP7_BASE = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS k, doc_id, {_crc("coalesce(CAST(doc_id AS VARCHAR), '')")} % 10 = 0 AS held_out, list_append(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), chr(10)) AS w FROM documents
+), word AS (
+  SELECT w, count(*) AS c FROM (SELECT unnest(w) AS w FROM doc WHERE NOT held_out) GROUP BY w
+), total AS (
+  SELECT CAST(coalesce(sum(c), 0) AS BIGINT) AS n, count(*) AS v FROM word
+)
+SELECT doc_id, held_out, count(*) AS n_tokens, count(c) AS n_known, n AS train_tokens, round(sum(log10((coalesce(c, 0) + 0.1::DOUBLE) / (n + 0.1::DOUBLE * (v + 1)))), 3) AS base_score
+FROM (SELECT k, doc_id, held_out, unnest(w) AS w FROM doc) LEFT JOIN word USING (w), total GROUP BY k, doc_id, held_out, n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op10_minhash_jaccard_join": _OP10, "op2_winnowing_decontamination": _OP2, "op8_site_line_frequency": _OP8,
         "op11_auction_conversation_repair": _OP11, "op12_tiled_top_k": _OP12, "op13_burst_prefix_trie": _OP13,
+        "secret_base_spans": _OP3_BASE, "personal_base_spans": _OP4_BASE, "word_base_scores": _OP7_BASE,
     }
