@@ -21,7 +21,7 @@ BATCH_ROWS = 512
 
 
 def settle(spark: SparkSession) -> SparkSession:
-    """Session settings the operators rely on."""
+    """Session settings the operators rely on. They stay set in the caller's session, the rows of an Arrow batch among them."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
@@ -86,12 +86,12 @@ def sieve(rows: DataFrame, key: Column, wanted: DataFrame) -> tuple[DataFrame, D
     at = place(F.col(wanted.columns[0]))
     bit = lambda at: (at % 64).cast("int")
     word = lambda at: F.floor(at % SIEVE_ROW / 64).cast("int")
-    words = wanted.select(F.floor(at / SIEVE_ROW).alias("_row"), word(at).alias("_word"), bit(at).alias("_bit")).groupBy("_row", "_word").agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit"))).alias("_bits"))
-    every = F.transform(F.sequence(F.lit(0), F.lit(SIEVE_ROW // 64 - 1)), lambda w: F.coalesce(F.element_at("_map", w), F.lit(0).cast("long")))
-    bits = words.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("_word", "_bits"))).alias("_map")).select("_row", every.alias("_words"))
-    marked = rows.withColumn("_at", place(key)).withColumn("_row", F.floor(F.col("_at") / SIEVE_ROW)).join(F.broadcast(bits), "_row", "left")
-    shifted = F.call_function("shiftright", F.get("_words", word(F.col("_at"))), bit(F.col("_at")))
+    words = wanted.select(F.floor(at / SIEVE_ROW).alias("__sieve_row"), word(at).alias("__sieve_word"), bit(at).alias("__sieve_bit")).groupBy("__sieve_row", "__sieve_word").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__sieve_bit"))).alias("__sieve_bits"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(SIEVE_ROW // 64 - 1)), lambda w: F.coalesce(F.element_at("__sieve_map", w), F.lit(0).cast("long")))
+    bits = words.groupBy("__sieve_row").agg(F.map_from_entries(F.collect_list(F.struct("__sieve_word", "__sieve_bits"))).alias("__sieve_map")).select("__sieve_row", every.alias("__sieve_words"))
+    marked = rows.withColumn("__sieve_at", place(key)).withColumn("__sieve_row", F.floor(F.col("__sieve_at") / SIEVE_ROW)).join(F.broadcast(bits), "__sieve_row", "left")
+    shifted = F.call_function("shiftright", F.get("__sieve_words", word(F.col("__sieve_at"))), bit(F.col("__sieve_at")))
     held = F.coalesce(shifted.bitwiseAND(F.lit(1)) == 1, F.lit(False))
     part = lambda condition: marked.filter(condition).select(*rows.columns)
     return part(held), part(~held)

@@ -6,7 +6,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from goldweave.llm.common import scratch
+from pyspark.sql import functions as F
+
+from goldweave.llm.common import scratch, sieve
 from goldweave.llm.decontamination import contamination, drop_contaminated
 from goldweave.llm.jaccard import Settings, drop_linked, jaccard_join
 from goldweave.llm.lines import drop_boilerplate
@@ -183,3 +185,15 @@ def test_banding_reaches_its_recall():
         cfg = Settings(similarity=similarity)
         bands, rows = cfg.banding
         assert 1 - (1 - similarity**rows) ** bands >= cfg.recall or bands * rows > cfg.hashes
+
+
+def test_sieve_keeps_every_wanted_row_and_all_columns(spark):
+    rows = [(i, f"t{i}") for i in range(500)] + [(None, "none"), (7, "again")]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "k long, t string, _row int, _at int")
+    for wanted in ([3, 7, 400, None, 9999], [], [None]):
+        keys = spark.createDataFrame([(k,) for k in wanted], "id long")
+        near, far = sieve(df, F.col("k"), keys)
+        assert near.columns == far.columns == df.columns
+        inside, outside = near.collect(), far.collect()
+        assert sorted(map(str, inside + outside)) == sorted(map(str, df.collect()))
+        assert not {r.k for r in outside} & set(wanted) and len(inside) <= len([k for k, _ in rows if k in wanted]) + 5
