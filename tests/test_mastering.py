@@ -8,7 +8,7 @@ from goldweave.operators.components import connected_components, extended_compon
 from goldweave.operators.incremental import after_changes, master_changes
 from goldweave.operators.mastering import components, master_parties
 from goldweave.operators.matching import final_pair_types, fuzzy_matches, match_counts
-from goldweave.session import Scratch
+from goldweave.session import Scratch, tune
 from tests.build import (
     CRM, DNB, MKT, brute_clusters, brute_confidence, brute_link_score, brute_pairs, brute_survivors, frame, party,
 )
@@ -154,6 +154,38 @@ def test_a_pair_is_scored_by_one_call(spark):
     assert len(nodes) == 1 and nodes[0].count("score(") == 1
 
 
+@pytest.mark.parametrize("binarize", [None, 0.8])
+def test_dense_blocks_give_the_pairs_of_a_join(spark, monkeypatch, binarize):
+    from goldweave.operators import matching
+
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdé😀") for _ in range(n))
+    names = [word(rng.randint(0, 14)) for _ in range(25)] + ["x" * 64, "x" * 63 + "y", "x" * 70, "", None]
+    rows = [party(i, rng.choice([CRM, DNB, MKT]), full_name=rng.choice(names), address_line1=rng.choice(["1 Oak St", "1 Oak Street", "", None]),
+                  city=rng.choice(["Rye", "Troy", None]), state="NY", postal_code=rng.choice(["1", "2", None])) for i in range(1, 301)]
+    cfg = MasteringConfig(block_cell_rows=40, binarize_threshold=binarize)
+
+    def pairs(dense):
+        monkeypatch.setattr(matching, "_DENSE_PAIRS", dense)
+        blocked = Scratch(spark, "dense").save(matching.blocked_profiles(matching.profiles(frame(spark, rows), cfg), cfg), "blocked")
+        assert (blocked.filter("dense").count() > 0) == (dense == 1)
+        every = matching.scored_profile_pairs(blocked, cfg)
+        some = matching.scored_profile_pairs(blocked, cfg, "(l.profile_id % 7 = 0 OR r.profile_id % 7 = 0)")
+        return sorted(map(repr, every.collect())), sorted(map(repr, some.collect()))
+
+    joined, arrays = pairs(1 << 60), pairs(1)
+    assert joined == arrays and len(joined[0]) > len(joined[1]) > 10
+
+
+def test_joins_broadcast_by_measured_size(spark, tmp_path):
+    """A side of few bytes on disk and many in memory must not pass through the driver."""
+    spark.range(3_000_000).selectExpr("id div 1000000 AS k", "7L AS a", "8L AS b").write.parquet(str(tmp_path / "small"))
+    files = spark.read.parquet(str(tmp_path / "small"))
+    tune(spark)
+    joined = spark.range(0, 1_000_000, 1, 4).withColumnRenamed("id", "k").join(files, "k")
+    assert joined.count() == 3_000_000 and "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_new_edges_extend_known_components(spark, seed):
     rng = random.Random(seed)
