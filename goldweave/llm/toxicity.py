@@ -226,7 +226,8 @@ def fit(rows: DataFrame, cfg: Settings) -> Machine:
     weights = (np.log(share / (1 - share)), np.zeros(len(slots)), np.zeros((len(slots), cfg.factors)))
     if 0 < fitted.sum() < first:
         weights = _weights(np, fitted, row, at, weighs, np.zeros(len(slots), bool), weights, cfg)
-        expected = _probability(np, _margin(np, row, at, first, *weights)[0])
+        # No pairs yet; looking up their vectors for every term of every row would take most of the driver's memory.
+        expected = _probability(np, weights[0] + np.bincount(row, weights[1][at], first))
         pairs = _meeting(np, fitted, expected, row, at, seen, cfg)
         meets = pairs.any(1)
         if meets.any():

@@ -534,3 +534,17 @@ def test_labelled_lines_as_a_table(spark):
     assert len(personal_data.find_personal_data(docs, tagger).first().spans) == 1
     assert personal_data.find_personal_data(docs, personal_data.train_on(table.limit(0))).first().spans == []
     assert personal_data.find_personal_data(docs, personal_data.train_on(table, rows=3)).count() == 1
+
+
+def test_fitting_toxicity_does_not_look_up_vectors_before_there_are_pairs(spark):
+    import tracemalloc
+
+    n, terms = 3000, 300
+    rows = spark.range(n).selectExpr("cast(id % 2 as int) AS label", f"transform(sequence(1, {terms}), k -> cast((id * 7919 + k * 104729) % 200000 as int)) AS slots").coalesce(1)
+    tracemalloc.start()
+    machine = toxicity.fit(rows, toxicity.Settings(rows=n))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # One vector of eight doubles for each term of each row fitted would be 46 MB, and their squares as much again.
+    assert peak < 80e6, peak
+    assert 0.3 < 1 / (1 + 2.718281828 ** -machine.bias) < 0.7
