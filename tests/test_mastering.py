@@ -238,3 +238,45 @@ def test_rows_rewritten_follow_the_change(spark):
     now = frame(spark, [*rows, party(900, MKT, tax_id="T7"), party(901, MKT, tax_id="new", city="far")])
     done = master_changes(now, golden, links, spark.createDataFrame([(900,), (901,)], "id bigint"), as_of="2025-01-02")
     assert (done.golden.count(), done.gone.count(), done.lineage.count()) == (2, 0, 1) and done.links.count() <= 12
+
+
+def _block(seed, customers, parts):
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    return [party(i, CRM if i <= customers else MKT, full_name=f"{word(7)} {word(8)}", address_line1=f"{rng.randint(1, 999)} {word(6)} Street",
+                  city="Rye", state="NY", postal_code=str(10000 + i)) for i in range(1, customers + parts + 1)]
+
+
+def test_a_dense_block_compares_few_texts_and_in_few_calls(spark, monkeypatch):
+    """The counts of shared characters settle nearly all pairs of different names, and texts are compared in large batches."""
+    import numpy as np
+
+    from goldweave.functions import similarity
+    from goldweave.operators import matching
+
+    cfg = MasteringConfig()
+    rows = _block(3, 600, 600)
+    blocked = matching.blocked_profiles(matching.profiles(frame(spark, rows), cfg), cfg)
+    assert blocked.filter("dense").count() == 1200
+    table = blocked.filter("dense").toArrow()
+    rank = table["source_rank"].to_numpy()
+    calls = []
+    compare = similarity._common_in_words
+    monkeypatch.setattr(similarity, "_common_in_words", lambda a, *rest: calls.append(len(a)) or compare(a, *rest))
+    match = similarity.matched_in_cell(
+        blocked.columns, cfg.name_weight, cfg.address_weight, cfg.city_weight, cfg.postal_weight, cfg.fuzzy_threshold, cfg.binarize_threshold)
+    found = match(table.filter(rank < 2), table.filter(rank > 0))
+    left, right = (found[c].combine_chunks().field("profile_id").to_numpy() for c in "lr")
+    assert (left <= 600).all() and (right > 600).all()
+    assert len(calls) <= 4 and sum(calls) < 600 * 600 / 300 and np.isfinite(found["raw"].to_numpy()).all()
+
+
+def test_rows_of_a_dense_block_are_copied_to_few_cells(spark):
+    """Cells compared as arrays hold more rows, so that what is shuffled does not grow with the square of a block."""
+    from goldweave.operators import matching
+
+    cfg = MasteringConfig(block_cell_rows=100)
+    rows = _block(4, 800, 800)
+    blocked = Scratch(spark, "cells").save(matching.blocked_profiles(matching.profiles(frame(spark, rows), cfg), cfg), "blocked")
+    left, right = matching._cell_sides(blocked.filter("dense"), cfg)
+    assert left.count() + right.count() <= 2 * 1600
