@@ -206,3 +206,22 @@ def test_progress_of_topic_partitions(spark, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps(report) + "\n")
     rows = {r["part"]: (r["end_offset"], r["latest_offset"], r["lag"], r["status"]) for r in stream.stream_progress(spark, str(tmp_path)).collect()}
     assert rows == {"t-0": (5, 5, 0, "up_to_date"), "t-1": (7, 9, 2, "lagging")}
+
+
+def test_rows_without_a_key_are_looked_up_in_many_tasks(spark):
+    from goldweave.operators.ordered import left_join_spread
+
+    rows = spark.range(4000).select(F.col("id").alias("seq"), F.when(F.col("id") % 10 == 0, F.col("id") % 30).alias("ref"))
+    found = spark.createDataFrame([(0, "a"), (20, "b"), (20, "c"), (None, "none")], "ref long, g string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = left_join_spread(rows, found, "ref", "seq")
+        expected = rows.join(found, "ref", "left")
+        assert sorted(map(repr, joined.select("seq", "ref", "g").collect())) == sorted(map(repr, expected.select("seq", "ref", "g").collect()))
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(per_task) == 4 and max(per_task) < 2000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
