@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from goldweave.config import MasteringConfig
 from goldweave.operators.components import connected_components, extended_components
@@ -280,3 +281,13 @@ def test_rows_of_a_dense_block_are_copied_to_few_cells(spark):
     blocked = Scratch(spark, "cells").save(matching.blocked_profiles(matching.profiles(frame(spark, rows), cfg), cfg), "blocked")
     left, right = matching._cell_sides(blocked.filter("dense"), cfg)
     assert left.count() + right.count() <= 2 * 1600
+
+
+def test_small_sides_stay_out_of_the_driver(spark):
+    """Even one of a few rows: a broadcast of it takes a page of the driver's memory, and a run has very many."""
+    tune(spark)
+    small = spark.range(20).select(F.col("id").cast("string").alias("k"), F.lit("x").alias("v")).distinct()
+    joined = spark.range(1000).select(F.col("id").cast("string").alias("k")).distinct().join(small, "k")
+    assert joined.count() == 20
+    joined.collect()
+    assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
