@@ -291,3 +291,21 @@ def test_small_sides_stay_out_of_the_driver(spark):
     assert joined.count() == 20
     joined.collect()
     assert "BroadcastExchange" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("weights", [(0.0, 0.6, 0.3, 0.1), (0.3, 0.3, 0.3, 0.1), (0.7, 0.3, 0.0, 0.0)])
+def test_dense_blocks_follow_other_weights(spark, monkeypatch, weights):
+    """Blocks of a city, a postal code or a whole state, where names decide, help or do not count."""
+    from goldweave.operators import matching
+
+    cfg = MasteringConfig(**dict(zip(("name_weight", "address_weight", "city_weight", "postal_weight"), weights)), fuzzy_threshold=0.75, block_cell_rows=30)
+    rng = random.Random(5)
+    rows = [r | {"city": rng.choice(["Rye", "Troy"]), "postal_code": rng.choice(["1", "2", None])} for r in _block(6, 50, 50)]
+
+    def pairs(dense):
+        monkeypatch.setattr(matching, "_DENSE_PAIRS", dense)
+        blocked = Scratch(spark, "weights").save(matching.blocked_profiles(matching.profiles(frame(spark, rows), cfg), cfg), "blocked")
+        return sorted(map(repr, matching.scored_profile_pairs(blocked, cfg).collect()))
+
+    joined = pairs(1 << 60)
+    assert joined and joined == pairs(1)
