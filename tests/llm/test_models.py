@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +218,31 @@ def test_elias_fano_reads_and_finds(top):
             assert (i >= 0) == (x in held) and (i < 0 or int(values[i]) == x)
 
 
+def test_shard_is_written_in_few_times_its_size():
+    """A shard's entries were held some twenty times over while it was coded."""
+    import tracemalloc
+
+    n = 1 << 20
+    rng = np.random.default_rng(5)
+    blocks = [np.sort(rng.integers(0, 1 << 40, n // 8, dtype=np.uint64)) for _ in range(8)]
+    table = pa.table({"gaps": [ngram_model._planes(np.diff(b, prepend=np.uint64(0))) for b in blocks], "n": [ngram_model._planes(np.ones(len(b))) for b in blocks]})
+    tracemalloc.start()
+    keys, counts = ngram_model._entries_of(table)
+    coded = encode(keys)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.sum() == n and (Sequence(coded).get(np.arange(len(keys))) == np.unique(np.concatenate(blocks))).all()
+    assert peak < 44 * n
+
+
+def test_words_are_counted_where_texts_are_read(spark):
+    """Tasks hand on distinct words of many tokens, also when they hold few at a time."""
+    texts = spark.createDataFrame([("a b a",), (None,), ("",), ("b c d e f g",), ("A",)], "text string").coalesce(1)
+    for flush in (1, 3, 1000):
+        model = ngram_model._word_level(texts, scratch(spark, "test"), ngram_model.Settings(flush=flush))
+        assert (model.tokens, model.words, model.texts) == (15, 8, 5)
+
+
 def plain_model(train, texts, mu=20.0, order=2):
     fold = lambda t: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     grams = collections.Counter()
