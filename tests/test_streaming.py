@@ -225,3 +225,27 @@ def test_rows_without_a_key_are_looked_up_in_many_tasks(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_a_batch_is_decoded_and_written_once(spark, tmp_path, monkeypatch):
+    rows = frame(spark, [party(1, full_name="A One"), party(2, full_name="B Two")])
+    known = master_parties(rows, MasteringConfig(), Scratch(spark, "once"), AS_OF)
+    store = stream.PartyStore(spark, str(tmp_path / "store"), buckets=2)
+    store.start(known.golden, known.links, rows, known.lineage)
+    written, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name: written.append((name, self.codec)) or save(self, df, name))
+    message = json.dumps({"seq": 1, "event_id": "E1", "event_type": "NEW_PARTY", "payload": {"full_name": "C Three"}})
+    stream.batch_writer(store, stream.field_order(), MasteringConfig(), AS_OF)(spark.createDataFrame([(message,)], "value string"), 0)
+    assert [n for n, _ in written].count("decoded") == 1 and "events" not in [n for n, _ in written]
+    assert {codec for _, codec in written} == {"zstd"}
+    assert [(r.event_id, r.status) for r in store.confirmations.read().collect()] == [("E1", "success")] and store.state().sources.count() == 3
+
+
+def test_source_records_are_made_in_many_tasks(spark, tmp_path):
+    from goldweave import fixtures
+
+    for name, key in {**fixtures.KEYS, "events": "event_id"}.items():
+        spark.range(1000).withColumnRenamed("id", key).coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+    made = fixtures.source_parties(spark, str(tmp_path))
+    sizes = made.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    assert sum(r["count"] for r in sizes) == 3000 and len(sizes) >= 3 * spark.sparkContext.defaultParallelism
