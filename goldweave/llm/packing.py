@@ -10,25 +10,33 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A worker keeps the ids of recent words, at most twice this many (some 300 MB), and keeps them from task to task; older
-# words are encoded again. Half as many take about a fifth more time.
+# A worker keeps the ids of recent words and pieces of words, at most twice this many (some 300 MB), and keeps them from task
+# to task; older ones are encoded again.
 REMEMBERED_WORDS = 800_000
 _BLANKS = re.compile("[ \t\n\r]+")
 _MARK = "\x01"
+# How the vocabulary folds a text and cuts it into pieces that are encoded alone.
+_FOLDS = ["NFC", ("\\s+", " "), "Lowercase"]
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same cuts of a folded text of printable ASCII and these Latin letters, which are in form C, one lower-case letter each.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_OTHER = re.compile(rf"[^\t\n\r\x20-\x7e{_LATIN}]")
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^\t\n\r\x20a-z0-9{_LATIN}]+")
 _encoders: dict[str, _Encoder] = {}
 
 
 class _Encoder:
-    """Ids of whole texts, encoded word by word.
+    """Ids of whole texts, encoded word by word, or piece by piece where the cuts inside words are known.
 
     The vocabulary never merges across white space, so a text's ids are those
-    of its words in a row. Words come back far more often than they are new.
+    of its words in a row. Words come back far more often than they are new,
+    their pieces, in lower case and without the signs around them, still more.
     """
 
     def __init__(self, vocabulary: str):
@@ -38,26 +46,56 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         # A character that is a token of its own and stands between words that are encoded together.
         self.mark = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.words, self.pieces = _Recent(self._ids), _Recent(self._piece_ids)
+        self.ends, self.reserved = self._cut_alike()
+
+    def _cut_alike(self):
+        """(which ids end a piece, a pattern of the reserved texts); None twice if the vocabulary cuts otherwise than ``_PIECES``."""
+        import json
+
+        import numpy as np
+        from tokenizers import normalizers, pre_tokenizers
+
+        made = json.loads(self.tokenizer.to_str())
+        folds = [(n["pattern"].get("Regex"), n["content"]) if n["type"] == "Replace" else n["type"] for n in (made["normalizer"] or {}).get("normalizers", [])]
+        cuts = (made["pre_tokenizer"] or {}).get("pretokenizers", [])
+        model, suffix = made["model"], made["model"].get("end_of_word_suffix")
+        if (
+            folds != _FOLDS or [c["type"] for c in cuts] != ["Split", "ByteLevel"] or cuts[0]["pattern"] != {"Regex": _CUTS} or not cuts[0]["invert"]
+            or cuts[0]["behavior"] != "Removed" or cuts[1]["use_regex"] or cuts[1]["add_prefix_space"] or made["post_processor"] or not suffix or model["dropout"]
+            or model["unk_token"] or model["continuing_subword_prefix"]
+        ):
+            return None, None
+        # Pieces are folded and cut already: white space between them is all that is left to see.
+        self.plain = type(self.tokenizer).from_str(self.tokenizer.to_str())
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        ends = np.zeros(max(model["vocab"].values()) + 1, bool)
+        ends[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+        return ends, re.compile("|".join(re.escape(t["content"]) for t in made["added_tokens"]) or "(?!)")
 
     def encode(self, texts: list[str], remembered: int = REMEMBERED_WORDS) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [_BLANKS.split(text) for text in texts]
-        wanted = set().union(*split)
-        if len(self.recent) > remembered:
-            self.recent, self.older = {}, self.recent
-        recent, older = self.recent, self.older
-        new = []
-        for word in wanted.difference(recent):
-            ids = older.get(word)
-            if ids is None:
-                new.append(word)
-            else:
-                recent[word] = ids
-        recent.update(zip(new, self._ids(new)))
-        return [b"".join(map(recent.__getitem__, words)) for words in split]
+        plain = [self.ends is not None and not _OTHER.search(text) and not self.reserved.search(text) for text in texts]
+        by_piece = iter(self.pieces.joined([_PIECES.findall(text.lower()) for text, p in zip(texts, plain) if p], remembered))
+        by_word = iter(self.words.joined([_BLANKS.split(text) for text, p in zip(texts, plain) if not p], remembered))
+        return [next(by_piece if p else by_word) for p in plain]
+
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. Pieces are encoded a thousand in a go; the suffix of its last token tells where one ends."""
+        import numpy as np
 
+        out: list[bytes] = []
+        for at in range(0, len(pieces), 1000):
+            part = pieces[at:at + 1000]
+            ids = np.asarray(self.plain.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(ends) == len(part):
+                data, cuts = ids.tobytes(), [0, *ends.tolist()]
+                out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+            else:
+                out += self._ids(part)
+        return out
 
     def _ids(self, words: list[str]) -> list[bytes]:
         """Ids of each word. Words are encoded a thousand in a go, as one text in which a mark tells them apart."""
@@ -79,6 +117,30 @@ class _Encoder:
         return out
 
 
+class _Recent:
+    """Ids of recent words, and of those before them; others come from ``find``, which takes a list of words."""
+
+    def __init__(self, find: Callable[[list[str]], list[bytes]]):
+        self.find = find
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def joined(self, split: list[list[str]], remembered: int) -> list[bytes]:
+        """The ids of each list of words in a row."""
+        if len(self.recent) > remembered:
+            self.recent, self.older = {}, self.recent
+        recent, older = self.recent, self.older
+        new = []
+        for word in set().union(*split).difference(recent):
+            ids = older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                recent[word] = ids
+        recent.update(zip(new, self.find(new)))
+        return [b"".join(map(recent.__getitem__, words)) for words in split]
+
+
 def _encoder(vocabulary: str) -> _Encoder:
     if vocabulary not in _encoders:
         _encoders[vocabulary] = _Encoder(vocabulary)

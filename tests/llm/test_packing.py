@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from goldweave.llm.packing import pack, piece_lengths
+from goldweave.llm.packing import _Encoder, pack, piece_lengths
 
 PATH = str(public_tokenizers.path("word_bpe_49k.json"))
 
@@ -43,6 +43,21 @@ def test_round_trip_of_odd_texts(spark):
         assert covered == list(range(len(ids)))
 
 
+def test_words_share_the_ids_of_their_pieces():
+    """Each word in another case or with other signs around it was encoded, and remembered, as a word of its own."""
+    words = ["The", "the", "THE,", "(the)", "thé", "THÉ", "it's", "IT'S!", "'s", "''s", "a1b22", "&'m", "x<y|z", "_é_", "ÿ×÷", "it'd've"]
+    texts = [" ".join(words), *words, "\t".join(words) + "\r\n", "the\x0bthe", "the <|endoftext|>the", "the<|startoftext|>", "<| endoftext |>", "é and e\u0301", "naïve Ω the", "İt's", "²the", "\x85"]
+    encoder, tokenizer = _Encoder(PATH), Tokenizer.from_file(PATH)
+    encoded = []
+    find = encoder.pieces.find
+    encoder.pieces.find = lambda pieces: encoded.extend(pieces) or find(pieces)
+    for remembered in (100, 0):
+        for text, ids in zip(texts, encoder.encode(texts, remembered)):
+            assert ids == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert encoded.count("the") == 1 and not any(w in encoded for w in ("The", "THE,", "the)"))
+    assert not set(encoded) & {"startoftext", "and", "naïve"}, "reserved texts and other letters go by whole words"
+
+
 def test_no_documents_give_no_pieces(spark):
     assert pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
 
