@@ -218,6 +218,32 @@ def test_elias_fano_reads_and_finds(top):
             assert (i >= 0) == (x in held) and (i < 0 or int(values[i]) == x)
 
 
+def test_elias_fano_looks_at_a_key_once():
+    """The low bits of a key that is there were read twice, once to halve its part and once to compare."""
+    values = np.arange(1, 100_001, dtype=np.uint64) << np.uint64(20)
+    seq = Sequence(encode(values))
+    read, low = [], seq._low
+    seq._low = lambda index: read.append(len(index)) or low(index)
+    assert (seq.find(values) == np.arange(len(values))).all()
+    assert sum(read) < 1.6 * len(values)
+
+
+def test_elias_fano_finds_in_parts_longer_than_a_word_of_bits():
+    rng = np.random.default_rng(3)
+    values = np.unique(np.concatenate([rng.integers(0, 1 << 50, 2000), *[(c << 40) + np.arange(n) for c, n in ((0, 64), (3, 63), (4, 65), (9, 128), (1000, 700))]]).astype(np.uint64))
+    asked = np.sort(np.concatenate([values, values + np.uint64(1), rng.integers(0, 1 << 50, 2000, dtype=np.uint64)]))
+    at = np.searchsorted(values, asked).clip(max=len(values) - 1)
+    for order in (slice(None), rng.permutation(len(asked))):
+        assert (Sequence(encode(values)).find(asked[order]) == np.where(values[at] == asked, at, -1)[order]).all()
+
+
+def test_distinct_of_sorted_and_mixed_values():
+    for values in ([], [7], [1, 1, 2, 5, 5], [5, 1, 5, 2, 1]):
+        values = np.array(values, np.uint64)
+        once, first, back = ngram_model._distinct(values)
+        assert (once == np.unique(values)).all() and (values[first] == once).all() and (once[back] == values).all()
+
+
 def test_shard_is_written_in_few_times_its_size():
     """A shard's entries were held some twenty times over while it was coded."""
     import tracemalloc
