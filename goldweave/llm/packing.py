@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A worker keeps the ids of recent words and pieces of words, at most twice this many (some 300 MB), and keeps them from task
+# A worker keeps the ids of recent words and pieces of words, at most twice this many in all (some 300 MB), and keeps them from task
 # to task; older ones are encoded again.
 REMEMBERED_WORDS = 800_000
 _BLANKS = re.compile("[ \t\n\r]+")
@@ -76,9 +76,12 @@ class _Encoder:
 
     def encode(self, texts: list[str], remembered: int = REMEMBERED_WORDS) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if len(self.words.recent) + len(self.pieces.recent) > remembered:
+            self.words.age()
+            self.pieces.age()
         plain = [self.ends is not None and not _OTHER.search(text) and not self.reserved.search(text) for text in texts]
-        by_piece = iter(self.pieces.joined([_PIECES.findall(text.lower()) for text, p in zip(texts, plain) if p], remembered))
-        by_word = iter(self.words.joined([_BLANKS.split(text) for text, p in zip(texts, plain) if not p], remembered))
+        by_piece = iter(self.pieces.joined([_PIECES.findall(text.lower()) for text, p in zip(texts, plain) if p]))
+        by_word = iter(self.words.joined([_BLANKS.split(text) for text, p in zip(texts, plain) if not p]))
         return [next(by_piece if p else by_word) for p in plain]
 
     def _piece_ids(self, pieces: list[str]) -> list[bytes]:
@@ -125,10 +128,11 @@ class _Recent:
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def joined(self, split: list[list[str]], remembered: int) -> list[bytes]:
+    def age(self) -> None:
+        self.recent, self.older = {}, self.recent
+
+    def joined(self, split: list[list[str]]) -> list[bytes]:
         """The ids of each list of words in a row."""
-        if len(self.recent) > remembered:
-            self.recent, self.older = {}, self.recent
         recent, older = self.recent, self.older
         new = []
         for word in set().union(*split).difference(recent):
