@@ -8,7 +8,7 @@ from goldweave.config import MasteringConfig
 from goldweave.operators.components import connected_components, extended_components
 from goldweave.operators.incremental import after_changes, master_changes
 from goldweave.operators.mastering import components, master_parties
-from goldweave.operators.matching import final_pair_types, fuzzy_matches, match_counts
+from goldweave.operators.matching import final_pair_types, find_matches, fuzzy_matches, match_counts
 from goldweave.session import Scratch, tune
 from tests.build import (
     CRM, DNB, MKT, brute_clusters, brute_confidence, brute_link_score, brute_pairs, brute_survivors, frame, party,
@@ -71,6 +71,24 @@ def test_copies_stay_one_profile_and_hot_key_one_group(spark):
     assert found == {300: pytest.approx(expected, abs=1e-4), 200: 0.99}
 
 
+def _rows_without_texts():
+    """300 records of three sources in one city, of which fifteen pairs share a tax id."""
+    return [party(i, [CRM, DNB, MKT][i % 3], city="Here", tax_id=f"T{i // 2}" if i % 20 < 2 else None) for i in range(1, 301)]
+
+
+def _largest_table(spark, work):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work.root)
+    listed = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    return max(spark.read.parquet(work.path(s.getPath().getName())).count() for s in listed)
+
+
+def test_pairs_of_blocks_without_texts_are_written_nowhere(spark):
+    rows, cfg, work = _rows_without_texts(), MasteringConfig(binarize_threshold=0.0), Scratch(spark, "no-pairs")
+    listed = fuzzy_matches(find_matches(frame(spark, rows), cfg, work.save), cfg)
+    assert listed.count() == 3 * 100 * 100 - 15 and _largest_table(spark, work) <= 2 * len(rows)
+    assert listed._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1
+
+
 def test_lineage_has_one_shape_at_every_size(spark):
     rows = [party(i, [CRM, DNB][i % 2], tax_id="T") for i in range(1, 4002)] + [party(i, [CRM, MKT][i % 2], tax_id="U") for i in (5001, 5002)]
     done = master_parties(frame(spark, rows), as_of="2025-01-01")
