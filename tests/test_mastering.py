@@ -1,5 +1,6 @@
 import json
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,8 @@ from pyspark.sql import functions as F
 from goldweave.config import MasteringConfig
 from goldweave.operators.components import connected_components, extended_components
 from goldweave.operators.incremental import after_changes, master_changes
-from goldweave.operators.mastering import components, master_parties
-from goldweave.operators.matching import final_pair_types, find_matches, fuzzy_matches, match_counts
+from goldweave.operators.mastering import build_clusters, build_entities, components, master_parties
+from goldweave.operators.matching import final_pair_types, find_matches, fuzzy_facts, fuzzy_matches, match_counts
 from goldweave.session import Scratch, tune
 from tests.build import (
     CRM, DNB, MKT, brute_clusters, brute_confidence, brute_link_score, brute_pairs, brute_survivors, frame, party,
@@ -71,6 +72,24 @@ def test_copies_stay_one_profile_and_hot_key_one_group(spark):
     assert found == {300: pytest.approx(expected, abs=1e-4), 200: 0.99}
 
 
+@pytest.mark.parametrize("threshold", [0.7, 0.8, 0.88, 0.95])
+def test_blocks_without_texts_stand_for_their_pairs(spark, threshold):
+    rows = _random_rows(7, 80)
+    cfg = MasteringConfig(binarize_threshold=0.0, block_cell_rows=4, fuzzy_threshold=threshold)
+    parties, scratch = frame(spark, rows), Scratch(spark, "blocks")
+    found = find_matches(parties, cfg, scratch.save)
+    listed = replace(found, blocks=None, facts=None)
+
+    def entities(matches, name):
+        work = Scratch(spark, name)
+        clusters = work.save(build_clusters(matches, work), "clusters")
+        return sorted(map(repr, build_entities(parties, matches, clusters, cfg, work).collect()))
+
+    assert entities(found, "by-blocks") == entities(listed, "by-pairs")
+    total = lambda facts: facts.agg(F.sum("pairs"), F.round(F.sum("score"), 6)).first()
+    assert total(fuzzy_facts(found)) == total(fuzzy_facts(listed)) and found.fuzzy.count() > 5
+
+
 def _rows_without_texts():
     """300 records of three sources in one city, of which fifteen pairs share a tax id."""
     return [party(i, [CRM, DNB, MKT][i % 3], city="Here", tax_id=f"T{i // 2}" if i % 20 < 2 else None) for i in range(1, 301)]
@@ -89,6 +108,12 @@ def test_pairs_of_blocks_without_texts_are_written_nowhere(spark):
     assert listed._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 1
 
 
+def test_mastering_without_texts_lists_no_pairs(spark):
+    rows, cfg, work = _rows_without_texts(), MasteringConfig(binarize_threshold=0.0), Scratch(spark, "no-pairs")
+    assert master_parties(frame(spark, rows), cfg, work, "2025-01-01").golden.count() == 1
+    assert _largest_table(spark, work) <= 2 * len(rows)
+
+
 def test_lineage_has_one_shape_at_every_size(spark):
     rows = [party(i, [CRM, DNB][i % 2], tax_id="T") for i in range(1, 4002)] + [party(i, [CRM, MKT][i % 2], tax_id="U") for i in (5001, 5002)]
     done = master_parties(frame(spark, rows), as_of="2025-01-01")
