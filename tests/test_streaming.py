@@ -249,3 +249,16 @@ def test_source_records_are_made_in_many_tasks(spark, tmp_path):
     made = fixtures.source_parties(spark, str(tmp_path))
     sizes = made.groupBy(F.spark_partition_id().alias("part")).count().collect()
     assert sum(r["count"] for r in sizes) == 3000 and len(sizes) >= 3 * spark.sparkContext.defaultParallelism
+
+
+def test_parts_of_the_messages_are_written_at_once_and_dated_in_order(spark, tmp_path):
+    from checks.queries import _parts
+
+    messages = spark.range(5, 305, 1, 8).select(((F.col("id") * 7) % 300 + 5).alias("seq")).withColumn("value", F.col("seq").cast("string"))
+    spark.sparkContext.setJobGroup("parts", "parts")
+    _parts(messages, 30, str(tmp_path / "inbox"))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("parts"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    files = sorted((tmp_path / "inbox").glob("part-*"), key=lambda f: f.stat().st_mtime_ns)
+    assert [sorted(map(int, f.read_text().split())) for f in files] == [list(range(5 + 10 * k, 15 + 10 * k)) for k in range(30)]
+    assert jobs < 10
